@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .frames import EXACT_LIMIT, TWO_27_PLUS_1
+
 # The text of a decimal number, digits may be grouped with "_".
 NUMBER_TEXT = (
     r"^\s*[+-]?(\d+(_\d+)*(\.(\d+(_\d+)*)?)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?\s*$"
 )
 INFINITY_TEXT = r"(?i)^\s*[+-]?inf(inity)?\s*$"
+UNUSUAL = r"[^0-9eE+. -]"
 # Texts that stand for a missing number.
 MISSING_TEXTS = ("", "NA", "N/A", "null", "None")
 
@@ -30,7 +33,10 @@ def tolerant_float(x: Column) -> Column:
     """
     text = x.cast("string")
     is_number = text.rlike(NUMBER_TEXT) | text.rlike(INFINITY_TEXT)
-    return F.when(is_number, F.replace(F.trim(text), F.lit("_"), F.lit("")).try_cast("double"))
+    # Nearly all texts hold plain characters only and need no closer look.
+    return F.when(~text.rlike(UNUSUAL), text.try_cast("double")).when(
+        is_number, F.replace(F.trim(text), F.lit("_"), F.lit("")).try_cast("double")
+    )
 
 
 def float_or_missing(x: Column) -> Column:
@@ -43,9 +49,28 @@ def default_if_empty(x: Column, default: Column) -> Column:
 
 
 def round_value(x: Column, places: int = TIES_VALUE) -> Column:
-    """Round half to even. May differ by one unit in the last place from a
-    rounding of the exact binary value."""
-    return F.bround(x, places)
+    """Round the exact binary value to the nearest decimal, ties to even.
+
+    The built-in functions round the shortest decimal text of a double instead
+    and differ where that text is a tie: 2.675 is stored slightly below the tie,
+    so it becomes 2.67 here. The product with the power of ten is taken as its
+    double plus its exact error (a two-product), and the error decides where the
+    double alone looks like a tie. For several columns of a large table use
+    ``frames.round_columns``.
+    """
+    scale = F.lit(float(10**places))
+    value = x.cast("double")
+    product = value * scale
+    high = value * TWO_27_PLUS_1 - (value * TWO_27_PLUS_1 - value)
+    error = (high * scale - product) + (value - high) * scale
+    whole = F.rint(product)
+    rest = product - whole
+    nearest = (
+        F.when((rest == 0.5) & (error > 0), whole + 1)
+        .when((rest == -0.5) & (error < 0), whole - 1)
+        .otherwise(whole)
+    )
+    return F.when(F.abs(product) < EXACT_LIMIT, nearest / scale).otherwise(value)
 
 
 def list_from_text(x: Column) -> Column:

@@ -5,9 +5,11 @@ Wall-clock values are TIMESTAMP_NTZ, instants are TIMESTAMP.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .frames import compute_once
+
 GRID_ZONE = "Australia/Sydney"
 _OFFSET = r"(Z|z|[+-]\d{2}(:?\d{2})?)$"
 _CLOCK = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?"
@@ -33,41 +35,45 @@ def to_wall(ts: Column, zone: str = GRID_ZONE) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
 
 
-def _naive(text: Column) -> Column:
-    return F.when(text.rlike(_CLOCK + "$"), text.try_cast("timestamp_ntz"))
-
-
-def parse_instant(text: Column, zone: str = GRID_ZONE) -> Column:
-    """Epoch milliseconds, ISO text with an offset, or ISO text on the zone's clock."""
-    epoch = F.when(
-        text.rlike(_EPOCH),
-        F.timestamp_micros((F.trim(text).try_cast("decimal(25,3)") * 1000).cast("bigint")),
-    )
-    aware = F.when(text.rlike(_CLOCK + _OFFSET), text.try_cast("timestamp"))
-    utc = F.convert_timezone(F.lit(zone), F.lit("UTC"), _naive(text))
-    return F.coalesce(epoch, aware, F.timestamp_micros(wall_micros(utc)))
-
-
-def time_problem(text: Column, zone: str = GRID_ZONE) -> Column:
-    """Why a time text has no single instant, or NULL.
+def read_instants(
+    df: DataFrame, text: str, zone: str = GRID_ZONE, ts: str = "ts", problem: str = "problem"
+) -> DataFrame:
+    """Read a text column as instants; say where it has none.
 
-    ``gap``: the zone's clock skips it; ``overlap``: the clock shows it twice;
-    ``unreadable``: no known form. Spark itself would shift a gap forward and
-    pick one side of an overlap.
+    Texts are epoch milliseconds, ISO with an offset, or ISO on the zone's
+    clock. ``problem`` is NULL, ``gap`` (the zone's clock skips the time),
+    ``overlap`` (the clock shows it twice) or ``unreadable``. Spark itself would
+    shift a gap forward and pick one side of an overlap.
     """
-    wall = _naive(text)
-    utc = F.convert_timezone(F.lit(zone), F.lit("UTC"), wall)
+    raw = F.col(text)
+    kept = df.columns
+    step = compute_once(
+        df,
+        {
+            "_epoch": F.when(raw.rlike(_EPOCH), F.trim(raw).try_cast("decimal(25,3)")),
+            "_aware": F.when(raw.rlike(_CLOCK + _OFFSET), raw.try_cast("timestamp")),
+            "_wall": F.when(raw.rlike(_CLOCK + "$"), raw.try_cast("timestamp_ntz")),
+        },
+    )
+    utc = F.convert_timezone(F.lit(zone), F.lit("UTC"), F.col("_wall"))
+    step = compute_once(step, {"_utc": utc})
 
     def shown(hours: int) -> Column:
-        moved = F.timestamp_add("HOUR", F.lit(hours), utc)
+        moved = F.timestamp_add("HOUR", F.lit(hours), F.col("_utc"))
         return F.convert_timezone(F.lit("UTC"), F.lit(zone), moved)
 
-    naive = wall.isNotNull()
-    return (
-        F.when(parse_instant(text, zone).isNull(), F.lit("unreadable"))
-        .when(naive & (shown(0) != wall), F.lit("gap"))
-        .when(naive & ((shown(1) == wall) | (shown(-1) == wall)), F.lit("overlap"))
+    instant = F.coalesce(
+        F.timestamp_micros((F.col("_epoch") * 1000).cast("bigint")),
+        F.col("_aware"),
+        F.timestamp_micros(wall_micros(F.col("_utc"))),
+    )
+    wall = F.col("_wall")
+    why = (
+        F.when(F.col("_epoch").isNull() & F.col("_aware").isNull() & wall.isNull(), "unreadable")
+        .when(shown(0) != wall, "gap")
+        .when((shown(1) == wall) | (shown(-1) == wall), "overlap")
     )
+    return compute_once(step, {ts: instant, problem: why}, kept)
 
 
 def iso_text(ts: Column, zone: str = GRID_ZONE) -> Column:

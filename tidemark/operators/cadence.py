@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import settle
 from .distribution import distribution
 from .ordered import previous_values
 
@@ -78,7 +79,8 @@ def cadence_report(
     captured: DataFrame, expected_s: float = EXPECTED_S, tolerance_s: float = TOLERANCE_S
 ) -> DataFrame:
     """Per scope: count, mean, extremes and percentiles in seconds, share within tolerance."""
-    return summarize_deltas(all_deltas(captured), ["scope", "topic"], expected_s, tolerance_s)
+    deltas = settle(all_deltas(captured), "deltas")
+    return summarize_deltas(deltas, ["scope", "topic"], expected_s, tolerance_s)
 
 
 def summarize_deltas(deltas: DataFrame, by, expected_s: float, tolerance_s: float) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import any_contains, round_value
+from ..session import settle
 from .distribution import distribution
 
 STORE_SIZE = 1000
@@ -66,23 +67,24 @@ def filter_snapshot(snapshot: DataFrame, fuel: str = ALL, region: str = ALL) ->
 
 def snapshot_kpis(snapshot: DataFrame, slices: int | None = None) -> DataFrame:
     """Facility count, total power and emission, medians of positive price and demand."""
-    totals = snapshot.agg(
+    shown = settle(snapshot.select("power_value", "emission_value", "price_per_mwh", "demand_mw"), "kpis")
+    totals = shown.agg(
         F.count(F.lit(1)).alias("facility_count"),
         round_value(F.coalesce(F.sum("power_value"), F.lit(0.0))).alias("total_power"),
         round_value(F.coalesce(F.sum("emission_value"), F.lit(0.0))).alias("total_emission"),
     )
-    positive = snapshot.select("price_per_mwh", "demand_mw").unpivot(
-        [], ["price_per_mwh", "demand_mw"], "metric", "value"
-    ).filter(F.col("value") > 0)
+    positive = shown.unpivot([], ["price_per_mwh", "demand_mw"], "metric", "value").filter("value > 0")
     medians = distribution(positive, "value", {"median": 0.5}, ["metric"], slices=slices)
 
-    def median_of(metric: str) -> Column:
-        mine = medians.filter(F.col("metric") == metric).agg(F.max("median"))
-        return round_value(F.coalesce(mine.scalar(), F.lit(0.0)))
+    def of(metric: str) -> Column:
+        return F.max(F.when(F.col("metric") == metric, F.col("median")))
 
-    return totals.withColumns(
-        {"median_price": median_of("price_per_mwh"), "median_demand": median_of("demand_mw")}
-    )
+    pair = medians.agg(F.struct(of("price_per_mwh").alias("price"), of("demand_mw").alias("demand"))).scalar()
+    return totals.withColumn("_m", pair).select(
+        "*",
+        round_value(F.coalesce("_m.price", F.lit(0.0))).alias("median_price"),
+        round_value(F.coalesce("_m.demand", F.lit(0.0))).alias("median_demand"),
+    ).drop("_m")
 
 
 def store_kpis(snapshot: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.frames import round_columns
 from ..functions.times import wall_micros
 
 STATE = (
@@ -67,7 +68,7 @@ def as_messages(events: DataFrame) -> DataFrame:
     out = events.selectExpr(
         *(f"{sql.format(text='string')} as {name}" for name, sql in MESSAGE.items()), "ts"
     )
-    out = out.withColumns({c: F.bround(c, 2) for c in _ROUNDED})
+    out = round_columns(out, _ROUNDED)
     return out.withColumn("received_us", wall_micros(F.col("ts"))).withColumnRenamed("ts", "received_at")
 
 
@@ -79,7 +80,7 @@ def messages_sql() -> str:
     parts = []
     for name, sql in MESSAGE.items():
         expr = sql.format(text="varchar")
-        parts.append(f"round_even({expr}, 2) as {name}" if name in _ROUNDED else f"{expr} as {name}")
+        parts.append(f"cast(printf('%.2f', {expr}) as double) as {name}" if name in _ROUNDED else f"{expr} as {name}")
     return "select " + ", ".join(parts) + ", ts as received_at, epoch_us(ts) as received_us from events"
 
 

@@ -324,8 +324,9 @@ def cadence_verdict(spark, sf_dir):
 
 
 def _events_stream(spark, sf_dir) -> DataFrame:
+    # A pattern, as a plain path would have to be a folder.
     schema = table(spark, sf_dir, "events").schema
-    return intake.stream_files(spark, f"{sf_dir}/events.parquet", schema)
+    return intake.stream_files(spark, f"{sf_dir}/events.parquet*", schema)
 
 
 def _message_stream(spark, sf_dir) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_BASE: dict[str, str] = {}
 
@@ -47,3 +47,14 @@ def shared_base(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{shared_base(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, name: str = "settled") -> DataFrame:
+    """Write the frame to the shared folder and read it back.
+
+    For the result of a long plan that the next step reads several times: the
+    plan runs once, and a lost executor costs a read of the written table.
+    """
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.frames import compute_once
 from ..functions.scalars import nan_to_null, query_values, tolerant_float
-from ..functions.times import GRID_ZONE, parse_instant, time_problem
+from ..functions.times import GRID_ZONE, read_instants
 
 REQUEST_KEY = ("source", "facility_code", "date_start", "date_end")
 
@@ -51,28 +52,26 @@ def flatten_series(
         *(F.lit(x) for pair in schemas.METRIC_POSITION.items() for x in pair)
     )
     kept = [c for c in responses.columns if c not in (body, url)]
-    metrics = F.slice(query_values(F.col(url), "metrics"), 1, 2)
-    rows = responses.select(
-        *kept,
-        F.from_json(body, schemas.SERIES_RESPONSE).alias("_r"),
-        F.explode(metrics).alias("metric"),
+    parsed = compute_once(
+        responses,
+        {
+            "_data": F.from_json(body, schemas.SERIES_RESPONSE)["data"],
+            "_metrics": F.slice(query_values(F.col(url), "metrics"), 1, 2),
+        },
+        kept,
     )
-    unit = F.get(F.col("_r.data"), F.try_element_at(position, F.col("metric")))
+    rows = parsed.select(*kept, "_data", F.explode("_metrics").alias("metric"))
+    unit = F.get("_data", F.try_element_at(position, F.col("metric")))
     rows = rows.select(*kept, "metric", F.explode(unit["results"]).alias("_u"))
     rows = rows.select(
         *kept, "metric", F.col("_u.name").alias("unit_name"), F.explode("_u.data").alias("_p")
     )
-    text = F.get("_p", F.lit(0))
-    value = F.get("_p", F.lit(1))
-    return rows.select(
-        *kept,
-        "metric",
-        "unit_name",
-        text.alias("time_text"),
-        parse_instant(text, zone).alias("ts"),
-        tolerant_float(value).alias("value"),
-        time_problem(text, zone).alias("problem"),
+    points = compute_once(
+        rows,
+        {"time_text": F.get("_p", F.lit(0)), "value": tolerant_float(F.get("_p", F.lit(1)))},
+        [*kept, "metric", "unit_name"],
     )
+    return read_instants(points, "time_text", zone)
 
 
 def split_problems(rows: DataFrame, reason: str = "problem") -> tuple[DataFrame, DataFrame]:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.scalars import default_if_empty, round_value, tolerant_float
+from ..functions.frames import compute_once, round_columns
+from ..functions.scalars import default_if_empty, tolerant_float
 
 UNKNOWN_REGION = "Unknown Region"
 UNKNOWN_FUEL = "Unknown"
@@ -60,21 +61,16 @@ def stream_kafka(spark: SparkSession, servers: str, topic_pattern: str, per_trig
 
 
 def decode_messages(raw: DataFrame, body: str = "body") -> DataFrame:
-    """Add ``payload`` (NULL unless the body is a JSON object) and ``decode_error``."""
+    """Add the parsed ``payload`` and, where the body is no JSON object, ``decode_error``."""
     schema = schemas.MESSAGE + ", _bad string"
     parsed = F.from_json(
         F.col(body), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
     )
-    out = raw.withColumn("payload", parsed)
-    is_array = F.ltrim(F.col(body)).startswith("[")
-    is_object = F.ltrim(F.col(body)).startswith("{")
-    error = (
-        F.when(is_array, F.lit("not_object"))
-        .when(F.col(body).isNull() | ~is_object | F.col("payload._bad").isNotNull(), F.lit("invalid_json"))
-    )
-    return out.withColumn("decode_error", error).withColumn(
-        "payload", F.when(F.col("decode_error").isNull(), F.col("payload"))
+    text = F.ltrim(F.col(body))
+    error = F.when(text.startswith("["), F.lit("not_object")).when(
+        F.coalesce(~text.startswith("{"), F.lit(True)) | F.col("payload._bad").isNotNull(), F.lit("invalid_json")
     )
+    return compute_once(raw, {"payload": parsed}).withColumn("decode_error", error)
 
 
 def stamp_receipt(raw: DataFrame, received: str = "received_at") -> DataFrame:
@@ -84,17 +80,26 @@ def stamp_receipt(raw: DataFrame, received: str = "received_at") -> DataFrame:
     return raw.withColumn(received, F.coalesce(received, F.current_timestamp()))
 
 
-def message_problem() -> Column:
-    """First reason why a decoded message cannot be shown, or NULL."""
+NUMBERS = ("lat", "lng", *schemas.METRICS)
+
+
+def check_messages(raw: DataFrame, body: str = "body") -> DataFrame:
+    """Add the payload, its numbers, its trimmed code, and ``reason``: the first
+    thing that keeps the message from being shown, or NULL."""
     p = F.col("payload")
     code = F.trim(F.coalesce(p["facility_code"], F.lit("")))
-    return (
+    checked = compute_once(
+        decode_messages(raw, body),
+        {"facility_code": code, **{c: tolerant_float(p[c]) for c in NUMBERS}},
+    )
+    reason = (
         F.when(F.col("decode_error").isNotNull(), F.col("decode_error"))
-        .when(code == "", F.lit("no_facility_code"))
-        .when(tolerant_float(p["lat"]).isNull(), F.lit("bad_lat"))
-        .when(tolerant_float(p["lng"]).isNull(), F.lit("bad_lng"))
-        .when(tolerant_float(p["power_value"]).isNull(), F.lit("bad_power_value"))
+        .when(F.col("facility_code") == "", F.lit("no_facility_code"))
+        .when(F.col("lat").isNull(), F.lit("bad_lat"))
+        .when(F.col("lng").isNull(), F.lit("bad_lng"))
+        .when(F.col("power_value").isNull(), F.lit("bad_power_value"))
     )
+    return checked.withColumn("reason", reason)
 
 
 def normalize_messages(raw: DataFrame, body: str = "body", topic: str = "topic") -> DataFrame:
@@ -103,28 +108,24 @@ def normalize_messages(raw: DataFrame, body: str = "body", topic: str = "topic")
     Columns of the input other than the body are kept.
     """
     kept = [c for c in raw.columns if c not in (body, topic)]
-    good = decode_messages(raw, body).filter(message_problem().isNull())
-    p = F.col("payload")
-    code = F.trim(p["facility_code"])
-
-    def measure(name: str) -> Column:
-        return round_value(F.coalesce(tolerant_float(p[name]), F.lit(0.0)))
-
-    return good.select(
+    good = check_messages(raw, body).filter(F.col("reason").isNull())
+    p, code = F.col("payload"), F.col("facility_code")
+    named = good.select(
         *kept,
-        code.alias("facility_code"),
+        code,
         default_if_empty(p["facility_name"], code).alias("facility_name"),
-        tolerant_float(p["lat"]).alias("lat"),
-        tolerant_float(p["lng"]).alias("lng"),
+        "lat",
+        "lng",
         F.coalesce(p["timestamp"], F.lit("")).alias("timestamp"),
-        *(measure(m).alias(m) for m in schemas.METRICS),
+        *(F.coalesce(m, F.lit(0.0)).alias(m) for m in schemas.METRICS),
         default_if_empty(p["state"], F.lit(UNKNOWN_REGION)).alias("state"),
         default_if_empty(p["fuel_list"], F.lit(UNKNOWN_FUEL)).alias("fuel_list"),
         F.col(topic).alias("topic"),
     )
+    return round_columns(named, schemas.METRICS)
 
 
 def quarantined_messages(raw: DataFrame, body: str = "body") -> DataFrame:
     """The messages ``normalize_messages`` leaves out, with the reason."""
-    decoded = decode_messages(raw, body).withColumn("reason", message_problem())
-    return decoded.filter(F.col("reason").isNotNull()).drop("payload", "decode_error")
+    checked = check_messages(raw, body).filter(F.col("reason").isNotNull())
+    return checked.select(*raw.columns, "reason")
