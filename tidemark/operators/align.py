@@ -20,39 +20,33 @@ def _text_blocks(text: Column, q: int) -> Column:
 
 
 def _name_probes(names: DataFrame, q: int) -> DataFrame:
-    """q probes per name: ``_name, _probe, _at`` (0-based place of the probe in the name).
+    """Distinct ``_probe, _at, _size``: the q pieces at places 0 .. q-1 of each name.
 
-    The first block of a text that starts at or after place ``a`` of an occurrence
-    of the name equals exactly one of the q pieces at places ``a .. a+q-1``. The
-    start ``a`` is free as long as the last piece fits; it is chosen so that the
-    pieces are rare among the names, so that a common prefix does not make every
-    text meet every name.
+    The first whole block of a text that starts inside an occurrence of a name
+    is one of these pieces. A piece with its place and the size of the name
+    says which part of the text to look up among the names, so names with a
+    common beginning share their probes and a text does not meet them one by one.
     """
-    last = F.length("_name") - (2 * q - 1)
-    starts = F.array_distinct(F.array_append(F.sequence(F.lit(0), last, F.lit(q)), last))
-    pieces = names.select("_name", F.explode(starts).alias("_start")).select(
-        "_name", "_start", F.explode(F.sequence(F.lit(0), F.lit(q - 1))).alias("_o")
-    )
-    pieces = pieces.select(
-        "_name",
-        "_start",
-        (F.col("_start") + F.col("_o")).alias("_at"),
-        F.col("_name").substr(F.col("_start") + F.col("_o") + 1, F.lit(q)).alias("_probe"),
-    )
-    common = pieces.groupBy("_probe").agg(F.count(F.lit(1)).alias("_uses"))
-    weighed = pieces.join(common, "_probe").groupBy("_name", "_start").agg(
-        F.sum("_uses").alias("_weight")
-    )
-    best = weighed.groupBy("_name").agg(
-        F.min(F.struct("_weight", "_start")).alias("_best")
-    ).select("_name", F.col("_best._start").alias("_start"))
-    return pieces.join(best, ["_name", "_start"]).select("_name", "_probe", "_at")
+    pieces = names.select("_name", F.explode(F.sequence(F.lit(0), F.lit(q - 1))).alias("_at"))
+    return pieces.select(
+        F.col("_name").substr(F.col("_at") + 1, F.lit(q)).alias("_probe"),
+        "_at",
+        F.length("_name").alias("_size"),
+    ).distinct()
 
 
-def _occurs_first_at(text: Column, q: int) -> Column:
-    """True on the one probe hit that belongs to the name's first occurrence."""
+def _candidates(hits: DataFrame, text: str, q: int) -> DataFrame:
+    """The part of the text that a probe hit points at, and where it starts."""
     start = F.col("_block") * q - F.col("_at") + 1
-    return F.instr(text, F.col("_name")) == start
+    placed = hits.withColumn("_start", start).filter("_start > 0")
+    part = F.col(text).substr(F.col("_start"), F.col("_size"))
+    # A part cut short by the end of the text belongs to a smaller size.
+    return placed.withColumn("_part", part).filter(F.length("_part") == F.col("_size"))
+
+
+def _is_first(text: str) -> Column:
+    """True on the one hit that belongs to the first occurrence of the part."""
+    return F.instr(F.col(text), F.col("_part")) == F.col("_start")
 
 
 def _short_pieces(text: Column) -> Column:
@@ -69,12 +63,11 @@ def containing_texts(
 ) -> DataFrame:
     """Rows of ``texts`` with, in ``_name``, each distinct name they contain.
 
-    Exact and case-sensitive. No pair is formed without a shared block, and
-    nothing is compared twice: a pair is kept on the hit of the name's first
-    occurrence only. The size of the name side is measured; up to
-    ``broadcast_limit`` bytes the texts are never shuffled. Beyond it distinct
-    texts are matched by a shuffle on blocks that carries their hash, not their
-    content.
+    Exact and case-sensitive. Parts of a text are looked up among the names by
+    equality, and a pair is kept on the hit of the name's first occurrence only.
+    The size of the name side is measured; up to ``broadcast_limit`` bytes the
+    texts are never shuffled. Beyond it distinct texts are matched by a shuffle
+    on blocks that carries their hash, not their content.
     """
     wanted = names.select(F.col(name).alias("_name")).filter(F.col("_name").isNotNull()).distinct()
     size = F.length("_name")
@@ -117,7 +110,9 @@ def _probe_in_place(names: DataFrame, texts: DataFrame, text: str, q: int) -> Da
         return hits.drop("_piece")
     blocks = texts.select("*", F.posexplode(_text_blocks(F.col(text), q)).alias("_block", "_piece"))
     hits = blocks.join(F.broadcast(_name_probes(names, q)), F.col("_piece") == F.col("_probe"))
-    return hits.filter(_occurs_first_at(F.col(text), q)).drop("_block", "_piece", "_probe", "_at")
+    parts = _candidates(hits, text, q)
+    found = parts.join(F.broadcast(names), F.col("_part") == F.col("_name")).filter(_is_first(text))
+    return found.drop("_block", "_piece", "_probe", "_at", "_size", "_start", "_part")
 
 
 def _probe_by_shuffle(names: DataFrame, texts: DataFrame, text: str, q: int) -> DataFrame:
@@ -131,8 +126,8 @@ def _probe_by_shuffle(names: DataFrame, texts: DataFrame, text: str, q: int) ->
             "_key", F.posexplode(_text_blocks(F.col("_text"), q)).alias("_block", "_probe")
         )
         hits = blocks.join(_name_probes(names, q), "_probe").drop("_probe")
-        checked = hits.join(unique, "_key").filter(_occurs_first_at(F.col("_text"), q))
-        pairs = checked.select("_key", "_name")
+        parts = _candidates(hits.join(unique, "_key"), "_text", q).filter(_is_first("_text"))
+        pairs = parts.select("_key", F.col("_part").alias("_name")).join(names, "_name")
     return keyed.join(pairs, "_key").drop("_key")
 
 
