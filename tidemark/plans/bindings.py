@@ -36,8 +36,8 @@ MESSAGE = {
     "arrival_seq": "event_id",
     "facility_code": "concat('F', user_id)",
     "facility_name": "concat('Station ', user_id)",
-    "lat": "user_id * -0.25",
-    "lng": "110 + user_id * 0.25",
+    "lat": "cast(user_id * -0.25 as double)",
+    "lng": "cast(110 + user_id * 0.25 as double)",
     "timestamp": "cast(event_id as {text})",
     "power_value": "value - 50",
     "emission_value": "value * 0.5",

@@ -55,16 +55,12 @@ def message_quarantine(spark, sf_dir):
 
 NORMALIZED_SQL = RAW + """select event_id as arrival_seq, concat('F', user_id) as facility_code,
   case when event_id % 3 = 1 then concat('Zürich ', user_id) else concat('F', user_id) end as facility_name,
-  user_id * -0.25 as lat, user_id * 0.25 as lng, round_even(value - 50, 2) as power_value,
-  round_even(case when event_type = 'signup' then 1000 else value end, 2) as emission_value, 0.0 as price_per_mwh,
-  0.0 as demand_mw, '' as "timestamp", state, fuel_list, concat('site/', event_type, '/', user_id) as topic
+  cast(user_id * -0.25 as double) as lat, cast(user_id * 0.25 as double) as lng, round_even(value - 50, 2) as power_value,
+  round_even(case when event_type = 'signup' then 1000 else value end, 2) as emission_value, 0.0::double as price_per_mwh,
+  0.0::double as demand_mw, '' as "timestamp", state, fuel_list, concat('site/', event_type, '/', user_id) as topic
   from raw where reason is null"""
 
 
-def _doubles(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("double") for c in ("lat", "lng")})
-
-
 @query("normalize_messages", NORMALIZED_SQL)
 def normalize_messages(spark, sf_dir):
     return intake.normalize_messages(raw_messages(spark, sf_dir))
@@ -79,7 +75,7 @@ COLUMNS = ", ".join(SNAPSHOT_COLUMNS)
 
 
 def _snapshot(spark, sf_dir) -> DataFrame:
-    return snapshot.latest_snapshot(_doubles(messages(spark, sf_dir)))
+    return snapshot.latest_snapshot(messages(spark, sf_dir))
 
 
 @query("latest_snapshot", LATEST + f"select {COLUMNS} from s")
@@ -216,7 +212,7 @@ def trend_frame(spark, sf_dir):
     TAIL
     + """, u as (unpivot (select place, power_value, emission_value, price_per_mwh, demand_mw from t)
       on power_value, emission_value, price_per_mwh, demand_mw into name metric value value)
-    select metric, place, round_even(place / (n - 1), 9) as x, value, round_even((value - lo) / (hi - lo), 9) as y from u, b""",
+    select metric, place::integer as place, round_even(place / (n - 1), 9) as x, value, round_even((value - lo) / (hi - lo), 9) as y from u, b""",
 )
 def trend_scaled(spark, sf_dir):
     out = trend.trend_scaled(trend.trend_frame(messages(spark, sf_dir)))
@@ -312,7 +308,7 @@ def cadence_report(spark, sf_dir):
 @query(
     "cadence_verdict",
     DELTAS
-    + f"""select 'sender' as scope, count(*) as n, count_if(delta_ns between 6000000000 and 46000000000) as within,
+    + f"""select 'sender' as scope, count(*) as n, count_if(delta_ns between 6000000000 and 46000000000)::bigint as within,
     case when count_if(delta_ns between 6000000000 and 46000000000) >= 0.95 * count(*) then 'PASS' else 'FAIL' end as verdict
     from k where scope = 'sender'""",
 )
@@ -330,7 +326,7 @@ def _events_stream(spark, sf_dir) -> DataFrame:
 
 
 def _message_stream(spark, sf_dir) -> DataFrame:
-    return _doubles(as_messages(_events_stream(spark, sf_dir)))
+    return as_messages(_events_stream(spark, sf_dir))
 
 
 @query("stream_normalize", NORMALIZED_SQL)

@@ -23,7 +23,7 @@ READINGS = f"with readings as ({readings_sql()}) "
     "facility_dim_ingest",
     """select concat('S', s_suppkey) as facility_code, s_name as facility_name,
     case when s_nationkey % 5 <> 0 then s_acctbal / 100 end as lat,
-    case when s_nationkey % 5 <> 0 then s_nationkey * 1.5 end as lng from supplier""",
+    case when s_nationkey % 5 <> 0 then cast(s_nationkey * 1.5 as double) end as lng from supplier""",
 )
 def facility_dim_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = F.struct(
@@ -214,12 +214,12 @@ def backward_fill(spark, sf_dir):
 @query(
     "quality_profile",
     READINGS
-    + """select count_if(power_value < 0) as power_value_negative_before,
-    count_if(emission_value < 0) as emission_value_negative_before,
-    count_if(power_value < 0 and false) as power_value_negative_after,
-    count_if(emission_value < 0 and false) as emission_value_negative_after,
-    count_if(power_value is null) as power_value_missing, count_if(emission_value is null) as emission_value_missing,
-    count_if(price_per_mwh is null) as price_per_mwh_missing, count_if(demand_mw is null) as demand_mw_missing,
+    + """select count(*) filter (power_value < 0) as power_value_negative_before,
+    count(*) filter (emission_value < 0) as emission_value_negative_before,
+    count(*) filter (power_value < 0 and false) as power_value_negative_after,
+    count(*) filter (emission_value < 0 and false) as emission_value_negative_after,
+    count(*) filter (power_value is null) as power_value_missing, count(*) filter (emission_value is null) as emission_value_missing,
+    count(*) filter (price_per_mwh is null) as price_per_mwh_missing, count(*) filter (demand_mw is null) as demand_mw_missing,
     count(distinct facility_code) as entities, count(*) as rows from readings""",
 )
 def quality_profile(spark, sf_dir):
@@ -332,7 +332,8 @@ def _passages(spark, sf_dir, how) -> DataFrame:
 @query(
     "align_entities",
     f"""with f as (select n_name as facility_name, concat('N', n_nationkey) as facility_code,
-      n_nationkey * 0.5 as lat, case when n_nationkey <> 7 then n_regionkey * 1.5 end as lng from nation),
+      cast(n_nationkey * 0.5 as double) as lat,
+      case when n_nationkey <> 7 then cast(n_regionkey * 1.5 as double) end as lng from nation),
     r as (select concat('NATION_', c_nationkey, ' ', c_mktsegment) as register_name, c_custkey as position,
       case when c_custkey % 50 <> 0 then {STATE} end as state,
       c_mktsegment as primary_fuel from (select *, c_custkey // 3 as user_id from customer)),
