@@ -3,6 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from pyspark.sql import functions as F
+
+from tidemark.operators.publish import after_cursor
+from tidemark.plans.bindings import readings
 
 from . import oracle
 
@@ -46,7 +50,8 @@ def test_scans_take_filters_and_columns(spark):
     plan = plan_of(spark, "range_scan")
     assert "GreaterThanOrEqual(ts" in plan and "LessThanOrEqual(ts" in plan
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,event_type:string,value:double>" in plan
-    assert "GreaterThanOrEqual" in plan_of(spark, "cursor_increment") or "ts" in plan_of(spark, "cursor_increment")
+    later = after_cursor(readings(spark, SF), F.lit("2024-01-20 05:00:00").cast("timestamp_ntz"), "F5")
+    assert "GreaterThanOrEqual(ts" in later._jdf.queryExecution().executedPlan().toString()
 
 
 def test_latest_limits_before_the_shuffle(spark):

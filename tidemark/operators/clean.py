@@ -25,18 +25,24 @@ def drop_all_null(df: DataFrame) -> DataFrame:
     return df.na.drop("all")
 
 
+def empty_entities(
+    df: DataFrame, entity: str = "facility_code", columns: Sequence[str] = FILLED
+) -> DataFrame:
+    """Entities none of whose ``columns`` ever has a value."""
+    seen = F.count_if(F.coalesce(*columns).isNotNull())
+    return df.groupBy(entity).agg(seen.alias("_seen")).filter("_seen = 0").select(entity)
+
+
 def drop_empty_entities(
     df: DataFrame, entity: str = "facility_code", columns: Sequence[str] = FILLED
 ) -> DataFrame:
-    """Drop entities none of whose ``columns`` ever has a value, and rows without entity.
+    """Drop entities without any value, and rows without entity.
 
     Anti join against the empty entities: they are few as a rule, so the big
     side is not shuffled, and an entity of any size stays spread over tasks.
     """
-    seen = F.count_if(F.coalesce(*columns).isNotNull())
     named = df.filter(F.col(entity).isNotNull())
-    empty = named.groupBy(entity).agg(seen.alias("_seen")).filter("_seen = 0").select(entity)
-    return named.join(empty, entity, "left_anti")
+    return named.join(empty_entities(named, entity, columns), entity, "left_anti")
 
 
 def clean_measures(
@@ -46,11 +52,16 @@ def clean_measures(
     columns: Sequence[str] = FILLED,
     slices: int | None = None,
 ) -> DataFrame:
-    """Clamp, drop empty entities, then fill gaps. The order of steps matters:
-    a clamped value is a known value for the fill."""
-    kept = drop_empty_entities(clamp_negative(without_nan(df, columns), columns), entity, columns)
-    filled = ordered.fill_gaps(kept, list(order), {c: c for c in columns}, [entity], slices)
-    return drop_all_null(filled)
+    """Clamp, fill gaps, drop empty entities.
+
+    The clamp comes first, as a clamped value is a known value for the fill. An
+    empty entity stays empty through the fill, so it is dropped last: the fill,
+    which reads its input several times, then reads the table itself.
+    """
+    named = clamp_negative(without_nan(df, columns), columns).filter(F.col(entity).isNotNull())
+    filled = ordered.fill_gaps(named, list(order), {c: c for c in columns}, [entity], slices)
+    kept = filled.join(empty_entities(named, entity, columns), entity, "left_anti")
+    return drop_all_null(kept).select(*df.columns)
 
 
 def quality_profile(

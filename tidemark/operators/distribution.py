@@ -34,7 +34,8 @@ def distribution(
     sliced = assign_slices(known, [*by, value], slices)
     counts = sliced.groupBy(SLICE, *by, value).agg(F.count(F.lit(1)).alias("_n"))
 
-    sizes = sliced.groupBy(SLICE, *by).agg(F.count(F.lit(1)).alias("_size"))
+    # From the counts, not from the input: both readers share one shuffle.
+    sizes = counts.groupBy(SLICE, *by).agg(F.sum("_n").alias("_size"))
     carry = (
         sizes.withColumns(
             {

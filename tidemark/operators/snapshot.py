@@ -185,10 +185,10 @@ def since_reset(
 ) -> DataFrame:
     """Messages of the current epoch, with the ``epoch`` number. The first message
     marks the start unless one is given."""
-    begin = messages.agg(F.min(received)).scalar() if start is None else start
+    span = messages.agg(F.struct(F.min(received).alias("first"), F.max(received).alias("last"))).scalar()
+    begin = span["first"] if start is None else start
     numbered = messages.withColumn("epoch", reset_epoch(F.col(received), begin, hours))
-    newest = messages.agg(F.max(received)).scalar()
-    return numbered.filter(F.col("epoch") == reset_epoch(newest, begin, hours))
+    return numbered.filter(F.col("epoch") == reset_epoch(span["last"], begin, hours))
 
 
 def stream_status(
@@ -204,8 +204,8 @@ def stream_status(
     current = since_reset(messages, received, hours)
     store = last_messages(current, n, arrival)
     shown = latest_snapshot(store, arrival=arrival)
-    total = messages.agg(F.count(F.lit(1))).scalar()
-    begin = messages.agg(F.min(received)).scalar()
+    totals = messages.agg(F.struct(F.count(F.lit(1)).alias("n"), F.min(received).alias("first"))).scalar()
+    total, begin = totals["n"], totals["first"]
     span = F.lit(int(hours * 3600 * 1000000))
     reset_at = begin + F.coalesce(F.max("epoch"), F.lit(0)) * span
     return current.agg(
