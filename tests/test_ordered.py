@@ -47,7 +47,7 @@ def random_rows(seed, n=1500, hot=0.34, keys=25, missing=0.5):
     return rows
 
 
-@pytest.fixture(scope="module", params=[1, 7, 64])
+@pytest.fixture(scope="module", params=[1, 29])
 def case(request, spark):
     rows = random_rows(request.param)
     df = spark.createDataFrame(rows, "k string, t long, v double, w double").repartition(5)
@@ -109,22 +109,35 @@ def test_fills(case):
                 assert bwd[r[1]][at] == bf[i]
 
 
-@pytest.mark.parametrize(
-    "given,want",
-    [
-        ([1, None, 9], [1, 9, 9]),
-        ([1, None, None, 9], [1, 1, 9, 9]),
-        ([1, None, None, None, 9], [1, 1, 9, 9, 9]),
-        ([None, None, 9], [None, 9, 9]),
-        ([1, None, None], [1, 1, None]),
-        ([None, None, None], [None, None, None]),
-    ],
-)
-@pytest.mark.parametrize("slices", [1, 3])
-def test_gap_rules(spark, given, want, slices):
-    df = spark.createDataFrame(list(enumerate(given)), "t int, v int")
-    got = ordered.fill_gaps(df, ["t"], {"v": "v"}, slices=slices).orderBy("t").collect()
-    assert [r.v for r in got] == want
+GAP_RULES = [
+    ([1, None, 9], [1, 9, 9]),
+    ([1, None, None, 9], [1, 1, 9, 9]),
+    ([1, None, None, None, 9], [1, 1, 9, 9, 9]),
+    ([None, None, 9], [None, 9, 9]),
+    ([1, None, None], [1, 1, None]),
+    ([None, None, None], [None, None, None]),
+]
+
+
+@pytest.mark.parametrize("slices", [1, 12])
+def test_gap_rules(spark, slices):
+    rows = [(k, t, v) for k, (given, _) in enumerate(GAP_RULES) for t, v in enumerate(given)]
+    df = spark.createDataFrame(rows, "k int, t int, v int")
+    got = ordered.fill_gaps(df, ["t"], {"v": "v"}, ["k"], slices).orderBy("k", "t").collect()
+    assert [r.v for r in got] == [v for _, want in GAP_RULES for v in want]
+
+
+def test_null_order_and_key_values(spark):
+    rows = [("a", None, 1), ("a", 1, None), ("a", 2, 3), (None, 1, 7), (None, 2, None)]
+    df = spark.createDataFrame(rows, "k string, t int, v int")
+    got = ordered.fill_forward(df, ["t"], {"f": "v"}, ["k"], slices=3).collect()
+    assert {(r.k, r.t): r.f for r in got} == {("a", None): 1, ("a", 1): 1, ("a", 2): 3, (None, 1): 7, (None, 2): 7}
+    back = ordered.fill_backward(df, ["t"], {"f": "v"}, ["k"], slices=3)
+    assert {(r.k, r.t): r.f for r in back.collect()} == {("a", None): 1, ("a", 1): 3, ("a", 2): 3, (None, 1): 7, (None, 2): None}
+    lagged = ordered.previous_values(df, ["t"], {"p": "v"}, ["k"], slices=3)
+    assert {(r.k, r.t): r.p for r in lagged.collect()} == {("a", None): None, ("a", 1): 1, ("a", 2): None, (None, 1): None, (None, 2): 7}
+    one = ordered.number_rows(spark.createDataFrame([(None,), (3,), (1,)], "t int"), ["t"], name="n", slices=4)
+    assert {r.t: r.n for r in one.collect()} == {None: 1, 1: 2, 3: 3}
 
 
 @pytest.mark.parametrize("slices", [1, 40])

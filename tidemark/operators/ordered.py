@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 SLICE = "_slice"
 MAX_SLICES = 1 << 16
-SAMPLES_PER_SLICE = 16
+SAMPLE_ROWS = 1 << 19
 _HASH_SPACE = 1 << 40
 
 
@@ -35,21 +35,48 @@ def default_slices(df: DataFrame) -> int:
     return max(2, min(MAX_SLICES, 2 * tasks))
 
 
+def _ordering(order: Sequence[str]) -> Column:
+    """One orderable column. A single one compares faster and keeps ``max_by`` in
+    hash aggregation."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+
+def _end_value(col: str, order: Sequence[str], first: bool = False, known: bool = False) -> Column:
+    """Aggregate: ``col`` on the last (first) row, or on the last (first) known one.
+
+    A NULL order value sorts first, but ``max_by`` and ``min_by`` pass over it;
+    as the order is total there is one such row at most, handled on its own.
+    """
+    at = _ordering(order)
+    value = F.col(col)
+    place = F.when(value.isNotNull(), at) if known else at
+    found = F.min_by(value, place) if first else F.max_by(value, place)
+    if len(order) > 1:
+        return found
+    unplaced = F.first(F.when(at.isNull(), value), ignorenulls=True)
+    if first:
+        return F.coalesce(unplaced, found)
+    if known:
+        return F.coalesce(found, unplaced)
+    return F.when(F.max(at).isNotNull(), found).otherwise(unplaced)
+
+
 def slice_bounds(df: DataFrame, order: Sequence[str], slices: int) -> DataFrame:
-    """One row with ``slices - 1`` ascending bounds, as structs of the order columns.
+    """One row with ``slices - 1`` ascending bounds on the order columns.
 
     Rows are picked by the hash of their order columns, so every evaluation of
-    this frame gives the same bounds. About ``slices * SAMPLES_PER_SLICE`` rows
-    are picked whatever the table size; ``distinct`` keeps copies of one value
-    from filling the sample.
+    this frame gives the same bounds. 8 to 64 rows per slice are picked, about
+    ``SAMPLE_ROWS`` at most whatever the table size; ``distinct`` keeps copies
+    of one value from filling the sample.
     """
-    wanted = float(slices * SAMPLES_PER_SLICE) * _HASH_SPACE
+    per_slice = max(8, min(64, SAMPLE_ROWS // slices))
+    wanted = float(slices * per_slice) * _HASH_SPACE
     rows = df.agg(F.count(F.lit(1))).scalar()
     keys = df.select(*order)
     picked = keys.filter(
         F.pmod(F.xxhash64(*order), F.lit(_HASH_SPACE)) < F.try_divide(F.lit(wanted), rows)
     ).distinct()
-    ranked = picked.agg(F.array_sort(F.collect_list(F.struct(*order))).alias("s"))
+    ranked = picked.agg(F.array_sort(F.collect_list(_ordering(order))).alias("s"))
     cuts = F.transform(
         F.sequence(F.lit(1), F.lit(slices - 1)),
         lambda i: F.get("s", F.floor(i * F.size("s") / F.lit(slices)).cast("int")),
@@ -67,7 +94,7 @@ def assign_slices(df: DataFrame, order: Sequence[str], slices: int | None = None
     out = df.withColumn("_bounds", slice_bounds(df, order, count).scalar()).withColumn(
         SLICE, F.lit(0)
     )
-    key = F.struct(*order)
+    key = _ordering(order)
     step = 1 << max(0, (count - 1).bit_length() - 1)
     while step:
         below = F.get(F.col("_bounds"), F.col(SLICE) + (step - 1)) <= key
@@ -76,11 +103,6 @@ def assign_slices(df: DataFrame, order: Sequence[str], slices: int | None = None
     return out.drop("_bounds")
 
 
-def _ordering(order: Sequence[str]) -> Column:
-    """One orderable column; a single one keeps ``max_by`` in hash aggregation."""
-    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
-
-
 def _over_slices(by: Sequence[str], descending: bool = False):
     at = F.col(SLICE).desc() if descending else F.col(SLICE).asc()
     return Window.partitionBy(*by).orderBy(at)
@@ -141,9 +163,8 @@ def previous_values(
 ) -> DataFrame:
     """``lag``: add, per ``{new name: column}``, the value on the row before."""
     sliced = assign_slices(df, [*by, *order], slices)
-    ordering = _ordering(order)
     ends = sliced.groupBy(SLICE, *by).agg(
-        *(F.max_by(col, ordering).alias(f"_end_{new}") for new, col in values.items())
+        *(_end_value(col, order).alias(f"_end_{new}") for new, col in values.items())
     )
     over = _over_slices(by)
     carry = (
@@ -173,11 +194,9 @@ def previous_values(
 
 def _fill(df, order, values, by, slices, descending):
     sliced = assign_slices(df, [*by, *order], slices)
-    ordering = _ordering(order)
-    pick = F.min_by if descending else F.max_by
     ends = sliced.groupBy(SLICE, *by).agg(
         *(
-            pick(col, F.when(F.col(col).isNotNull(), ordering)).alias(f"_end_{col}")
+            _end_value(col, order, first=descending, known=True).alias(f"_end_{col}")
             for col in values.values()
         )
     )
