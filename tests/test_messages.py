@@ -107,7 +107,7 @@ def test_map_and_fingerprint(spark):
     last = snapshot.latest_snapshot(live(spark))
     points = {r.facility_code: r for r in snapshot.map_points(last, "emission_value").collect()}
     assert [points[c].colour for c in "ABC"] == ["red", "orange", "red"]
-    assert points["A"].tooltip == "A | Emissions: 1.00 tCO2e" and points["A"].value == 1.0
+    assert points["A"].tooltip == "A | Emissions: 1.0 tCO2e" and points["A"].value == 1.0
     key = lambda df: snapshot.fingerprint(df).first().digest
     assert key(last) == key(last.repartition(7).withColumn("power_value", F.lit(1.0)))
     assert key(last) != key(last.withColumn("lat", F.lit(1.00002)))

@@ -16,8 +16,7 @@ UNUSUAL = r"[^0-9eE+. -]"
 # Texts that stand for a missing number.
 MISSING_TEXTS = ("", "NA", "N/A", "null", "None")
 
-TIES_LAT_LNG = 5
-TIES_VALUE = 2
+VALUE_PLACES = 2
 
 
 def nan_to_null(x: Column) -> Column:
@@ -48,7 +47,7 @@ def default_if_empty(x: Column, default: Column) -> Column:
     return F.coalesce(F.nullif(x, F.lit("")), default)
 
 
-def round_value(x: Column, places: int = TIES_VALUE) -> Column:
+def round_value(x: Column, places: int = VALUE_PLACES) -> Column:
     """Round the exact binary value to the nearest decimal, ties to even.
 
     The built-in functions round the shortest decimal text of a double instead
@@ -73,6 +72,11 @@ def round_value(x: Column, places: int = TIES_VALUE) -> Column:
     return F.when(F.abs(product) < EXACT_LIMIT, nearest / scale).otherwise(value)
 
 
+def short_number(x: Column) -> Column:
+    """Text of a number with two places, a last zero left out: 1.0, 1.5, 1.55."""
+    return F.regexp_replace(F.format_string("%.2f", x), "0$", "")
+
+
 def list_from_text(x: Column) -> Column:
     """``['a', 'b']`` (either quote) to an array; other text to a one-element array."""
     parsed = F.from_json(x, "array<string>")

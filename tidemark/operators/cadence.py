@@ -13,6 +13,7 @@ from ..session import settle
 from .distribution import distribution
 from .ordered import previous_values
 
+# Expected interval, tolerance, share required to pass, sample length.
 EXPECTED_S = 0.1
 TOLERANCE_S = 0.02
 REQUIRED_SHARE = 0.95

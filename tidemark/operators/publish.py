@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..schemas import METRIC_UNIT
 from .ordered import number_rows
 
+# Tick of the replay, fields of a message in their order.
 TICK_MS = 100
 TOPIC_ROOT = "measurements"
 ORDER = ["ts", "facility_code"]

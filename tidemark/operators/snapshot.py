@@ -6,14 +6,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalars import any_contains, round_value
+from ..functions.scalars import any_contains, round_value, short_number
 from ..session import settle
 from .distribution import distribution
 
+# Messages in the live store, hours between soft resets.
 STORE_SIZE = 1000
 RESET_HOURS = 6.0
 ALL = "All"
-# The choices of the two filters.
+# The choices of the two filters, the columns of the preview, the
+# fields of the latest message, the lines of a map popup (label, column, unit),
+# and the fuels behind the colours of the map.
 FUELS = (ALL, "Solar", "Wind", "Hydro", "Gas", "Coal", "Battery", "Biomass")
 REGIONS = (ALL, "ACT", "NSW", "NT", "QLD", "SA", "TAS", "VIC", "WA")
 PREVIEW = (
@@ -27,6 +30,17 @@ PREVIEW = (
     "demand_mw",
     "timestamp",
 )
+DETAIL_LINES = (
+    ("Facility Code", "facility_code", ""),
+    ("Region", "state", ""),
+    ("Fuel Type", "fuel_list", ""),
+    ("Last Payload Time", "timestamp", ""),
+    ("Power Output", "power_value", "MW"),
+    ("CO2 Emissions", "emission_value", "tCO2e"),
+    ("Current Price", "price_per_mwh", "$/MWh"),
+    ("Grid Demand", "demand_mw", "MW"),
+)
+RENEWABLE = ("Solar", "Wind", "Hydro")
 LATEST_FIELDS = ("facility_code", "facility_name", "state", "fuel_list", "timestamp", "received_at")
 
 
@@ -112,22 +126,19 @@ def map_points(snapshot: DataFrame, mode: str = "power_value") -> DataFrame:
     is_power = mode == "power_value"
     unit, label = ("MW", "Power") if is_power else ("tCO2e", "Emissions")
     colour = (
-        F.when(_has_fuel(snapshot, "fuel_list", "Solar", "Wind", "Hydro"), "green")
+        F.when(_has_fuel(snapshot, "fuel_list", *RENEWABLE), "green")
         .when(_has_fuel(snapshot, "fuel_list", "Gas"), "orange")
         .otherwise("red")
     )
-    fuels = F.col("fuel_list").cast("string")
-    detail = F.concat_ws(
-        "\n",
-        F.col("facility_name"),
-        F.concat(F.lit("Facility Code: "), "facility_code"),
-        F.concat(F.lit("Region: "), "state"),
-        F.concat(F.lit("Fuel Type: "), fuels),
-        F.concat(F.lit("Last Payload Time: "), "timestamp"),
-        F.concat(F.lit("Power Output: "), F.format_string("%.2f", "power_value"), F.lit(" MW")),
-        F.concat(F.lit("CO2 Emissions: "), F.format_string("%.2f", "emission_value"), F.lit(" tCO2e")),
-        F.concat(F.lit("Current Price: "), F.format_string("%.2f", "price_per_mwh"), F.lit(" $/MWh")),
-        F.concat(F.lit("Grid Demand: "), F.format_string("%.2f", "demand_mw"), F.lit(" MW")),
+    lines = [
+        F.concat(F.lit(f"{name}: "), short_number(F.col(c)), F.lit(f" {u}"))
+        if u
+        else F.concat(F.lit(f"{name}: "), F.col(c).cast("string"))
+        for name, c, u in DETAIL_LINES
+    ]
+    detail = F.concat_ws("\n", "facility_name", *lines)
+    tooltip = F.format_string(
+        "%s | %s: %s %s", "facility_name", F.lit(label), short_number(F.col(mode)), F.lit(unit)
     )
     return snapshot.select(
         "facility_code",
@@ -137,7 +148,7 @@ def map_points(snapshot: DataFrame, mode: str = "power_value") -> DataFrame:
         F.lit(unit).alias("unit"),
         F.lit(label).alias("label"),
         colour.alias("colour"),
-        F.format_string("%s | %s: %.2f %s", "facility_name", F.lit(label), F.col(mode), F.lit(unit)).alias("tooltip"),
+        tooltip.alias("tooltip"),
         detail.alias("detail"),
     )
 

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.times import to_wall
 from ..schemas import METRICS
 
+# Messages in the trend, labels on its value axis.
 TAIL = 120
 TICKS = 5
 
@@ -56,6 +58,11 @@ def trend_scaled(
     )
 
 
+def _utc_wall(df: DataFrame, column: str) -> Column:
+    instant = df.schema[column].dataType.typeName() == "timestamp"
+    return to_wall(F.col(column), "UTC") if instant else F.col(column)
+
+
 def trend_ticks(
     frame: DataFrame,
     tail: int = TAIL,
@@ -64,7 +71,7 @@ def trend_ticks(
     metrics: Sequence[str] = METRICS,
 ) -> DataFrame:
     """Axis labels: five even steps from the highest to the lowest value, and the
-    times of the first, middle and last row (once each, none for a single row)."""
+    UTC times of the first, middle and last row (once each, none for a single row)."""
     rows = trend_tail(frame, tail, arrival)
     rows = rows.withColumns(_bounds(rows, metrics))
     steps = rows.filter(F.col("place") == 0).select(
@@ -84,6 +91,6 @@ def trend_ticks(
         F.lit("x").alias("axis"),
         F.col("place").cast("int").alias("place"),
         F.lit(None).cast("double").alias("value"),
-        F.date_format(received, "HH:mm:ss").alias("label"),
+        F.substring(_utc_wall(rows, received).cast("string"), 12, 8).alias("label"),
     )
     return y.unionByName(x)

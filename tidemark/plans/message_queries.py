@@ -147,12 +147,13 @@ def snapshot_preview(spark, sf_dir):
     + """select facility_code, lat, lng, power_value as value, 'MW' as unit, 'Power' as label,
     case when contains(fuel_list, 'Solar') or contains(fuel_list, 'Wind') or contains(fuel_list, 'Hydro') then 'green'
       when contains(fuel_list, 'Gas') then 'orange' else 'red' end as colour,
-    printf('%s | Power: %.2f MW', facility_name, power_value) as tooltip,
+    facility_name || ' | Power: ' || regexp_replace(printf('%.2f', power_value), '0$', '') || ' MW' as tooltip,
     facility_name || chr(10) || 'Facility Code: ' || facility_code || chr(10) || 'Region: ' || state || chr(10)
       || 'Fuel Type: ' || fuel_list || chr(10) || 'Last Payload Time: ' || "timestamp" || chr(10)
-      || printf('Power Output: %.2f MW', power_value) || chr(10) || printf('CO2 Emissions: %.2f tCO2e', emission_value)
-      || chr(10) || printf('Current Price: %.2f $/MWh', price_per_mwh) || chr(10)
-      || printf('Grid Demand: %.2f MW', demand_mw) as detail from s""",
+      || 'Power Output: ' || regexp_replace(printf('%.2f', power_value), '0$', '') || ' MW' || chr(10)
+      || 'CO2 Emissions: ' || regexp_replace(printf('%.2f', emission_value), '0$', '') || ' tCO2e' || chr(10)
+      || 'Current Price: ' || regexp_replace(printf('%.2f', price_per_mwh), '0$', '') || ' $/MWh' || chr(10)
+      || 'Grid Demand: ' || regexp_replace(printf('%.2f', demand_mw), '0$', '') || ' MW' as detail from s""",
 )
 def map_points(spark, sf_dir):
     return snapshot.map_points(_snapshot(spark, sf_dir))
