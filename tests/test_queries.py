@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.publish import after_cursor
 from tidemark.plans.bindings import readings
+from tidemark.plans.catalog import ORACLES, QUERIES
 
 from . import oracle
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(entry.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +21,8 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(NAMES)
+    assert set(ORACLES) == set(NAMES)
+    assert QUERIES.keys() <= entry.queries().keys() and ORACLES.keys() <= entry.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", NAMES)
