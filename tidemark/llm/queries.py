@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import Query
-from . import mixing, secret_scan
+from . import mixing, secret_scan, winnowing
 from .text import table
 
 QUERIES: dict[str, Query] = {}
@@ -118,3 +118,17 @@ def op10_scan_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secret_scan.as_text(F.col("base")), 256).alias("base_sha256"),
         secret_scan.as_text(F.col("spans")).alias("spans"),
     )
+
+
+@query("op7_winnow_fingerprints")
+def op7_winnow_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return winnowing.compare_edits(docs).select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        winnowing.digest(F.col("entries")).alias("fingerprint"),
+        winnowing.digest(F.col("edited_entries")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
