@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import Query
-from . import mixing, secret_scan, winnowing
+from . import line_dedup, mixing, secret_scan, winnowing
 from .text import table
 
 QUERIES: dict[str, Query] = {}
@@ -132,3 +132,26 @@ def op7_winnow_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         "near_edited",
         "near_next",
     )
+
+
+OP3_SQL = r"""
+with lines as (
+  select doc_id, i, ls[i + 1] as line from (
+    select doc_id, ls, unnest(range(len(ls))) as i from (
+      select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents))),
+keyed as (select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k from lines),
+common as (select k, max(doc_id) as keeper from keyed where length(k) >= 20 group by k having count(distinct doc_id) >= 3)
+select doc_id, count(*)::bigint as n_lines, count(*) filter (keeper is not null and doc_id <> keeper)::bigint as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by i) filter (keeper is null or doc_id = keeper), '')) as kept_sha256
+from keyed left join common using (k) group by doc_id
+"""
+
+
+@query("op3_dedup_lines", OP3_SQL)
+def op3_dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_dedup.dedup_lines(docs)
+    return kept.select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
