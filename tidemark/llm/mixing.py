@@ -13,7 +13,7 @@ window ever spans a whole source.
 
 Defined results: a NULL text has no words; NULL is a source of its own, after
 all others; documents without words are taken zero times; repeated rows are
-documents of their own; equal document ids are ordered by their text digest;
+documents of their own; equal document ids are ordered by the hash of their text;
 an empty table gives an empty mix. Other columns pass through unchanged; a
 column of the input that bears the name of an output column is replaced by it.
 """
@@ -126,7 +126,9 @@ def mix(
     """
     kept = [c for c in docs.columns if c.lower() not in OUTPUT]
     sized = docs.select(*kept, count_words(F.col(text)).alias("size"))
-    sized = sized.withColumn("_key", row_key(doc_id)).withColumn("_bin", F.substring("_key", 1, bin_digits))
+    sized = sized.withColumns(
+        {"_key": row_key(doc_id), "_tie": F.xxhash64(text), "_bin": F.substring(row_key(doc_id), 1, bin_digits)}
+    )
     goals = source_targets(sized, source, "size", shares, cap)
     bins = sized.groupBy(F.col(source).alias("_source"), F.col("_bin").alias("_at")).agg(
         F.sum("size").alias("_bin_size")
@@ -139,7 +141,7 @@ def mix(
     )
     inside = (
         Window.partitionBy("_source", "_at")
-        .orderBy("_key", doc_id, F.md5(F.coalesce(F.col(text), F.lit(""))))
+        .orderBy("_key", doc_id, "_tie")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     start = F.col("_offset") + F.coalesce(F.sum("size").over(inside), F.lit(0))
