@@ -30,6 +30,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import settle
+
 
 @dataclass(frozen=True)
 class Kind:
@@ -144,7 +146,7 @@ def linked(found: DataFrame, scope: int) -> DataFrame:
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", scope: int = 256) -> DataFrame:
     """Add ``base`` (strong spans) and ``spans`` (strong and linked weak spans),
     arrays of (start, rank, end, kind) by start, then kind as listed."""
-    found = parts(docs, doc_id, text)
+    found = settle(parts(docs, doc_id, text), "parts")
     strong = found.filter(F.col("rank").isin(_ranks(lambda k: k.strong)))
     reported = strong.unionByName(linked(found, scope))
     names = F.array(*(F.lit(k.name) for k in KINDS))
