@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import Query
-from . import line_dedup, mixing, secret_scan, winnowing
+from . import decontaminate, line_dedup, mixing, ngram_join, secret_scan, winnowing
 from .text import table
 
 QUERIES: dict[str, Query] = {}
@@ -155,3 +155,45 @@ def op3_dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
     )
+
+
+_OP8_WORDS = r"regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP8_SQL = f"""
+with docs as (select doc_id, coalesce({_OP8_WORDS.format(text="text")}, []) as ws from documents),
+items as (select item_id, {_OP8_WORDS.format(text="text")} as ws from benchmark),
+windows as (select distinct item_id, least(len(ws), 10) as n, array_to_string(ws[i:i + 9], ' ') as w from (
+  select item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) as i from items where len(ws) > 0)),
+sizes as (select distinct n from windows),
+grams as (select doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') as w from (
+  select doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) as i from docs, sizes where len(ws) >= n)),
+found as (select doc_id, item_id, g.n, i from grams g join windows v on g.w = v.w and g.n = v.n),
+hit as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + n)) as p from found) group by doc_id),
+named as (select doc_id, count(*) as n_items, sha256(string_agg(item, ',' order by item)) as items_sha256
+  from (select distinct doc_id, item_id::varchar as item from found) group by doc_id)
+select doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  coalesce(items_sha256, sha256('')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from docs left join hit using (doc_id) left join named using (doc_id)
+"""
+
+
+@query("op8_benchmark_overlap", OP8_SQL)
+def op8_benchmark_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.summary(decontaminate.find(docs, table(spark, sf_dir, "benchmark")))
+    return found.select(
+        F.col("_doc").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query("op9_ngram_jaccard_join")
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    joined = ngram_join.similarity_join(docs, ngram_join.Rule(k=3, percent=90))
+    return ngram_join.first_of_component(joined).select(
+        F.col("_doc").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id"
+    )
