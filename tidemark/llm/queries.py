@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import Query
-from . import decontaminate, line_dedup, mixing, ngram_join, secret_scan, winnowing
+from . import decontaminate, line_dedup, mixing, ngram_join, quality, secret_scan, winnowing
 from .text import table
 
 QUERIES: dict[str, Query] = {}
@@ -197,3 +197,17 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.first_of_component(joined).select(
         F.col("_doc").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id"
     )
+
+
+def held_out(doc_id: str = "doc_id"):
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
+
+
+@query("op6_quality_field")
+def op6_quality_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), ~held_out())
+    scored = quality.score(docs, model).drop("text")
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )

@@ -46,7 +46,7 @@ def _factors(n: int) -> np.ndarray:
     return _FACTORS if n <= len(_FACTORS) else mixed(np.arange(n, dtype=np.uint64)) | np.uint64(1)
 
 
-def _block_hashes(data: bytes, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: bytes, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and hash of each word of a block."""
     raw = np.frombuffer(data, dtype=np.uint8)
     inside = table[raw]
@@ -104,12 +104,12 @@ def blocks(texts: Sequence[bytes | None], table: np.ndarray) -> Iterator[Block]:
             size += len(texts[end] or b"") + 1
             end += 1
         if end == at + 1 and size > BLOCK:
-            found = [_block_hashes(piece, table)[1] for piece in _pieces(texts[at], table)]
+            found = [word_hashes(piece, table)[1] for piece in _pieces(texts[at], table)]
             hashes = np.concatenate(found)
             yield Block(at, hashes, np.array([len(hashes)]))
         else:
             group = [t or b"" for t in texts[at:end]]
-            starts, hashes = _block_hashes(b"\n".join(group), table)
+            starts, hashes = word_hashes(b"\n".join(group), table)
             limits = np.cumsum([len(t) + 1 for t in group])
             yield Block(at, hashes, np.searchsorted(starts, limits))
         at = end
