@@ -43,10 +43,10 @@ from pyspark.sql.types import StructField, StructType
 
 from ..session import settle
 from .components import components
+from .dense import count_rows, summed
 from .words import NON_BLANK, blocks, marked, mixed, slot_bits
 
 COUNT_SLOTS = 1 << 18
-CHUNK = 1 << 12
 MOST_MATCHES = 4
 #: Verifying one candidate costs about as much as reading so many postings.
 VERIFY_COST = 8.0
@@ -122,29 +122,19 @@ def _survey(k: int):
                 ["_doc", *CLASS, "chunk", "counts"],
             )
         if kind is not None:
-            n = COUNT_SLOTS // CHUNK
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, COUNT_SLOTS + 1, CHUNK), pa.int32()), pa.array(counts))
+            sums = count_rows(counts)
+            n = len(sums[0])
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(n, kind), *(pa.nulls(n, pa.int64()) for _ in CLASS), pa.array(np.arange(n), pa.int32()), lists],
+                [pa.nulls(n, kind), *(pa.nulls(n, pa.int64()) for _ in CLASS), *sums],
                 ["_doc", *CLASS, "chunk", "counts"],
             )
 
     return run
 
 
-def _add(chunk: pa.Table) -> pa.Table:
-    lists = chunk["counts"].combine_chunks()
-    total = lists.flatten().to_numpy().reshape(len(lists), CHUNK).sum(axis=0)
-    return pa.table({"chunk": chunk["chunk"].slice(0, 1), "counts": pa.array([total], pa.list_(pa.int64()))})
-
-
 def gram_counts(survey: DataFrame) -> np.ndarray:
     """Counts of all grams by slot; 2 MB come to the driver, whatever the input."""
-    rows = survey.filter("chunk is not null").select("chunk", "counts")
-    out = np.zeros(COUNT_SLOTS, dtype=np.int64)
-    for r in rows.groupBy("chunk").applyInArrow(_add, "chunk int, counts array<long>").collect():
-        out[r.chunk * CHUNK : (r.chunk + 1) * CHUNK] = r.counts
-    return out
+    return summed(survey.filter("chunk is not null").select("chunk", "counts"), COUNT_SLOTS)
 
 
 def choose_prefix(order_counts: np.ndarray, n: int, rule: Rule, floor: float) -> tuple[int, int]:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import Query
-from . import decontaminate, line_dedup, mixing, ngram_join, quality, secret_scan, winnowing
+from . import decontaminate, line_dedup, mixing, ngram_join, quality, secret_scan, toxicity, winnowing
 from .text import table
 
 QUERIES: dict[str, Query] = {}
@@ -211,3 +211,13 @@ def op6_quality_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
     )
+
+
+@query("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out())
+    scored = toxicity.score(docs, model).drop("text")
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )

@@ -46,20 +46,35 @@ def _factors(n: int) -> np.ndarray:
     return _FACTORS if n <= len(_FACTORS) else mixed(np.arange(n, dtype=np.uint64)) | np.uint64(1)
 
 
-def word_hashes(data: bytes, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and hash of each word of a block."""
+def word_parts(
+    data: bytes, table: np.ndarray, prefixes: Sequence[int] = ()
+) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """Start and hash of each word of a block, and for each length in ``prefixes``
+    which words are longer and the hashes of their first so many bytes."""
     raw = np.frombuffer(data, dtype=np.uint8)
     inside = table[raw]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     starts = np.flatnonzero(first)
     if not len(starts):
-        return starts, np.zeros(0, dtype=np.uint64)
+        none = np.zeros(0, dtype=np.uint64)
+        return starts, none, [(starts, none) for _ in prefixes]
     at = np.flatnonzero(inside)
     begin = np.flatnonzero(first[at])
-    place = at - np.repeat(starts, np.diff(np.append(begin, len(at))))
+    lengths = np.diff(np.append(begin, len(at)))
+    place = at - np.repeat(starts, lengths)
     parts = _factors(int(place.max()) + 1)[place] * _LOWERED[raw[at]]
-    return starts, mixed(np.add.reduceat(parts, begin))
+    short = []
+    for n in prefixes:
+        which = np.flatnonzero(lengths > n)
+        cells = begin[which][:, None] + np.arange(n)
+        short.append((which, mixed(parts[cells].sum(axis=1, dtype=np.uint64))))
+    return starts, mixed(np.add.reduceat(parts, begin)), short
+
+
+def word_hashes(data: bytes, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and hash of each word of a block."""
+    return word_parts(data, table)[:2]
 
 
 def _pieces(text: bytes, table: np.ndarray) -> Iterator[bytes]:
