@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import Query
-from . import decontaminate, line_dedup, mixing, ngram_join, quality, secret_scan, toxicity, winnowing
+from ..session import new_folder
+from . import decontaminate, line_dedup, mixing, ngram_join, quality, secret_scan, token_counts, toxicity, warc, winnowing
 from .text import table
 
 QUERIES: dict[str, Query] = {}
@@ -221,3 +222,42 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+#: The file with the vocabulary of op4.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query("op4_token_counts")
+def op4_token_counts(spark: SparkSession, sf_dir: str, model_file: str = PIECES) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, token_counts.read_pieces(model_file)).drop("text")
+
+
+OP2_SQL = """
+with pages2 as (select page_id, coalesce(html, '') as body, sha1(coalesce(html, '')) as h from pages),
+firsts as (select *, min(page_id) over (partition by h) as first from pages2)
+select page_id, strlen(body)::bigint as payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((('0x' || substr(h, (i // 4) * 5 + 1, 5))::bigint >> (15 - 5 * (i % 4))::int) & 31)::int + 1, 1)), '') as payload_digest,
+  case when page_id = first then 'response' else 'revisit' end as record_type,
+  case when page_id <> first then first end as refers_to
+from firsts
+"""
+
+
+@query("op2_warc_round_trip", OP2_SQL)
+def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    found = warc.read(spark, path)
+    is_response = F.col("type") == "response"
+    return found.select(
+        warc.page_key(F.col("id")).try_cast("long").alias("page_id"),
+        F.when(is_response, F.col("held_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(is_response, F.col("held_digest"))
+        .otherwise(F.substring_index("named_digest", ":", -1))
+        .alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        F.when(~is_response, warc.page_key(F.col("refers_to")).try_cast("long")).alias("refers_to"),
+    )
