@@ -193,17 +193,17 @@ def apply(docs: DataFrame, bitmaps: DataFrame, doc_id: str = "doc_id", text: str
     kept = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
     whole = F.coalesce(F.col(text), F.lit(""))
     keyed = docs.select(
-        *kept,
+        F.struct(*kept).alias("_kept"),
         F.col(doc_id).alias("_doc_key"),
         F.xxhash64(whole).alias("_row_key"),
-        F.size(F.split(whole, "\n")).cast("long").alias("n_lines"),
-    )
-    joined = keyed.join(
-        bitmaps, F.col("_doc_key").eqNullSafe(F.col("_doc")) & (F.col("_row_key") == F.col("_row")), "left"
+        F.size(F.split(whole, "\n")).cast("long").alias("_lines"),
     )
+    same = F.col("_doc_key").eqNullSafe(F.col("_doc")) & (F.col("_row_key") == F.col("_row"))
+    joined = keyed.join(bitmaps, same, "left")
+    old = lambda c: F.col("_kept").getField(c)
     return joined.select(
-        *(_kept(F.col(text), F.col("keep")).alias(c) if c == text else F.col(c) for c in kept),
-        "n_lines",
+        *(_kept(old(c), F.col("keep")).alias(c) if c == text else old(c).alias(c) for c in kept),
+        F.col("_lines").alias("n_lines"),
         F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
     )
 

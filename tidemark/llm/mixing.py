@@ -125,55 +125,50 @@ def mix(
     ``bin_digits``: a source is summed in 16 to that power bins.
     """
     kept = [c for c in docs.columns if c.lower() not in OUTPUT]
-    sized = docs.select(*kept, count_words(F.col(text)).alias("size"))
-    sized = sized.withColumns(
-        {"_key": row_key(doc_id), "_tie": F.xxhash64(text), "_bin": F.substring(row_key(doc_id), 1, bin_digits)}
-    )
-    goals = source_targets(sized, source, "size", shares, cap)
-    bins = sized.groupBy(F.col(source).alias("_source"), F.col("_bin").alias("_at")).agg(
-        F.sum("size").alias("_bin_size")
-    )
-    earlier = Window.partitionBy("_source").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    bins = bins.withColumn("_offset", F.coalesce(F.sum("_bin_size").over(earlier), F.lit(0)))
-    bins = bins.join(goals, F.col("_source").eqNullSafe(goals["source"])).drop(goals["source"])
-    placed = sized.join(
-        bins, F.col(source).eqNullSafe(F.col("_source")) & (F.col("_bin") == F.col("_at"))
+    sized = docs.select(
+        F.struct(*kept).alias("kept"),
+        F.col(source).alias("origin"),
+        count_words(F.col(text)).alias("size"),
+        row_key(doc_id).alias("key"),
+        F.substring(row_key(doc_id), 1, bin_digits).alias("bin"),
+        F.col(doc_id).alias("id"),
+        F.xxhash64(text).alias("tie"),
     )
+    goals = source_targets(sized, "origin", "size", shares, cap)
+    bins = sized.groupBy(F.col("origin").alias("bin_origin"), F.col("bin").alias("at")).agg(F.sum("size").alias("bin_size"))
+    earlier = Window.partitionBy("bin_origin").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    bins = bins.withColumn("offset", F.coalesce(F.sum("bin_size").over(earlier), F.lit(0)))
+    bins = bins.join(goals, F.col("bin_origin").eqNullSafe(F.col("source")))
+    placed = sized.join(bins, F.col("origin").eqNullSafe(F.col("bin_origin")) & (F.col("bin") == F.col("at")))
     inside = (
-        Window.partitionBy("_source", "_at")
-        .orderBy("_key", doc_id, "_tie")
-        .rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("bin_origin", "at").orderBy("key", "id", "tie").rowsBetween(Window.unboundedPreceding, -1)
     )
-    start = F.col("_offset") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     goal = F.floor(F.col("target") + 0.5)
-    passes = F.coalesce(F.floor(F.try_divide(goal, F.col("source_size"))), F.lit(0)).cast("long")
-    rest = F.greatest(
-        F.lit(0), F.least(F.col("size"), F.col("_goal") - F.col("_passes") * F.col("source_size") - F.col("_start"))
-    )
+    passes = F.coalesce(F.floor(F.try_divide("goal", F.col("source_size"))), F.lit(0)).cast("long")
+    part = F.col("goal") - F.col("passes") * F.col("source_size") - F.col("start")
     counted = (
-        placed.withColumn("_start", start)
-        .withColumn("_goal", goal)
-        .withColumn("_passes", passes)
-        .withColumn("_rest", rest)
+        placed.withColumns({"start": F.col("offset") + F.coalesce(F.sum("size").over(inside), F.lit(0)), "goal": goal})
+        .withColumn("passes", passes)
+        .withColumn("rest", F.greatest(F.lit(0), F.least("size", part)))
     )
 
     def one(i: Column) -> Column:
-        words = F.when(i < F.col("_passes"), F.col("size")).otherwise(F.col("_rest"))
-        middle = i * F.col("source_size") + F.col("_start") + words / 2
-        part = F.coalesce(F.try_divide(middle, F.col("_goal")), F.lit(0.0))
+        words = F.when(i < F.col("passes"), F.col("size")).otherwise(F.col("rest"))
+        middle = i * F.col("source_size") + F.col("start") + words / 2
+        share = F.coalesce(F.try_divide(middle, F.col("goal")), F.lit(0.0))
         position = F.lit(None).cast("double")
-        for turn, share in enumerate(shares):
-            position = F.when(F.col("turn") == turn, share.position(part)).otherwise(position)
+        for turn, curve in enumerate(shares):
+            position = F.when(F.col("turn") == turn, curve.position(share)).otherwise(position)
         return F.struct(i.cast("int").alias("pass"), words.cast("long").alias("words"), position.alias("position"))
 
-    every = F.transform(F.sequence(F.lit(0).cast("long"), F.col("_passes")), one)
-    return counted.withColumn("repeats", F.filter(every, lambda r: r["words"] > 0)).select(
-        *kept,
+    every = F.transform(F.sequence(F.lit(0).cast("long"), F.col("passes")), one)
+    return counted.select(
+        "kept.*",
         "size",
         "source_size",
         "target",
-        (F.col("_passes") * F.col("size") + F.col("_rest")).alias("taken"),
-        "repeats",
+        (F.col("passes") * F.col("size") + F.col("rest")).alias("taken"),
+        F.filter(every, lambda r: r["words"] > 0).alias("repeats"),
     )
 
 

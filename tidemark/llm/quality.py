@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from .text import free_name
 from .words import ALNUM, BLOCK, NON_BLANK, word_hashes
 
 _B = np.arange(256)
@@ -248,13 +249,13 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at += n
 
 
-def _score(weights):
+def _score(weights, body):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Field(**weights.value)
         for batch in batches:
-            found = [model.scores(lines) for lines in read_lines(batch["_text"].to_pylist())]
+            found = [model.scores(lines) for lines in read_lines(batch[body].to_pylist())]
             scores = pa.array(np.concatenate(found) if found else np.zeros(0))
-            keep = [c for c in batch.schema.names if c != "_text"]
+            keep = batch.schema.names[:-1]
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), scores], [*keep, "score"])
 
     return run
@@ -294,6 +295,7 @@ def fit(
 def score(docs: DataFrame, model: Field, text: str = "text") -> DataFrame:
     """Add ``score``, 0 to 1; a column of that name is replaced."""
     kept = [c for c in docs.columns if c.lower() != "score"]
-    rows = docs.select(*kept, F.col(text).cast("binary").alias("_text"))
+    body = free_name(docs, "_text")
+    rows = docs.select(*kept, F.col(text).cast("binary").alias(body))
     schema = StructType([*(rows.schema[c] for c in kept), StructField("score", DoubleType())])
-    return rows.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(vars(model))), schema)
+    return rows.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(vars(model)), body), schema)

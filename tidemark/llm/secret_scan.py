@@ -154,14 +154,16 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", scope: int
     per_doc = reported.groupBy(*KEY).agg(F.array_sort(F.collect_list(span)).alias("_all"))
     kept = [c for c in docs.columns if c.lower() not in ("base", "spans")]
     keyed = docs.select(
-        *kept, F.col(doc_id).alias("_doc_key"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("_text_key")
-    )
-    joined = keyed.join(
-        per_doc, F.col("_doc_key").eqNullSafe(F.col("_doc")) & (F.col("_text_key") == F.col("_digest")), "left"
+        F.struct(*kept).alias("_kept"),
+        F.col(doc_id).alias("_doc_key"),
+        F.md5(F.coalesce(F.col(text), F.lit(""))).alias("_text_key"),
     )
+    same = F.col("_doc_key").eqNullSafe(F.col("_doc")) & (F.col("_text_key") == F.col("_digest"))
     every = F.coalesce(F.col("_all"), F.array().cast(SPAN))
     n_strong = len(_ranks(lambda k: k.strong))
-    return joined.select(*kept, F.filter(every, lambda s: s["rank"] < n_strong).alias("base"), every.alias("spans"))
+    return keyed.join(per_doc, same, "left").select(
+        "_kept.*", F.filter(every, lambda s: s["rank"] < n_strong).alias("base"), every.alias("spans")
+    )
 
 
 def as_text(spans: Column) -> Column:

@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
+from .text import free_name
+
 MARK = "▁"
 
 
@@ -113,12 +115,12 @@ class Trie:
         return result
 
 
-def _count(pieces):
+def _count(pieces, body):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie(pieces.value)
         for batch in batches:
-            rows = np.array([trie.count(t) for t in batch["_text"].to_pylist()], dtype=object).reshape(-1, 3)
-            keep = [c for c in batch.schema.names if c != "_text"]
+            rows = np.array([trie.count(t) for t in batch[body].to_pylist()], dtype=object).reshape(-1, 3)
+            keep = batch.schema.names[:-1]
             columns = [pa.array(rows[:, i].tolist(), t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64()))]
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), *columns], [*keep, "n_words", "n_tokens", "log_p"])
 
@@ -131,7 +133,8 @@ def count_tokens(docs: DataFrame, pieces: Mapping[str, float], text: str = "text
     ``pieces``: the vocabulary with log-probabilities; it goes to every task.
     """
     kept = [c for c in docs.columns if c.lower() not in ("n_words", "n_tokens", "log_p")]
-    rows = docs.select(*kept, F.col(text).cast("binary").alias("_text"))
+    body = free_name(docs, "_text")
+    rows = docs.select(*kept, F.col(text).cast("binary").alias(body))
     added = [StructField("n_words", LongType()), StructField("n_tokens", LongType()), StructField("log_p", DoubleType())]
     schema = StructType([*(rows.schema[c] for c in kept), *added])
-    return rows.mapInArrow(_count(docs.sparkSession.sparkContext.broadcast(dict(pieces))), schema)
+    return rows.mapInArrow(_count(docs.sparkSession.sparkContext.broadcast(dict(pieces)), body), schema)

@@ -35,6 +35,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from ..session import settle
 from .dense import counted
 from .quality import labelled_sample
+from .text import free_name
 from .words import ALNUM, BLOCK, marked, mixed, slot_bits, word_parts
 
 # Signs that stand for letters.
@@ -330,19 +331,19 @@ def _rows(known, log_p):
     return run
 
 
-def _score(parts, log_p):
+def _score(parts, log_p, body):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, weights, constant = parts.value
         reader = Reader(CharacterModel(log_p.value))
         for batch in batches:
-            texts = batch["_text"].to_pylist()
+            texts = batch[body].to_pylist()
             z = np.full(len(texts), constant)
             for at, hashes, owner in features(texts, reader):
                 n = int(owner.max()) + 1 if len(owner) else 0
                 for i, index in enumerate(_lookup(known, hashes, owner, n) if n else []):
                     z[at + i] += weights[index].sum()
             scores = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-            keep = [c for c in batch.schema.names if c != "_text"]
+            keep = batch.schema.names[:-1]
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), pa.array(scores)], [*keep, "score"])
 
     return run
@@ -399,8 +400,9 @@ def fit(
 def score(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
     """Add ``score``, 0 to 1; a column of that name is replaced."""
     kept = [c for c in docs.columns if c.lower() != "score"]
-    rows = docs.select(*kept, F.col(text).alias("_text"))
+    body = free_name(docs, "_text")
+    rows = docs.select(*kept, F.col(text).alias(body))
     schema = StructType([*(rows.schema[c] for c in kept), StructField("score", DoubleType())])
     context = docs.sparkSession.sparkContext
     parts = context.broadcast((model.features, model.weights, model.constant))
-    return rows.mapInArrow(_score(parts, context.broadcast(model.log_p)), schema)
+    return rows.mapInArrow(_score(parts, context.broadcast(model.log_p), body), schema)
