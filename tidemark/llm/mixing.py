@@ -162,14 +162,10 @@ def mix(
         return F.struct(i.cast("int").alias("pass"), words.cast("long").alias("words"), position.alias("position"))
 
     every = F.transform(F.sequence(F.lit(0).cast("long"), F.col("passes")), one)
-    return counted.select(
-        "kept.*",
-        "size",
-        "source_size",
-        "target",
-        (F.col("passes") * F.col("size") + F.col("rest")).alias("taken"),
-        F.filter(every, lambda r: r["words"] > 0).alias("repeats"),
-    )
+    # Apart from ``kept.*``, whose names would hide the ones used in here.
+    taken = F.col("passes") * F.col("size") + F.col("rest")
+    told = counted.withColumns({"taken": taken, "repeats": F.filter(every, lambda r: r["words"] > 0)})
+    return told.select("kept.*", *(F.col(c) for c in OUTPUT))
 
 
 def training_order(mixed: DataFrame, doc_id: str = "doc_id") -> DataFrame:

@@ -161,9 +161,10 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", scope: int
     same = F.col("_doc_key").eqNullSafe(F.col("_doc")) & (F.col("_text_key") == F.col("_digest"))
     every = F.coalesce(F.col("_all"), F.array().cast(SPAN))
     n_strong = len(_ranks(lambda k: k.strong))
-    return keyed.join(per_doc, same, "left").select(
-        "_kept.*", F.filter(every, lambda s: s["rank"] < n_strong).alias("base"), every.alias("spans")
-    )
+    joined = keyed.join(per_doc, same, "left").withColumn("spans", every)
+    told = joined.withColumn("base", F.filter("spans", lambda s: s["rank"] < n_strong))
+    # Apart from ``_kept.*``, whose names would hide the ones used above.
+    return told.select("_kept.*", "base", "spans")
 
 
 def as_text(spans: Column) -> Column:
