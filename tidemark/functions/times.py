@@ -13,7 +13,7 @@ from .frames import compute_once
 GRID_ZONE = "Australia/Sydney"
 _OFFSET = r"(Z|z|[+-]\d{2}(:?\d{2})?)$"
 _CLOCK = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?"
-_EPOCH = r"^\s*-?\d+(\.\d+)?\s*$"
+_EPOCH = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def wall_micros(ts: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import nan_to_null
@@ -54,14 +54,12 @@ def clean_measures(
 ) -> DataFrame:
     """Clamp, fill gaps, drop empty entities.
 
-    The clamp comes first, as a clamped value is a known value for the fill. An
-    empty entity stays empty through the fill, so it is dropped last: the fill,
-    which reads its input several times, then reads the table itself.
+    The clamp comes first, as a clamped value is a known value for the fill. The
+    fill itself sees which entities are empty.
     """
     named = clamp_negative(without_nan(df, columns), columns).filter(F.col(entity).isNotNull())
-    filled = ordered.fill_gaps(named, list(order), {c: c for c in columns}, [entity], slices)
-    kept = filled.join(empty_entities(named, entity, columns), entity, "left_anti")
-    return drop_all_null(kept).select(*df.columns)
+    filled = ordered.fill_gaps(named, list(order), {c: c for c in columns}, [entity], slices, keep_empty=False)
+    return drop_all_null(filled).select(*df.columns)
 
 
 def quality_profile(
@@ -81,6 +79,14 @@ def quality_profile(
     )
 
 
-def in_range(df: DataFrame, start, end, ts: str = "ts") -> DataFrame:
-    """Rows with ``start <= ts <= end``; reaches the scan as a pushed filter."""
-    return df.filter(F.col(ts).between(start, end))
+def in_range(df: DataFrame, start, end, ts: str = "ts", date: str = "event_date") -> DataFrame:
+    """Rows with ``start <= ts <= end``; reaches the scan as a pushed filter.
+
+    A table partitioned by the day of ``ts`` (UTC for instants) in a column
+    ``date`` is read only for the days of the range.
+    """
+    rows = df.filter(F.col(ts).between(start, end))
+    if date not in df.columns:
+        return rows
+    low, high = (F.to_date(F.lit(t) if not isinstance(t, Column) else t) for t in (start, end))
+    return rows.filter(F.col(date).between(low, high))

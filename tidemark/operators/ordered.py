@@ -79,7 +79,7 @@ def slice_bounds(df: DataFrame, order: Sequence[str], slices: int) -> DataFrame:
     ranked = picked.agg(F.array_sort(F.collect_list(_ordering(order))).alias("s"))
     cuts = F.transform(
         F.sequence(F.lit(1), F.lit(slices - 1)),
-        lambda i: F.get("s", F.floor(i * F.size("s") / F.lit(slices)).cast("int")),
+        lambda i: F.get("s", F.floor(i.cast("bigint") * F.size("s") / F.lit(slices)).cast("int")),
     )
     return ranked.select(cuts.alias("bounds"))
 
@@ -245,6 +245,7 @@ def fill_gaps(
     values: Mapping[str, str],
     by: Sequence[str] = (),
     slices: int | None = None,
+    keep_empty: bool = True,
 ) -> DataFrame:
     """Fill each run of missing values half from before, half from after.
 
@@ -255,6 +256,10 @@ def fill_gaps(
     Per row this needs its distance to the known value on each side, or to the
     edge of the key. Inside a slice both are differences of row numbers; a
     slice bound inside a run adds the rows carried from the slices beyond it.
+
+    ``keep_empty=False`` drops the keys none of whose columns has a value. A row
+    that finds no value on either side belongs to such a key, so this needs no
+    further look at the table.
     """
     columns = list(values.values())
     sliced = assign_slices(df, [*by, *order], slices)
@@ -318,6 +323,9 @@ def fill_gaps(
             .otherwise(F.coalesce(f"_nv_{c}", f"_next_{c}"))
         )
     kinds = ("open", "close", "prev", "next", "lu", "pv", "ld", "nv")
+    if not keep_empty:
+        near = [f"_{kind}_{c}" for kind in ("pv", "prev", "nv", "next") for c in columns]
+        main = main.filter(F.coalesce(*near).isNotNull())
     return main.withColumns(filled).drop(
         SLICE, "_up", "_down", *(f"_{kind}_{c}" for kind in kinds for c in columns)
     )

@@ -14,12 +14,13 @@ MEASURES_CSV = (
     "price_per_mwh double, demand_mw double"
 )
 
-# Numbers stay text here; ``normalize_messages`` decides what is a number.
+# Everything stays text here, so that a field of another type spoils only itself;
+# what is a number is decided when it is read.
 MESSAGE = (
-    "seq bigint, facility_code string, facility_name string, timestamp string, state string, "
+    "seq string, facility_code string, facility_name string, timestamp string, state string, "
     "fuel_list string, power_value string, emission_value string, price_per_mwh string, "
-    "demand_mw string, lat string, lng string, unit map<string,string>, "
-    "sent_mono_ns bigint, slot_mono_ns bigint"
+    "demand_mw string, lat string, lng string, unit string, "
+    "sent_mono_ns string, slot_mono_ns string"
 )
 
 METRICS = ("power_value", "emission_value", "price_per_mwh", "demand_mw")

@@ -13,6 +13,9 @@ from ..functions.scalars import default_if_empty, tolerant_float
 
 UNKNOWN_REGION = "Unknown Region"
 UNKNOWN_FUEL = "Unknown"
+JSON_BLANKS = " \t\r\n"
+# White space of all scripts, at the start or the end.
+BLANK_ENDS = r"(?U)^\s+|\s+$"
 
 
 def topic_regex(topic_filter: str) -> str:
@@ -61,16 +64,21 @@ def stream_kafka(spark: SparkSession, servers: str, topic_pattern: str, per_trig
 
 
 def decode_messages(raw: DataFrame, body: str = "body") -> DataFrame:
-    """Add the parsed ``payload`` and, where the body is no JSON object, ``decode_error``."""
-    schema = schemas.MESSAGE + ", _bad string"
-    parsed = F.from_json(
-        F.col(body), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
-    )
-    text = F.ltrim(F.col(body))
-    error = F.when(text.startswith("["), F.lit("not_object")).when(
-        F.coalesce(~text.startswith("{"), F.lit(True)) | F.col("payload._bad").isNotNull(), F.lit("invalid_json")
-    )
-    return compute_once(raw, {"payload": parsed}).withColumn("decode_error", error)
+    """Add the parsed ``payload`` and, where the body is no JSON object, ``decode_error``.
+
+    The parser stops at the end of the first value and would let text behind it
+    pass. So the body is read as the first of two elements of an array: what may
+    follow the object then breaks the array or changes its number of elements.
+    """
+    listed = F.concat(F.lit("["), F.col(body), F.lit(",{}]"))
+    schema = f"array<struct<{schemas.MESSAGE.replace(' string', ':string')}>>"
+    options = {"allowSingleQuotes": "false", "allowNumericLeadingZeros": "false"}
+    parsed = compute_once(raw, {"_listed": F.from_json(listed, schema, options)})
+    text = F.ltrim(F.col(body), F.lit(JSON_BLANKS))
+    whole = F.coalesce((F.size("_listed") == 2) & text.startswith("{"), F.lit(False))
+    error = F.when(text.startswith("["), F.lit("not_object")).when(~whole, F.lit("invalid_json"))
+    one = parsed.withColumns({"payload": F.when(whole, F.get("_listed", F.lit(0))), "decode_error": error})
+    return one.drop("_listed")
 
 
 def stamp_receipt(raw: DataFrame, received: str = "received_at") -> DataFrame:
@@ -87,7 +95,7 @@ def check_messages(raw: DataFrame, body: str = "body") -> DataFrame:
     """Add the payload, its numbers, its trimmed code, and ``reason``: the first
     thing that keeps the message from being shown, or NULL."""
     p = F.col("payload")
-    code = F.trim(F.coalesce(p["facility_code"], F.lit("")))
+    code = F.regexp_replace(F.coalesce(p["facility_code"], F.lit("")), BLANK_ENDS, "")
     checked = compute_once(
         decode_messages(raw, body),
         {"facility_code": code, **{c: tolerant_float(p[c]) for c in NUMBERS}},
