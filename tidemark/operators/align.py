@@ -8,10 +8,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.frames import compute_once
+
 BROADCAST_LIMIT = 64 << 20
 # Block sizes, largest first. A name of length n can use block size q if n >= 2q - 1.
 BLOCKS = (12, 3)
 _SHORT = 2 * BLOCKS[-1] - 2
+SEGMENT = 4096
+# The characters that mean something in a regular expression.
+SPECIAL = r"[\\^$.|?*+()\[\]{}]"
 
 
 def _text_blocks(text: Column, q: int) -> Column:
@@ -35,18 +40,26 @@ def _name_probes(names: DataFrame, q: int) -> DataFrame:
     ).distinct()
 
 
-def _candidates(hits: DataFrame, text: str, q: int) -> DataFrame:
-    """The part of the text that a probe hit points at, and where it starts."""
-    start = F.col("_block") * q - F.col("_at") + 1
-    placed = hits.withColumn("_start", start).filter("_start > 0")
-    part = F.col(text).substr(F.col("_start"), F.col("_size"))
-    # A part cut short by the end of the text belongs to a smaller size.
-    return placed.withColumn("_part", part).filter(F.length("_part") == F.col("_size"))
+def _segments(text: Column, size: int, overlap: int) -> Column:
+    """The text in pieces of ``size`` characters, each with the start of the next.
+
+    A hit then costs the length of a segment, not of the text.
+    """
+    whole = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+    ahead = lambda pieces, i: F.coalesce(F.get(pieces, i + 1).substr(1, overlap), F.lit(""))
+    bound = F.transform(F.array(whole), lambda pieces: F.transform(pieces, lambda x, i: F.concat(x, ahead(pieces, i))))
+    return F.get(bound, F.lit(0))
 
 
-def _is_first(text: str) -> Column:
-    """True on the one hit that belongs to the first occurrence of the part."""
-    return F.instr(F.col(text), F.col("_part")) == F.col("_start")
+def _candidates(hits: DataFrame, q: int, size: int) -> DataFrame:
+    """The part of a segment that a probe hit points at, and where it starts in the text."""
+    start = F.col("_block") * q - F.col("_at") + 1
+    # A part that starts in the overlap belongs to the next segment.
+    placed = hits.withColumn("_start", start).filter((F.col("_start") > 0) & (F.col("_start") <= size))
+    part = F.col("_segment").substr(F.col("_start"), F.col("_size"))
+    # A part cut short by the end of the text belongs to a smaller size.
+    whole = placed.withColumn("_part", part).filter(F.length("_part") == F.col("_size"))
+    return whole.withColumn("_start", F.col("_start") + F.col("_seg").cast("bigint") * size)
 
 
 def _short_pieces(text: Column) -> Column:
@@ -64,8 +77,8 @@ def containing_texts(
     """Rows of ``texts`` with, in ``_name``, each distinct name they contain.
 
     Exact and case-sensitive. Parts of a text are looked up among the names by
-    equality, and a pair is kept on the hit of the name's first occurrence only.
-    The size of the name side is measured; up to ``broadcast_limit`` bytes the
+    equality, and a pair is kept once. The size of the name side is measured by a
+    job of its own when this is called; up to ``broadcast_limit`` bytes the
     texts are never shuffled. Beyond it distinct texts are matched by a shuffle
     on blocks that carries their hash, not their content.
     """
@@ -83,8 +96,10 @@ def containing_texts(
             F.coalesce(F.sum(F.when(c, F.octet_length("_name") + 40) * max(q, 1)), F.lit(0)).alias(f"b{q}")
             for q, c in classes.items()
         ),
+        *(F.max(F.when(c, size)).alias(f"m{q}") for q, c in classes.items()),
         F.count_if(size == 0).alias("empty"),
     ).first()
+    in_place = sum(stats[f"b{q}"] for q in classes) <= broadcast_limit
 
     some = texts.filter(F.col(text).isNotNull())
     found = []
@@ -92,10 +107,8 @@ def containing_texts(
         if stats[f"n{q}"] == 0:
             continue
         mine = wanted.filter(in_class)
-        if stats[f"b{q}"] <= broadcast_limit:
-            found.append(_probe_in_place(mine, some, text, q))
-        else:
-            found.append(_probe_by_shuffle(mine, some, text, q))
+        probe = _probe_in_place if in_place else _probe_by_shuffle
+        found.append(probe(mine, some, text, q, stats[f"m{q}"]))
     if stats["empty"]:
         found.append(some.withColumn("_name", F.lit("")))
     if not found:
@@ -103,34 +116,54 @@ def containing_texts(
     return reduce(DataFrame.unionByName, found)
 
 
-def _probe_in_place(names: DataFrame, texts: DataFrame, text: str, q: int) -> DataFrame:
+def _probe_in_place(names: DataFrame, texts: DataFrame, text: str, q: int, longest: int) -> DataFrame:
     if q == 0:
         pieces = texts.withColumn("_piece", F.explode(_short_pieces(F.col(text))))
         hits = pieces.join(F.broadcast(names), F.col("_piece") == F.col("_name"))
         return hits.drop("_piece")
-    blocks = texts.select("*", F.posexplode(_text_blocks(F.col(text), q)).alias("_block", "_piece"))
+    size = max(SEGMENT, longest)
+    cut = texts.select("*", F.posexplode(_segments(F.col(text), size, longest)).alias("_seg", "_segment"))
+    blocks = cut.select("*", F.posexplode(_text_blocks(F.col("_segment"), q)).alias("_block", "_piece"))
     hits = blocks.join(F.broadcast(_name_probes(names, q)), F.col("_piece") == F.col("_probe"))
-    parts = _candidates(hits, text, q)
-    found = parts.join(F.broadcast(names), F.col("_part") == F.col("_name")).filter(_is_first(text))
-    return found.drop("_block", "_piece", "_probe", "_at", "_size", "_start", "_part")
+    found = _candidates(hits, q, size).join(F.broadcast(names), F.col("_part") == F.col("_name"))
+    # Only parts that are names look for their first occurrence, which is where
+    # that search ends. A plain filter would move below the join.
+    first = compute_once(found, {"_first": F.instr(F.col(text), F.col("_name")) == F.col("_start")})
+    helpers = ("_seg", "_segment", "_block", "_piece", "_probe", "_at", "_size", "_start", "_part", "_first")
+    return first.filter("_first").drop(*helpers)
 
 
-def _probe_by_shuffle(names: DataFrame, texts: DataFrame, text: str, q: int) -> DataFrame:
+def _probe_by_shuffle(names: DataFrame, texts: DataFrame, text: str, q: int, longest: int) -> DataFrame:
     keyed = texts.withColumn("_key", F.sha2(F.col(text), 256))
     unique = keyed.select("_key", F.col(text).alias("_text")).dropDuplicates(["_key"])
     if q == 0:
         pieces = unique.select("_key", F.explode(_short_pieces(F.col("_text"))).alias("_name"))
         pairs = pieces.join(names, "_name")
     else:
-        blocks = unique.select(
-            "_key", F.posexplode(_text_blocks(F.col("_text"), q)).alias("_block", "_probe")
+        size = max(SEGMENT, longest)
+        cut = unique.select("_key", F.posexplode(_segments(F.col("_text"), size, longest)).alias("_seg", "_segment"))
+        blocks = cut.select(
+            "_key", "_seg", F.posexplode(_text_blocks(F.col("_segment"), q)).alias("_block", "_probe")
         )
         hits = blocks.join(_name_probes(names, q), "_probe").drop("_probe")
-        parts = _candidates(hits.join(unique, "_key"), "_text", q).filter(_is_first("_text"))
-        pairs = parts.select("_key", F.col("_part").alias("_name")).join(names, "_name")
+        parts = _candidates(hits.join(cut, ["_key", "_seg"]), q, size)
+        pairs = parts.select("_key", F.col("_part").alias("_name")).join(names, "_name").distinct()
     return keyed.join(pairs, "_key").drop("_key")
 
 
+def _matching_texts(names: DataFrame, texts: DataFrame, name: str, text: str) -> DataFrame:
+    """Rows of ``texts`` with, in ``_name``, each name that matches in them as a regular expression.
+
+    A name without special characters matches where it is contained. Only the
+    others are tried one by one, text by text.
+    """
+    special = F.col(name).rlike(SPECIAL)
+    plain = containing_texts(names.filter(~special), texts, name, text)
+    patterns = names.filter(special).select(F.col(name).alias("_name")).distinct()
+    tried = texts.join(patterns, F.expr(f"`{text}` rlike _name"))
+    return plain.unionByName(tried)
+
+
 def contains_join(
     left: DataFrame,
     right: DataFrame,
@@ -138,12 +171,17 @@ def contains_join(
     right_on: str,
     how: str = "inner",
     broadcast_limit: int = BROADCAST_LIMIT,
+    regex: bool = False,
 ) -> DataFrame:
     """Join on "the right name contains the left name" (``how``: inner or left).
 
-    A NULL name matches nothing. Column names of the two sides must differ.
+    A NULL name matches nothing. Column names of the two sides must differ. With
+    ``regex`` the left name is a regular expression that is found in the right one.
     """
-    pairs = containing_texts(left, right, left_on, right_on, broadcast_limit)
+    if regex:
+        pairs = _matching_texts(left, right, left_on, right_on)
+    else:
+        pairs = containing_texts(left, right, left_on, right_on, broadcast_limit)
     return left.join(pairs, left[left_on] == pairs["_name"], how).drop("_name")
 
 

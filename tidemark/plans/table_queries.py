@@ -79,6 +79,47 @@ def series_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def defective_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One response per event, most of them with a defect."""
+    eid = F.col("event_id")
+    point = (
+        F.when(eid % 7 == 0, F.lit('["2025-10-05T02:30:00", 1]'))
+        .when(eid % 7 == 1, F.lit('["2025-04-06T02:30:00", 1]'))
+        .when(eid % 7 == 2, F.lit("[1.7613108e12, 1]"))
+        .otherwise(F.lit("[1761310800000, 1]"))
+    )
+    part = F.concat(F.lit('{"results":[{"name":"u","data":['), point, F.lit("]}]}"))
+    body = (
+        F.when(eid % 5 == 0, F.lit("{bad"))
+        .when(eid % 5 == 1, F.lit('{"data":[]}'))
+        .otherwise(F.concat(F.lit('{"data":['), part, F.lit(","), part, F.lit("]}")))
+    )
+    metrics = (
+        F.when(eid % 3 == 0, F.lit("&metrics=power&metrics=emissions&metrics=price"))
+        .when(eid % 3 == 1, F.lit("&date_start=2025-10-24 00:00&metrics=p%6Fwer&metrics=foo"))
+        .otherwise(F.when(eid % 2 == 0, F.lit("")).otherwise(F.lit("&metrics=power")))
+    )
+    return table(spark, sf_dir, "events").select(
+        "event_id", body.alias("body"), F.concat(F.lit("https://host/data?a=b"), metrics).alias("url")
+    )
+
+
+@query(
+    "series_quarantine",
+    """with r as (select event_id, event_id % 5 as b, event_id % 7 as p,
+      unnest(case event_id % 3 when 0 then ['power', 'emissions', 'price'] when 1 then ['power', 'foo']
+        else case when event_id % 2 = 0 then [null] else ['power'] end end) as metric from events),
+    w as (select event_id, metric, case when b = 0 then 'unreadable_body' when metric is null then 'no_metrics'
+      when metric = 'foo' then 'unknown_metric' when b = 1 then 'no_data'
+      when p = 0 then 'gap' when p = 1 then 'overlap' end as problem from r)
+    select event_id, metric, problem, count(*) as rows from w group by all""",
+)
+def series_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows, good (no problem) and quarantined ones."""
+    rows = landed.flatten_series(defective_responses(spark, sf_dir))
+    return rows.groupBy("event_id", "metric", "problem").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query("csv_scan", "select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer")
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "csv_scan")

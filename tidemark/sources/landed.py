@@ -38,6 +38,11 @@ def facility_dimension(responses: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
+def unreadable_facilities(responses: DataFrame, body: str = "body") -> DataFrame:
+    """The responses that ``facility_dimension`` can read nothing from."""
+    return responses.filter(F.from_json(body, schemas.FACILITY_RESPONSE)["data"].isNull())
+
+
 def flatten_series(
     responses: DataFrame, body: str = "body", url: str = "url", zone: str = GRID_ZONE
 ) -> DataFrame:
@@ -46,7 +51,8 @@ def flatten_series(
     Which metrics a response holds is read from its URL (``metrics=a&metrics=b``)
     and each metric's place in the response is fixed. Adds ``ts`` (instant),
     ``value`` and ``problem`` (NULL for a good row) and keeps the other input
-    columns.
+    columns. A response that gives no rows leaves one that says why:
+    ``unreadable_body``, ``no_metrics``, ``unknown_metric`` or ``no_data``.
     """
     position = F.create_map(
         *(F.lit(x) for pair in schemas.METRIC_POSITION.items() for x in pair)
@@ -54,24 +60,31 @@ def flatten_series(
     kept = [c for c in responses.columns if c not in (body, url)]
     parsed = compute_once(
         responses,
-        {
-            "_data": F.from_json(body, schemas.SERIES_RESPONSE)["data"],
-            "_metrics": F.slice(query_values(F.col(url), "metrics"), 1, 2),
-        },
+        {"_data": F.from_json(body, schemas.SERIES_RESPONSE)["data"], "_metrics": query_values(F.col(url), "metrics")},
         kept,
     )
-    rows = parsed.select(*kept, "_data", F.explode("_metrics").alias("metric"))
-    unit = F.get("_data", F.try_element_at(position, F.col("metric")))
-    rows = rows.select(*kept, "metric", F.explode(unit["results"]).alias("_u"))
-    rows = rows.select(
-        *kept, "metric", F.col("_u.name").alias("unit_name"), F.explode("_u.data").alias("_p")
+    rows = parsed.select(*kept, "_data", F.explode_outer("_metrics").alias("metric"))
+    place = F.try_element_at(position, F.col("metric"))
+    results = F.get("_data", place)["results"]
+    why = (
+        F.when(F.col("_data").isNull(), "unreadable_body")
+        .when(F.col("metric").isNull(), "no_metrics")
+        .when(place.isNull(), "unknown_metric")
+        .when(results.isNull(), "no_data")
     )
+    rows = compute_once(rows, {"_why": why, "_results": results}, [*kept, "metric"])
+    rows = rows.select(*kept, "metric", "_why", F.explode_outer("_results").alias("_u"))
+    rows = rows.filter(F.col("_u").isNotNull() | F.col("_why").isNotNull())
+    rows = rows.withColumn("_why", F.coalesce("_why", F.when(F.col("_u.data").isNull(), "no_data")))
+    rows = rows.select(*kept, "metric", "_why", F.col("_u.name").alias("unit_name"), F.explode_outer("_u.data").alias("_p"))
+    rows = rows.filter(F.col("_p").isNotNull() | F.col("_why").isNotNull())
     points = compute_once(
         rows,
         {"time_text": F.get("_p", F.lit(0)), "value": tolerant_float(F.get("_p", F.lit(1)))},
-        [*kept, "metric", "unit_name"],
+        [*kept, "metric", "unit_name", "_why"],
     )
-    return read_instants(points, "time_text", zone)
+    read = read_instants(points, "time_text", zone)
+    return read.withColumn("problem", F.coalesce("_why", "problem")).drop("_why")
 
 
 def split_problems(rows: DataFrame, reason: str = "problem") -> tuple[DataFrame, DataFrame]:
