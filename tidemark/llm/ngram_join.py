@@ -14,13 +14,15 @@ What keeps groups of copies cheap, without leaving out a link between components
 * a gram's list is first verified as a star around its most central class (the
   one in whose order the gram comes earliest), and the links are closed to
   components; a list whose classes are all connected is done;
-* of the other lists only pairs across components are counted and verified.
+* of the other lists only pairs across components whose prefixes share enough are
+  verified.
 
 So every pair of classes that could link is either verified or already connected;
 pairs inside a component are never listed.
 
-Gram frequencies come from a count of all grams in slots of fixed size; any order
-common to all documents gives the same links. Texts are read three times and never
+Gram frequencies come from counts of all grams that repeat among neighbouring
+documents, in slots of fixed number; any order common to all documents gives the
+same links. Texts are read three times and never
 shuffled. Grams are 64-bit hashes, classes 128-bit ones.
 
 Defined results: words are runs of non-blank characters with A-Z lower-cased; a
@@ -46,7 +48,9 @@ from .components import components
 from .dense import count_rows, summed
 from .words import NON_BLANK, blocks, marked, mixed, slot_bits
 
-COUNT_SLOTS = 1 << 18
+COUNT_SLOTS = 1 << 20
+#: Grams that are looked through for repeats at once.
+COUNT_BLOCK = 1 << 22
 MOST_MATCHES = 4
 #: Verifying one candidate costs about as much as reading so many postings.
 VERIFY_COST = 8.0
@@ -100,17 +104,29 @@ def _slot(grams: np.ndarray) -> np.ndarray:
     return (grams >> np.uint64(20)) & np.uint64(COUNT_SLOTS - 1)
 
 
+def _count_repeats(counts: np.ndarray, sets: list[np.ndarray]) -> None:
+    """Add the grams that several of these sets hold. Grams of one set only, which are
+    nearly all, would fill every slot and hide the frequent ones."""
+    if sets:
+        grams, n = np.unique(np.concatenate(sets), return_counts=True)
+        often = n > 1
+        counts += np.bincount(_slot(grams[often]).astype(np.int64), weights=n[often], minlength=len(counts)).astype(np.int64)
+        sets.clear()
+
+
 def _survey(k: int):
-    """One row per text with its class, and at the end of a task its gram counts."""
+    """One row per text with its class, and at the end of a task its counts of repeated grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNT_SLOTS, dtype=np.int64)
-        kind = None
+        kind, waiting = None, []
         for batch in batches:
             kind = batch["_doc"].type
             sizes, s1, s2 = [], [], []
             for grams in gram_sets(batch["_text"].to_pylist(), k):
-                np.add.at(counts, _slot(grams), 1)
+                waiting.append(grams)
+                if sum(map(len, waiting[-1000:])) > COUNT_BLOCK or len(waiting) > 10_000:
+                    _count_repeats(counts, waiting)
                 a, b = _class_hash(grams)
                 sizes.append(len(grams))
                 s1.append(a)
@@ -121,6 +137,7 @@ def _survey(k: int):
                  pa.nulls(len(sizes), pa.list_(pa.int64()))],
                 ["_doc", *CLASS, "chunk", "counts"],
             )
+        _count_repeats(counts, waiting)
         if kind is not None:
             sums = count_rows(counts)
             n = len(sums[0])
@@ -133,7 +150,7 @@ def _survey(k: int):
 
 
 def gram_counts(survey: DataFrame) -> np.ndarray:
-    """Counts of all grams by slot; 2 MB come to the driver, whatever the input."""
+    """Counts of repeated grams by slot; 8 MB come to the driver, whatever the input."""
     return summed(survey.filter("chunk is not null").select("chunk", "counts"), COUNT_SLOTS)
 
 
@@ -276,28 +293,49 @@ class _Join:
         near = near.join(hubs, "hub").filter(self.similar_size("n", "n_hub") & (F.col("shared") >= F.least("m", "m_hub")))
         return near.select(F.least("class", "hub").alias("u"), F.greatest("class", "hub").alias("v")).distinct()
 
-    def cross_pairs(self, lists: DataFrame, parts: DataFrame) -> DataFrame:
-        """Pairs of different components that share grams enough."""
-        placed = lists.select("gram", "class", "n", "m").join(
+    def cross_pairs(self, lists: DataFrame, classes: DataFrame, parts: DataFrame) -> DataFrame:
+        """Pairs of different components that may link by what their prefixes share.
+
+        A pair is taken at the first gram its prefixes share, if they share enough
+        of them and enough can follow: behind the last shared gram no more than
+        the shorter rest can be common. So a pair comes out once, and only if it
+        has to be verified.
+        """
+        placed = lists.select("gram", "class").join(
             parts.select(F.col("node").alias("class"), "root"), "class", "left"
         ).withColumn("root", F.coalesce("root", "class"))
         open_ = placed.groupBy("gram").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("gram")
-        rows = settle(placed.join(open_, "gram"), "open")
+        rows = placed.join(open_, "gram").join(classes.select("class", "n", "m", "prefix"), "class")
+        rows = settle(rows, "open")
         other = rows.select(*(F.col(c).alias(c if c == "gram" else f"{c}_v") for c in rows.columns))
-        pairs = rows.join(other, "gram").filter(
-            (F.col("class") < F.col("class_v")) & (F.col("root") != F.col("root_v")) & self.similar_size("n", "n_v")
-        )
-        counted = pairs.groupBy(F.col("class").alias("u"), F.col("class_v").alias("v"), F.least("m", "m_v").alias("m")).agg(
-            F.count(F.lit(1)).alias("shared")
+        u, v = rows.alias("u"), other.alias("v")
+        n, n_v = F.col("n"), F.col("n_v")
+
+        def may_link(shared):
+            last = F.get(shared, F.size(shared) - 1)
+            rest = F.least(n - F.array_position("prefix", last), n_v - F.array_position("prefix_v", last))
+            needed = (n + n_v) * self.rule.percent
+            return (
+                (F.get(shared, F.lit(0)) == F.col("u.gram"))
+                & (F.size(shared) >= F.least("m", "m_v"))
+                & ((F.size(shared) + rest) * (100 + self.rule.percent) >= needed)
+            )
+
+        met = (
+            (F.col("u.gram") == F.col("v.gram"))
+            & (F.col("class") < F.col("class_v"))
+            & (F.col("root") != F.col("root_v"))
+            & self.similar_size("n", "n_v")
+            & may_link(F.array_intersect("prefix", "prefix_v"))
         )
-        return counted.filter("shared >= m").select("u", "v")
+        return u.join(v, met).select(F.col("class").alias("u"), F.col("class_v").alias("v"))
 
     def run(self) -> Joined:
         survey = self.survey()
         classes = self.classes(survey)
         lists = self.lists(classes)
         star = self.verify(self.star_pairs(lists, classes), classes)
-        rest = self.verify(self.cross_pairs(lists, components(star)), classes)
+        rest = self.verify(self.cross_pairs(lists, classes, components(star)), classes)
         links = star.unionByName(rest)
         parts = components(links).withColumnsRenamed({"node": "class", "root": "component"})
         placed = classes.select("class", *CLASS).join(parts, "class", "left").withColumn(
