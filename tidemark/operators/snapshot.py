@@ -79,9 +79,14 @@ def filter_snapshot(snapshot: DataFrame, fuel: str = ALL, region: str = ALL) ->
     return out
 
 
-def snapshot_kpis(snapshot: DataFrame, slices: int | None = None) -> DataFrame:
-    """Facility count, total power and emission, medians of positive price and demand."""
-    shown = settle(snapshot.select("power_value", "emission_value", "price_per_mwh", "demand_mw"), "kpis")
+def snapshot_kpis(snapshot: DataFrame, slices: int | None = None, settled: bool = False) -> DataFrame:
+    """Facility count, total power and emission, medians of positive price and demand.
+
+    The snapshot is read several times, so it is written to a table first, unless
+    it is ``settled``: a plain read of one.
+    """
+    shown = snapshot.select("power_value", "emission_value", "price_per_mwh", "demand_mw")
+    shown = shown if settled else settle(shown, "kpis")
     totals = shown.agg(
         F.count(F.lit(1)).alias("facility_count"),
         round_value(F.coalesce(F.sum("power_value"), F.lit(0.0))).alias("total_power"),
@@ -198,8 +203,13 @@ def since_reset(
     marks the start unless one is given."""
     span = messages.agg(F.struct(F.min(received).alias("first"), F.max(received).alias("last"))).scalar()
     begin = span["first"] if start is None else start
-    numbered = messages.withColumn("epoch", reset_epoch(F.col(received), begin, hours))
-    return numbered.filter(F.col("epoch") == reset_epoch(span["last"], begin, hours))
+    current = reset_epoch(span["last"], begin, hours)
+    recent = messages
+    if hours > 0:
+        # The bounds of the epoch, on the column itself: a scan can skip what is older.
+        size = F.lit(int(hours * 3600 * 1000000))
+        recent = messages.filter((F.col(received) >= begin + current * size) & (F.col(received) < begin + (current + 1) * size))
+    return recent.withColumn("epoch", reset_epoch(F.col(received), begin, hours))
 
 
 def stream_status(

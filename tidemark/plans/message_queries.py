@@ -175,16 +175,18 @@ def reset_epoch(spark, sf_dir):
     return snapshot.since_reset(messages(spark, sf_dir)).select("arrival_seq", "epoch")
 
 
-@query(
-    "stream_status",
+STATUS_SQL = (
     STORE
     + f"""select (select count(*) from m) as total_messages, count(*) as messages_since_reset,
     least(count(*), 1000) as store_size, max(received_us) as last_update_us,
     (select start_us from b) + max(epoch) * {SPAN_US} as last_reset_us,
     (max(received_us) - ((select start_us from b) + max(epoch) * {SPAN_US})) / 1e6 as seconds_since_reset,
     (select count(*) from shown) as facilities,
-    (select count(*) from shown where contains(fuel_list, 'Gas')) as facilities_shown from cur""",
+    (select count(*) from shown where contains(fuel_list, 'Gas')) as facilities_shown from cur"""
 )
+
+
+@query("stream_status", STATUS_SQL)
 def stream_status(spark, sf_dir):
     return snapshot.stream_status(messages(spark, sf_dir), fuel="Gas")
 
@@ -359,6 +361,35 @@ def stream_last_n(spark, sf_dir):
     return live.read_newest(spark, f"{base}/store").select(*SNAPSHOT_COLUMNS)
 
 
+def _dashboard(spark, sf_dir) -> str:
+    """The live view after the events have come in four files, one micro-batch each."""
+    base = new_folder(spark, "stream_dashboard")
+    events = table(spark, sf_dir, "events")
+    last = events.agg(F.max("event_id")).first()[0]
+    for part in range(4):
+        low, high = part * (last + 1) // 4, (part + 1) * (last + 1) // 4
+        chunk = events.filter((F.col("event_id") >= low) & (F.col("event_id") < high))
+        chunk.coalesce(1).write.mode("append").parquet(f"{base}/landed")
+    stream = intake.stream_files(spark, f"{base}/landed", events.schema, maxFilesPerTrigger="1")
+    live.write_view(as_messages(stream), f"{base}/view", f"{base}/checkpoint")
+    return f"{base}/view"
+
+
+@query("stream_dashboard_kpis", STORE + KPI_SQL + "shown")
+def stream_dashboard_kpis(spark, sf_dir):
+    return live.read_view(spark, _dashboard(spark, sf_dir), "kpis")
+
+
+@query("stream_dashboard_store", STORE + f"select {COLUMNS} from store")
+def stream_dashboard_store(spark, sf_dir):
+    return live.read_view(spark, _dashboard(spark, sf_dir), "store").select(*SNAPSHOT_COLUMNS)
+
+
+@query("stream_dashboard_status", STATUS_SQL)
+def stream_dashboard_status(spark, sf_dir):
+    return live.view_status(spark, _dashboard(spark, sf_dir), fuel="Gas")
+
+
 @query("stream_dedupe", "select distinct event_id // 2 as seq from events")
 def stream_dedupe(spark, sf_dir):
     """Each sequence number arrives twice here."""

@@ -11,7 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from ..operators.snapshot import STORE_SIZE, last_messages, latest_snapshot, snapshot_kpis
+from ..operators.snapshot import (
+    ALL,
+    RESET_HOURS,
+    STORE_SIZE,
+    filter_snapshot,
+    last_messages,
+    latest_snapshot,
+    reset_epoch,
+    snapshot_kpis,
+    store_kpis,
+)
 
 REFRESH = "3 seconds"
 SLOTS = 4
@@ -69,11 +79,94 @@ def _write_slot(df: DataFrame, path: str, batch_id: int) -> None:
 
 def read_newest(spark: SparkSession, path: str) -> DataFrame:
     """The newest version of a table kept in rotating slots."""
-    versions = spark.read.parquet(path)
+    versions = spark.read.option("ignoreMissingFiles", True).parquet(path)
     newest = versions.agg(F.max(BATCH)).scalar()
     return versions.filter(F.col(BATCH) == newest).drop("slot", BATCH)
 
 
+def _version(spark: SparkSession, path: str, table: str, batch_id: int) -> DataFrame:
+    return spark.read.parquet(_slot(f"{path}/{table}", batch_id)).filter(F.col(BATCH) == batch_id).drop(BATCH)
+
+
+def write_view(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    n: int = STORE_SIZE,
+    hours: float = RESET_HOURS,
+    received: str = "received_us",
+    live: bool = False,
+) -> StreamingQuery:
+    """What a dashboard shows, after each batch: the newest ``n`` messages since the
+    last soft reset (``store``), their KPIs (``kpis``) and the counts (``status``).
+
+    A batch starts from the version of the batch before and writes the next slot
+    of each table, ``status`` last. Readers take the version that ``status``
+    names, so they meet neither a half-written table nor one being replaced.
+    A batch costs its own rows and the bounded store, whatever came before.
+    """
+    span = int(hours * 3600 * 1_000_000)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        seen = batch.agg(F.count(F.lit(1)).alias("n"), F.min(received).alias("low"), F.max(received).alias("high")).first()
+        old = _version(spark, path, "status", batch_id - 1).first() if batch_id > 0 else None
+        known = [r for r in (old and old["first_us"], seen["low"]) if r is not None]
+        first = min(known) if known else None
+        lasts = [r for r in (old and old["last_us"], seen["high"]) if r is not None]
+        last = max(lasts) if lasts else None
+        epoch = (last - first) // span if span > 0 and known else 0
+        begin = F.lit(first).cast("bigint")
+        held = batch
+        if batch_id > 0:
+            held = _version(spark, path, "store", batch_id - 1).unionByName(last_messages(batch, n))
+        here = reset_epoch(F.col(received), begin, hours) == epoch
+        new = batch.filter(here).count()
+        since = new + (old["messages_since_reset"] if old and old["epoch"] == epoch else 0)
+        _write_slot(last_messages(held.filter(here), n), f"{path}/store", batch_id)
+        shown = latest_snapshot(_version(spark, path, "store", batch_id))
+        _write_slot(store_kpis(shown), f"{path}/kpis", batch_id)
+        total = seen["n"] + (old["total_messages"] if old else 0)
+        status = spark.range(1).select(
+            F.lit(total).cast("bigint").alias("total_messages"),
+            F.lit(since).cast("bigint").alias("messages_since_reset"),
+            F.lit(epoch).cast("bigint").alias("epoch"),
+            begin.alias("first_us"),
+            F.lit(last).cast("bigint").alias("last_us"),
+            F.lit(span).cast("bigint").alias("span_us"),
+        )
+        _write_slot(status, f"{path}/status", batch_id)
+
+    return _start(stream.writeStream.outputMode("append").foreachBatch(sink), checkpoint, live)
+
+
+def read_view(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """``store``, ``kpis`` or ``status`` of the newest complete batch."""
+    versions = spark.read.option("ignoreMissingFiles", True).parquet(f"{path}/status")
+    newest = versions.agg(F.max(BATCH)).first()[0]
+    return _version(spark, path, table, newest)
+
+
+def view_status(
+    spark: SparkSession, path: str, n: int = STORE_SIZE, fuel: str = ALL, region: str = ALL, received: str = "received_us"
+) -> DataFrame:
+    """The status line of the view, with the columns of ``snapshot.stream_status``."""
+    store = read_view(spark, path, "store")
+    shown = latest_snapshot(store)
+    reset_at = F.col("first_us") + F.col("epoch") * F.col("span_us")
+    updated = store.agg(F.max(received)).scalar()
+    return read_view(spark, path, "status").select(
+        "total_messages",
+        "messages_since_reset",
+        F.least("messages_since_reset", F.lit(n).cast("bigint")).alias("store_size"),
+        updated.alias("last_update_us"),
+        reset_at.alias("last_reset_us"),
+        ((updated - reset_at) / 1e6).alias("seconds_since_reset"),
+        shown.agg(F.count(F.lit(1))).scalar().alias("facilities"),
+        filter_snapshot(shown, fuel, region).agg(F.count(F.lit(1))).scalar().alias("facilities_shown"),
+    )
+
+
 def write_last_n(
     stream: DataFrame, path: str, checkpoint: str, n: int = STORE_SIZE, live: bool = False
 ) -> StreamingQuery:
@@ -103,7 +196,7 @@ def write_kpis(
     def sink(batch: DataFrame, batch_id: int) -> None:
         _write_slot(batch, f"{path}/snapshot", batch_id)
         written = batch.sparkSession.read.parquet(_slot(f"{path}/snapshot", batch_id))
-        _write_slot(snapshot_kpis(written), f"{path}/kpis", batch_id)
+        _write_slot(snapshot_kpis(written, settled=True), f"{path}/kpis", batch_id)
 
     writer = latest_per_entity(stream).writeStream.outputMode("complete").foreachBatch(sink)
     return _start(writer, checkpoint, live)
@@ -113,5 +206,9 @@ def without_repeats(
     stream: DataFrame, key: str = "seq", received: str = "received_at", delay: str = "1 hour"
 ) -> DataFrame:
     """Drop messages delivered again within ``delay``. Optional: by default repeats
-    pass and only the sequence check reports them."""
+    pass and only the sequence check reports them.
+
+    A message that arrives more than ``delay`` behind the newest one is dropped
+    as well, also if it is its first delivery: choose ``delay`` accordingly.
+    """
     return stream.withWatermark(received, delay).dropDuplicatesWithinWatermark([key])
