@@ -6,7 +6,7 @@ Arrival order decides everywhere. Deltas are whole nanoseconds.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import settle
@@ -62,24 +62,42 @@ def _limits(expected_s: float, tolerance_s: float) -> tuple[int, int]:
     return round(low * 1e9), round(high * 1e9)
 
 
-def all_deltas(captured: DataFrame) -> DataFrame:
-    """``scope, topic, delta_ns`` of all three kinds; topic is NULL for the global ones."""
-
-    def tagged(df: DataFrame, scope: str, topic: Column) -> DataFrame:
-        return df.select(F.lit(scope).alias("scope"), topic.alias("topic"), "delta_ns")
+def clock_deltas(captured: DataFrame) -> DataFrame:
+    """``scope, delta_ns`` by the sender's and by the arrival clock.
 
-    none = F.lit(None).cast("string")
-    return (
-        tagged(sender_deltas(captured), SENDER, none)
-        .unionByName(tagged(global_deltas(captured), ARRIVAL, none))
-        .unionByName(tagged(topic_deltas(captured), TOPIC, F.col("topic")))
+    Both follow the arrival order, so one pass finds the message before and the
+    last message that carries a sender time.
+    """
+    rows = captured.select("arrival_seq", "arrival_ns", "sent_mono_ns")
+    pairs = previous_values(
+        rows, ORDER, {"_arrived": "arrival_ns", "_sent": "sent_mono_ns"}, known=("_sent",)
     )
+    both = F.array(
+        F.struct(F.lit(SENDER).alias("scope"), (F.col("sent_mono_ns") - F.col("_sent")).alias("delta_ns")),
+        F.struct(F.lit(ARRIVAL).alias("scope"), (F.col("arrival_ns") - F.col("_arrived")).alias("delta_ns")),
+    )
+    return pairs.select(F.inline(both)).filter(F.col("delta_ns").isNotNull())
+
+
+def all_deltas(captured: DataFrame) -> DataFrame:
+    """``scope, topic, delta_ns`` of all three kinds; topic is NULL for the global ones."""
+    clocks = clock_deltas(captured).select("scope", F.lit(None).cast("string").alias("topic"), "delta_ns")
+    topics = topic_deltas(captured).select(F.lit(TOPIC).alias("scope"), "topic", "delta_ns")
+    return clocks.unionByName(topics)
 
 
 def cadence_report(
-    captured: DataFrame, expected_s: float = EXPECTED_S, tolerance_s: float = TOLERANCE_S
+    captured: DataFrame,
+    expected_s: float = EXPECTED_S,
+    tolerance_s: float = TOLERANCE_S,
+    seconds: float | None = None,
 ) -> DataFrame:
-    """Per scope: count, mean, extremes and percentiles in seconds, share within tolerance."""
+    """Per scope: count, mean, extremes and percentiles in seconds, share within tolerance.
+
+    ``seconds``: look at the start of the capture only, as long as a live check runs.
+    """
+    if seconds is not None:
+        captured = sample_window(captured, seconds)
     deltas = settle(all_deltas(captured), "deltas")
     return summarize_deltas(deltas, ["scope", "topic"], expected_s, tolerance_s)
 
@@ -110,14 +128,8 @@ def cadence_verdict(
     """PASS, FAIL or INDETERMINATE, over sender deltas if there are any, else arrival deltas."""
     low, high = _limits(expected_s, tolerance_s)
     inside = F.count_if(F.col("delta_ns").between(low, high))
-    share = [
-        df.agg(F.count(F.lit(1)).alias("n"), inside.alias("within"), F.lit(rank).alias("rank"), F.lit(s).alias("scope"))
-        for rank, s, df in (
-            (0, SENDER, sender_deltas(captured)),
-            (1, ARRIVAL, global_deltas(captured)),
-        )
-    ]
-    both = share[0].unionByName(share[1]).filter("n > 0")
+    both = clock_deltas(captured).groupBy("scope").agg(F.count(F.lit(1)).alias("n"), inside.alias("within"))
+    both = both.withColumn("rank", F.when(F.col("scope") == SENDER, 0).otherwise(1))
     chosen = both.agg(F.min_by(F.struct("scope", "n", "within"), "rank").alias("c")).select("c.*")
     verdict = (
         F.when(F.col("n").isNull(), "INDETERMINATE")

@@ -160,18 +160,27 @@ def previous_values(
     values: Mapping[str, str],
     by: Sequence[str] = (),
     slices: int | None = None,
+    known: Sequence[str] = (),
 ) -> DataFrame:
-    """``lag``: add, per ``{new name: column}``, the value on the row before."""
+    """``lag``: add, per ``{new name: column}``, the value on the row before.
+
+    New names listed in ``known`` get the last known value on any row before.
+    """
     sliced = assign_slices(df, [*by, *order], slices)
     ends = sliced.groupBy(SLICE, *by).agg(
-        *(_end_value(col, order).alias(f"_end_{new}") for new, col in values.items())
+        *(_end_value(col, order, known=new in known).alias(f"_end_{new}") for new, col in values.items())
     )
     over = _over_slices(by)
+
+    def carried(new: str) -> Column:
+        end = f"_end_{new}"
+        return F.last(end, ignorenulls=True).over(_before(by)) if new in known else F.lag(end).over(over)
+
     carry = (
         ends.select(
             SLICE,
             *by,
-            *(F.lag(f"_end_{new}").over(over).alias(f"_in_{new}") for new in values),
+            *(carried(new).alias(f"_in_{new}") for new in values),
             F.lag(SLICE).over(over).alias("_from"),
         )
         .filter(F.col("_from").isNotNull())
@@ -179,12 +188,19 @@ def previous_values(
     )
     local = Window.partitionBy(SLICE, *by).orderBy(*order)
     main = sliced.withColumn("_first", F.row_number().over(local) == 1).withColumns(
-        {f"_lag_{new}": F.lag(col).over(local) for new, col in values.items()}
+        {
+            f"_lag_{new}": F.last(col, ignorenulls=True).over(local.rowsBetween(Window.unboundedPreceding, -1))
+            if new in known
+            else F.lag(col).over(local)
+            for new, col in values.items()
+        }
     )
     main = _attach(main, carry, by)
     out = main.withColumns(
         {
-            new: F.when(F.col("_first"), F.col(f"_in_{new}")).otherwise(F.col(f"_lag_{new}"))
+            new: F.coalesce(f"_lag_{new}", f"_in_{new}")
+            if new in known
+            else F.when(F.col("_first"), F.col(f"_in_{new}")).otherwise(F.col(f"_lag_{new}"))
             for new in values
         }
     )
