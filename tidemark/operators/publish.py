@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.times import GRID_ZONE, iso_text
 from ..schemas import METRIC_UNIT
 from .ordered import number_rows
 
@@ -26,6 +27,7 @@ FIELDS = (
     "lat",
     "lng",
     "unit",
+    "sent_mono_ns",
     "slot_mono_ns",
 )
 
@@ -42,15 +44,27 @@ def replay_schedule(numbered: DataFrame, start_ns: int = 0, tick_ms: int = TICK_
     return numbered.withColumn("slot_mono_ns", slot)
 
 
-def after_cursor(rows: DataFrame, last_ts: Column | None, last_code: str = "") -> DataFrame:
+def with_timestamp(rows: DataFrame, ts: str = "ts", zone: str = GRID_ZONE) -> DataFrame:
+    """Add the ``timestamp`` text of the message: ISO on the zone's clock, with its offset."""
+    return rows.withColumn("timestamp", iso_text(F.col(ts), zone))
+
+
+def stamp_sent(rows: DataFrame, name: str = "sent_mono_ns") -> DataFrame:
+    """Set the time of sending, for the moment a batch of messages goes out."""
+    return rows.withColumn(name, F.unix_micros(F.current_timestamp()) * 1000)
+
+
+def after_cursor(rows: DataFrame, last_ts: Column | None, last_code: str = "", date: str = "event_date") -> DataFrame:
     """Rows strictly after (time, facility) of the last published one; all if unset.
 
-    The plain comparison on time comes first so that the scan can use it.
+    The plain comparison on time comes first so that the scan can use it. A table
+    partitioned by day in the column ``date`` is read from that day on.
     """
     if last_ts is None:
         return rows
     after = (F.col("ts") > last_ts) | (F.col("facility_code") > last_code)
-    return rows.filter((F.col("ts") >= last_ts) & after)
+    later = rows.filter((F.col("ts") >= last_ts) & after)
+    return later.filter(F.col(date) >= F.to_date(last_ts)) if date in rows.columns else later
 
 
 def publish_messages(rows: DataFrame, topic_root: str = TOPIC_ROOT) -> DataFrame:

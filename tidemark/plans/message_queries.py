@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import cadence, snapshot, trend
+from ..functions.times import wall_micros
+from ..operators import cadence, publish, snapshot, trend
 from ..session import new_folder
 from ..sources import messages as intake
 from ..streaming import live
@@ -319,6 +320,57 @@ def cadence_verdict(spark, sf_dir):
     return cadence.cadence_verdict(captured(spark, sf_dir), EXPECTED_S, TOLERANCE_S)
 
 
+@query(
+    "captured_messages",
+    RAW
+    + """select concat('site/', event_type, '/', user_id) as topic, event_id as arrival_seq, epoch_us(ts) * 1000 as arrival_ns,
+    case when event_id % 17 = 0 or event_id % 19 = 0 then null else event_id end as seq, null::bigint as sent_mono_ns
+    from raw""",
+)
+def captured_messages(spark, sf_dir):
+    """Broken bodies count as arrivals."""
+    events = table(spark, sf_dir, "events")
+    raw = as_raw(events).join(events.select(F.col("event_id").alias("arrival_seq"), "ts"), "arrival_seq")
+    return intake.captured_messages(raw.withColumn("arrival_ns", wall_micros(F.col("ts")) * 1000))
+
+
+@query(
+    "publish_roundtrip",
+    """with p as (select event_id as seq, concat('measurements/F', user_id) as topic, concat('F', user_id) as facility_code,
+      strftime(ts + interval 11 hour, '%Y-%m-%dT%H:%M:%S') || '+11:00' as "timestamp", value as power_value,
+      5000000000 + event_id * 100000000 as slot_mono_ns from (select * replace (date_trunc('second', ts) as ts) from events))
+    select *, true as stamped from p""",
+)
+def publish_roundtrip(spark, sf_dir):
+    """Rows are sent by a checkpointed stream, captured, and read back."""
+    base = new_folder(spark, "publish_roundtrip")
+    events = table(spark, sf_dir, "events")
+    rows = events.select(
+        F.col("event_id").alias("seq"),
+        F.concat(F.lit("F"), "user_id").alias("facility_code"),
+        F.timestamp_micros(wall_micros(F.date_trunc("second", "ts").cast("timestamp_ntz"))).alias("ts"),
+        F.col("value").alias("power_value"),
+    )
+    numbered = publish.replay_schedule(publish.with_timestamp(rows), start_ns=5_000_000_000)
+    numbered.write.parquet(f"{base}/rows")
+    stream = intake.stream_files(spark, f"{base}/rows", numbered.schema)
+    for _ in range(2):  # the second run finds nothing new
+        live.publish_rows(stream, f"{base}/sent", f"{base}/checkpoint")
+    sent = spark.read.schema("seq bigint, topic string, body string").json(f"{base}/sent")
+    raw = sent.select("topic", "body", F.col("seq").alias("arrival_seq"), (F.col("seq") * 100).alias("arrival_ns"))
+    clocks = intake.captured_messages(raw).select("arrival_seq", F.col("sent_mono_ns").isNotNull().alias("stamped"))
+    read = intake.decode_messages(raw).select(
+        "arrival_seq",
+        F.col("payload.seq").cast("bigint").alias("seq"),
+        "topic",
+        "payload.facility_code",
+        "payload.timestamp",
+        F.col("payload.power_value").cast("double").alias("power_value"),
+        F.col("payload.slot_mono_ns").cast("bigint").alias("slot_mono_ns"),
+    )
+    return read.join(clocks, "arrival_seq").drop("arrival_seq")
+
+
 # -- streams ---------------------------------------------------------------------
 
 

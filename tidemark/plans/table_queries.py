@@ -271,6 +271,19 @@ def quality_profile(spark, sf_dir):
 RANGE = ("2024-01-08 00:00:00", "2024-01-15 12:00:00")
 
 
+@query(
+    "range_scan_by_day",
+    READINGS
+    + f"select event_id, power_value from readings where ts between timestamp '{RANGE[0]}' and timestamp '{RANGE[1]}'",
+)
+def range_scan_by_day(spark, sf_dir):
+    """The same over a table partitioned by day, of which only the days of the range are read."""
+    path = new_folder(spark, "by_day")
+    sinks.write_table(readings(spark, sf_dir).withColumn("event_date", F.to_date("ts")), path, "event_date")
+    start, end = (F.lit(t).cast("timestamp_ntz") for t in RANGE)
+    return clean.in_range(spark.read.parquet(path), start, end).select("event_id", "power_value")
+
+
 @query(
     "range_scan",
     READINGS
@@ -364,6 +377,25 @@ def contains_join_left(spark, sf_dir):
     return _passages(spark, sf_dir, "left")
 
 
+@query(
+    "contains_join_regex",
+    """select region, o_orderkey from (select n_regionkey as region, concat('^', n_nationkey, '[0-9]*$') as pattern from nation
+      union all select r_regionkey + 100, concat('9', r_regionkey) from region) p
+    join (select o_orderkey, cast(o_custkey as varchar) as t from orders) o on regexp_matches(t, pattern)""",
+)
+def contains_join_regex(spark, sf_dir):
+    """Some names are regular expressions, some are plain."""
+    nations = table(spark, sf_dir, "nation").select(
+        F.col("n_regionkey").alias("region"), F.concat(F.lit("^"), "n_nationkey", F.lit("[0-9]*$")).alias("pattern")
+    )
+    regions = table(spark, sf_dir, "region").select(
+        (F.col("r_regionkey") + 100).alias("region"), F.concat(F.lit("9"), "r_regionkey").alias("pattern")
+    )
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("customer"))
+    joined = align.contains_join(nations.unionByName(regions), orders, "pattern", "customer", regex=True)
+    return joined.select("region", "o_orderkey")
+
+
 def _passages(spark, sf_dir, how) -> DataFrame:
     passages = table(spark, sf_dir, "benchmark").withColumnRenamed("text", "passage")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -81,6 +81,20 @@ def decode_messages(raw: DataFrame, body: str = "body") -> DataFrame:
     return one.drop("_listed")
 
 
+def captured_messages(raw: DataFrame, body: str = "body", received_ns: str = "arrival_ns") -> DataFrame:
+    """Messages as the cadence check takes them: ``topic, arrival_seq, arrival_ns, seq, sent_mono_ns``.
+
+    Every delivery counts as an arrival, also one whose body is no JSON; numbers
+    that cannot be read are NULL.
+    """
+    p = F.col("payload")
+    whole = lambda c: F.coalesce(p[c].try_cast("bigint"), tolerant_float(p[c]).try_cast("bigint"))
+    read = compute_once(
+        decode_messages(raw, body), {"_seq": whole("seq"), "_sent": whole("sent_mono_ns")}, ["topic", "arrival_seq", received_ns]
+    )
+    return read.select("topic", "arrival_seq", received_ns, F.col("_seq").alias("seq"), F.col("_sent").alias("sent_mono_ns"))
+
+
 def stamp_receipt(raw: DataFrame, received: str = "received_at") -> DataFrame:
     """Set the time of receipt where the source gives none."""
     if received not in raw.columns:

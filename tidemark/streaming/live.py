@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from ..operators.publish import TOPIC_ROOT, publish_messages, stamp_sent
 from ..operators.snapshot import (
     ALL,
     RESET_HOURS,
@@ -42,6 +43,22 @@ def append_table(stream: DataFrame, path: str, checkpoint: str, live: bool = Fal
     return _start(writer, checkpoint, live)
 
 
+def publish_rows(
+    stream: DataFrame, path: str, checkpoint: str, topic_root: str = TOPIC_ROOT, live: bool = False
+) -> StreamingQuery:
+    """Send numbered rows as messages: JSON lines (``topic``, ``seq``, ``body``) in a folder per batch.
+
+    The checkpoint holds what has been sent, so a restart goes on behind it, and a
+    batch sent again replaces its own folder. The time of sending is set here.
+    """
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        sent = publish_messages(stamp_sent(batch), topic_root)
+        sent.write.mode("overwrite").json(f"{path}/{BATCH}={batch_id}")
+
+    return _start(stream.writeStream.outputMode("append").foreachBatch(sink), checkpoint, live)
+
+
 def latest_per_entity(stream: DataFrame, entity: str = "facility_code", arrival: str = "arrival_seq") -> DataFrame:
     """Running last message per facility; in update mode only changed ones are sent on."""
     rest = [c for c in stream.columns if c != entity]
