@@ -181,3 +181,39 @@ def test_sequence_and_sample(spark):
     assert [(r.arrival_seq, r.seq, r.previous_seq) for r in gaps] == [(2, 4, 2), (3, 4, 4), (5, 1, 5)]
     long = deliveries(spark, [10_000 * MS] * 10)
     assert cadence.sample_window(long).count() == 7
+
+
+BODIES = {
+    # Shown: a field that is not needed may be of any type.
+    '{"facility_code":"A","lat":1,"lng":2,"power_value":3,"seq":"x"}': None,
+    '{"facility_code":"A","lat":1,"lng":2,"power_value":3,"seq":1.0}': None,
+    '{"facility_code":"A","lat":1,"lng":2,"power_value":3,"seq":100000000000000000000}': None,
+    '{"facility_code":"A","lat":1,"lng":2,"power_value":3,"sent_mono_ns":1.5}': None,
+    '{"facility_code":"A","lat":1,"lng":2,"power_value":3,"slot_mono_ns":"a"}': None,
+    '{"facility_code":"A","lat":1,"lng":2,"power_value":3,"unit":"MW"}': None,
+    '\n\t {"facility_code":" \\tA\\n","lat":1,"lng":2,"power_value":3}\r\n': None,
+    # Not shown.
+    '{"facility_code":"A","lat":1,"lng":2,"power_value":3} tail': "invalid_json",
+    '{"facility_code":"A","lat":1,"lng":2,"power_value":3}]': "invalid_json",
+    '{"facility_code":"A","lat":1,"lng":2,"power_value":3}] {}': "invalid_json",
+    '{"facility_code":"A","lat":1,"lng":2,"power_value":3},{}': "invalid_json",
+    '{"facility_code":"A","lat":1,"lng":2,"power_value":3}}': "invalid_json",
+    "{'facility_code':'A','lat':1,'lng':2,'power_value':3}": "invalid_json",
+    '{"facility_code":"A","lat":1,"lng":2': "invalid_json",
+    "5": "invalid_json",
+    "": "invalid_json",
+    "\n[1]": "not_object",
+}
+
+
+def test_bodies(spark):
+    rows = [(i, "t", body, i) for i, body in enumerate(BODIES)]
+    raw = spark.createDataFrame([*rows, (99, "t", None, 99)], "arrival_seq long, topic string, body string, arrival_ns long")
+    bad = {r.arrival_seq: r.reason for r in intake.quarantined_messages(raw).collect()}
+    want = {i: reason for i, reason in enumerate(BODIES.values()) if reason}
+    assert bad == want | {99: "invalid_json"}
+    shown = intake.normalize_messages(raw).collect()
+    assert {r.arrival_seq for r in shown} == set(range(len(BODIES))) - set(want)
+    assert {r.facility_code for r in shown} == {"A"}
+    captured = {r.arrival_seq: (r.seq, r.sent_mono_ns) for r in intake.captured_messages(raw).collect()}
+    assert len(captured) == len(rows) + 1 and captured[1] == (1, None) and captured[3] == (None, 1)

@@ -163,3 +163,33 @@ def test_distribution_matches_builtin(spark, slices):
     assert whole.p50 == df.agg(F.percentile("v", 0.5)).first()[0]
     empty = distribution(df.filter("v < 0"), "v", qs, slices=slices).first()
     assert (empty.n, empty.p50) == (0, None)
+
+
+@pytest.mark.parametrize("slices", [8192, 65536])
+def test_many_slices(spark, slices):
+    """More slices than an int product of slices and sample would allow."""
+    rows = 1_000_000
+    df = spark.range(rows).select(
+        F.pmod(F.xxhash64("id"), F.lit(1 << 40)).alias("t"), "id", F.when(F.col("id") % 3 == 0, F.col("id")).alias("v")
+    )
+    numbered = ordered.number_rows(df, ["t", "id"], name="n", slices=slices)
+    total, low, high, different = numbered.agg(
+        F.count(F.lit(1)), F.min("n"), F.max("n"), F.count_distinct("n")
+    ).first()
+    assert (total, low, high, different) == (rows, 1, rows, rows)
+    if slices == 8192:
+        whole = distribution(df.filter("v is not null"), "v", {"p50": 0.5}, slices=slices).first()
+        values = sorted(range(0, rows, 3))
+        assert whole.n == len(values) and whole.p50 == (values[(len(values) - 1) // 2] + values[len(values) // 2]) / 2
+
+
+def test_last_known_before(spark):
+    rows = [(i, None if i % 3 else i * 10) for i in range(50)] + [(50, None), (51, None), (52, 7)]
+    df = spark.createDataFrame(rows, "t int, v int")
+    want, last = {}, None
+    for t, v in rows:
+        want[t] = last
+        last = v if v is not None else last
+    for slices in (2, 9, 40):
+        got = ordered.previous_values(df, ["t"], {"p": "v"}, slices=slices, known=("p",)).collect()
+        assert {r.t: r.p for r in got} == want

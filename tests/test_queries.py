@@ -5,9 +5,11 @@ import pytest
 import __spark_entry__ as entry
 from pyspark.sql import functions as F
 
+from tidemark.operators.clean import clean_measures, in_range
 from tidemark.operators.publish import after_cursor
 from tidemark.plans.bindings import readings
 from tidemark.plans.catalog import ORACLES, QUERIES
+from tidemark.sources.sinks import write_table
 
 from . import oracle
 
@@ -60,3 +62,30 @@ def test_latest_limits_before_the_shuffle(spark):
     plan = plan_of(spark, "latest_snapshot")
     assert plan.count("WindowGroupLimit") == 2
     assert "TakeOrderedAndProject" in plan_of(spark, "last_n_messages")
+
+
+def plan_text(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_days_prune_partitions(spark, tmp_path):
+    days = spark.range(40).select(
+        F.timestamp_add("DAY", F.col("id"), F.lit("2024-01-01 05:00:00").cast("timestamp_ntz")).alias("ts"),
+        F.lit("F1").alias("facility_code"),
+    )
+    write_table(days.withColumn("event_date", F.to_date("ts")), f"{tmp_path}/t", "event_date")
+    back = spark.read.parquet(f"{tmp_path}/t")
+    start, end = (F.lit(t).cast("timestamp_ntz") for t in ("2024-01-10 00:00:00", "2024-01-12 06:00:00"))
+    found = in_range(back, start, end)
+    assert "PartitionFilters: [isnotnull(event_date" in plan_text(found) and found.count() == 3
+    later = after_cursor(back, start, "F0")
+    assert "PartitionFilters: [isnotnull(event_date" in plan_text(later) and later.count() == 31
+
+
+def test_cleaning_has_no_anti_join(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_text(clean_measures(readings(spark, SF), order=["ts", "event_id"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "LeftAnti" not in plan and "SortMergeJoin" not in plan
