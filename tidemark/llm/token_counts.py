@@ -49,9 +49,11 @@ def read_pieces(model_file: str) -> dict[str, float]:
 class Trie:
     """Forward scores of the prefixes of all inserted pre-tokens."""
 
-    def __init__(self, pieces: Mapping[str, float], most_nodes: int = 400_000, most_length: int = 64) -> None:
+    def __init__(self, pieces: Mapping[str, float], most_nodes: int = 800_000, most_length: int = 64) -> None:
         self.pieces = pieces
         self.longest = max(map(len, pieces), default=1)
+        # Every ending of a piece, with its score if it is a piece itself.
+        self.endings = {piece[i:]: pieces.get(piece[i:]) for piece in pieces for i in range(len(piece))}
         self.unknown = min(pieces.values(), default=0.0) - 10.0
         self.most_nodes, self.most_length = most_nodes, most_length
         self.terminal: dict[bytes, tuple[int, float]] = {}
@@ -59,7 +61,8 @@ class Trie:
 
     def clear(self) -> None:
         self.terminal.clear()
-        self.children: list[dict[str, int]] = [{}]
+        #: Node and next character, as one number, to the node below.
+        self.children: dict[int, int] = {}
         self.scores: list[float] = [0.0]
         self.tokens: list[int] = [0]
 
@@ -68,9 +71,15 @@ class Trie:
         end = len(spelled)
         size = len(spelled[-1].encode("utf-8", "replace"))
         best, count = scores[end - 1] + self.unknown, tokens[end - 1] + size
-        for start in range(max(0, end - self.longest), end):
-            p = self.pieces.get(spelled[start:end])
-            if p is not None:
+        endings = self.endings
+        for start in range(end - 1, -1, -1):
+            piece = spelled[start:]
+            p = endings.get(piece)
+            if p is None:
+                # No piece ends like this, so none that is longer does.
+                if piece not in endings:
+                    break
+            else:
                 value, n = scores[start] + p, tokens[start] + 1
                 if value > best or (value == best and n < count):
                     best, count = value, n
@@ -90,12 +99,11 @@ class Trie:
         else:
             node = 0
             for i, c in enumerate(text, 1):
-                below = self.children[node].get(c)
+                edge = node << 21 | ord(c)
+                below = self.children.get(edge)
                 if below is None:
-                    below = len(self.children)
-                    self.children[node][c] = below
+                    below = self.children[edge] = len(self.scores)
                     score, count = self.step(text[:i], scores, tokens)
-                    self.children.append({})
                     self.scores.append(score)
                     self.tokens.append(count)
                 node = below
@@ -110,7 +118,7 @@ class Trie:
             self.insert(word)
         found = [self.terminal[w] for w in words]
         result = len(words), sum(n for n, _ in found), math.fsum(s for _, s in found)
-        if len(self.children) > self.most_nodes or len(self.terminal) > self.most_nodes:
+        if len(self.scores) > self.most_nodes or len(self.terminal) > self.most_nodes:
             self.clear()
         return result
 
