@@ -38,7 +38,10 @@ def test_series_to_measures(spark):
         "facility_code string, body string, url string",
     )
     points, bad = prepare.bronze(df)
-    assert [(r.time_text, r.problem) for r in bad.collect()] == [("2025-10-05T02:30:00", "gap")]
+    # The broken body leaves a row for each metric that was asked for.
+    found = sorted((r.time_text or "", r.metric, r.problem) for r in bad.collect())
+    broken = [("", m, "unreadable_body") for m in ("emissions", "power")]
+    assert found == [*broken, ("2025-10-05T02:30:00", "power", "gap")]
     merged = rollup.metric_table(points).orderBy("ts").collect()
     got = [(r.power_value, r.emission_value, r.price_per_mwh, r.demand_mw) for r in merged]
     # Only missing values sum to 0; an absent metric is NULL.
@@ -129,3 +132,29 @@ def test_prepare_run(spark):
     assert [r.seq for r in out] == list(range(1, 19))
     assert [(r.facility_code, r.state) for r in out[:3]] == [("A", "ACT"), ("A", "NSW"), ("B", "VIC")]
     assert [r.power_value for r in out if r.state == "VIC"] == [0.0, 0.0, 0.0, 10.0, 15.0, 20.0]
+
+
+def test_prepare_all(spark):
+    url = "https://h/d?metrics=power&metrics=emissions"
+    pts = [[f"2025-10-25T00:{m:02d}:00", m] for m in range(0, 30, 5)]
+    responses = spark.createDataFrame(
+        [(c, response([("u", pts)], [("u", pts)]), url) for c in ("A", "B")] + [("B", "{broken", url)],
+        "facility_code string, body string, url string",
+    )
+    body = json.dumps({"data": [{"code": "A", "name": "Alpha", "location": {"lat": 1, "lng": 2}}, {"code": "B", "name": "Beta"}]})
+    facilities = spark.createDataFrame([(body,), ("{broken",)], "body string")
+    register = spark.createDataFrame(
+        [("Big Alpha Plant", "NSW", "Gas", 1), ("Alpha two", "NSW", "Solar", 2)],
+        "register_name string, state string, primary_fuel string, position int",
+    )
+    planned = spark.createDataFrame([("Alpha next", "Wind", 1)], "planned_name string, future_fuel string, position int")
+    ts = F.lit("2025-10-24T13:05:00Z").cast("timestamp")
+    market = spark.range(1).select(ts.alias("ts"), F.lit(50.0).alias("price_per_mwh"), F.lit(9.0).alias("demand_mw"))
+    target = new_folder(spark, "prepare_all")
+    prepare.run_all(responses, facilities, register, planned, target, market)
+    sent = [json.loads(r.body) for r in spark.read.parquet(f"{target}/messages").orderBy("seq").collect()]
+    assert [m["seq"] for m in sent] == [1, 2, 3, 4, 5, 6] and {m["facility_code"] for m in sent} == {"A"}
+    assert sent[0]["timestamp"] == "2025-10-25T00:00:00+11:00" and sent[0]["fuel_list"] == ["Gas", "Solar", "Wind", "Wind"]
+    assert [m["price_per_mwh"] for m in sent] == [None, 50.0, None, None, None, None]
+    assert spark.read.parquet(f"{target}/facility_quarantine").count() == 1
+    assert [r.problem for r in spark.read.parquet(f"{target}/quarantine").collect()] == ["unreadable_body"] * 2

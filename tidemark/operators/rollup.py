@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ..schemas import METRIC_COLUMN
 
+MARKET = ("price_per_mwh", "demand_mw")
+
 
 def unit_rollup(df: DataFrame, keys: Sequence[str], value: str = "value", name: str = "value") -> DataFrame:
     """Sum over units. A group of only missing values sums to 0, not NULL."""
@@ -44,6 +46,18 @@ def outer_merge(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataF
     return left.join(right, list(keys), "full")
 
 
+def with_market(rows: DataFrame, market: DataFrame, ts: str = "ts", columns: Sequence[str] = MARKET) -> DataFrame:
+    """Add market values, which are stored once per time, to all facilities' rows.
+
+    A row's own value is kept. Several market rows of one time are reduced to the
+    largest value of each column first, so no row is doubled.
+    """
+    once = market.groupBy(F.col(ts).alias("_ts")).agg(*(F.max(c).alias(f"_{c}") for c in columns))
+    joined = rows.join(once, F.col(ts) == F.col("_ts"), "left")
+    own = {c: F.coalesce(c, f"_{c}") if c in rows.columns else F.col(f"_{c}") for c in columns}
+    return joined.withColumns(own).drop("_ts", *(f"_{c}" for c in columns))
+
+
 def union_frames(*frames: DataFrame) -> DataFrame:
     """Union by column name; a column missing in one frame is NULL there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.align import enrich
+from ..operators.align import align_entities, enrich
 from ..operators.clean import clean_measures
-from ..operators.publish import publish_sequence
-from ..operators.rollup import metric_table
+from ..operators.publish import publish_messages, publish_sequence, replay_schedule, with_timestamp
+from ..operators.rollup import metric_table, with_market
 from ..schemas import METRIC_COLUMN
-from ..sources.landed import flatten_series, split_problems
+from ..sources.landed import facility_dimension, flatten_series, split_problems, unreadable_facilities
 from ..sources.sinks import write_table
 
 
@@ -32,9 +32,11 @@ def gold(clean: DataFrame, aligned: DataFrame, dedupe: bool = False) -> DataFram
     )
 
 
-def run(responses: DataFrame, aligned: DataFrame, target: str) -> None:
+def run(responses: DataFrame, aligned: DataFrame, target: str, market: DataFrame | None = None) -> None:
     """Write quarantine, clean measures and publish set below ``target``.
 
+    ``market``: price and demand, one row per time, for all facilities.
+
     Each stage reads the table the stage before has written: that cuts the
     lineage, and the repeated passes of the ordered operators read columns of a
     table instead of parsing the responses again.
@@ -49,7 +51,34 @@ def run(responses: DataFrame, aligned: DataFrame, target: str) -> None:
     clean = clean_measures(spark.read.parquet(f"{target}/measures"))
     write_table(clean.withColumn("event_date", day), f"{target}/clean", "event_date")
     rows = enrich(spark.read.parquet(f"{target}/clean"), aligned)
+    if market is not None:
+        rows = with_market(rows, market)
     write_table(rows, f"{target}/enriched")
     order = ["ts", "facility_code", "facility_name", "state", "lat", "lng"]
     numbered = publish_sequence(spark.read.parquet(f"{target}/enriched"), order)
     write_table(numbered, f"{target}/publish", "event_date")
+
+
+def run_all(
+    responses: DataFrame,
+    facilities: DataFrame,
+    register: DataFrame,
+    planned: DataFrame,
+    target: str,
+    market: DataFrame | None = None,
+    position: str = "position",
+) -> None:
+    """The whole job: from landed responses and registers to the messages to send.
+
+    ``facilities``: facility responses (``body``) with their ``position``;
+    ``register`` and ``planned`` as ``align_entities`` takes them.
+    """
+    spark = responses.sparkSession
+    write_table(unreadable_facilities(facilities), f"{target}/facility_quarantine")
+    dimension = facility_dimension(facilities).withColumn(position, F.lit(0))
+    write_table(dimension, f"{target}/facilities")
+    aligned = align_entities(spark.read.parquet(f"{target}/facilities"), register, planned, position)
+    write_table(aligned, f"{target}/aligned")
+    run(responses, spark.read.parquet(f"{target}/aligned"), target, market)
+    publish = with_timestamp(replay_schedule(spark.read.parquet(f"{target}/publish")))
+    write_table(publish_messages(publish), f"{target}/messages")

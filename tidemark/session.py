@@ -37,7 +37,7 @@ def shared_base(spark: SparkSession) -> str:
     if base:
         return base.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     if context.applicationId not in _LOCAL_BASE:
         _LOCAL_BASE[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
