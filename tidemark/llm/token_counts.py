@@ -30,6 +30,7 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 from .text import free_name
 
 MARK = "▁"
+_ABSENT = object()
 
 
 def read_pieces(model_file: str) -> dict[str, float]:
@@ -51,7 +52,6 @@ class Trie:
 
     def __init__(self, pieces: Mapping[str, float], most_nodes: int = 800_000, most_length: int = 64) -> None:
         self.pieces = pieces
-        self.longest = max(map(len, pieces), default=1)
         # Every ending of a piece, with its score if it is a piece itself.
         self.endings = {piece[i:]: pieces.get(piece[i:]) for piece in pieces for i in range(len(piece))}
         self.unknown = min(pieces.values(), default=0.0) - 10.0
@@ -66,23 +66,25 @@ class Trie:
         self.scores: list[float] = [0.0]
         self.tokens: list[int] = [0]
 
-    def step(self, spelled: str, scores: list[float], tokens: list[int]) -> tuple[float, int]:
-        """Score and tokens of a prefix, given those of all shorter ones."""
-        end = len(spelled)
-        size = len(spelled[-1].encode("utf-8", "replace"))
-        best, count = scores[end - 1] + self.unknown, tokens[end - 1] + size
+    def step(self, text: str, end: int, scores: list[float], tokens: list[int]) -> tuple[float, int]:
+        """Score and tokens of the first ``end`` characters, given those of all shorter prefixes."""
         endings = self.endings
+        best, count = -math.inf, 0
         for start in range(end - 1, -1, -1):
-            piece = spelled[start:]
-            p = endings.get(piece)
+            p = endings.get(text[start:end], _ABSENT)
             if p is None:
+                continue
+            if p is _ABSENT:
                 # No piece ends like this, so none that is longer does.
-                if piece not in endings:
-                    break
-            else:
-                value, n = scores[start] + p, tokens[start] + 1
-                if value > best or (value == best and n < count):
-                    best, count = value, n
+                break
+            value = scores[start] + p
+            if value >= best and (value > best or tokens[start] + 1 < count):
+                best, count = value, tokens[start] + 1
+        spelled = scores[end - 1] + self.unknown
+        if spelled >= best:
+            size = tokens[end - 1] + len(text[end - 1].encode("utf-8", "replace"))
+            if spelled > best or size < count:
+                best, count = spelled, size
         return best, count
 
     def insert(self, word: bytes) -> None:
@@ -91,24 +93,24 @@ class Trie:
         if len(text) > self.most_length:
             # Too long to be shared: the same steps without nodes.
             for i in range(1, len(text) + 1):
-                # ``step`` looks back at most ``longest`` characters.
-                cut = max(0, i - self.longest)
-                score, count = self.step(text[cut:i], scores[cut:], tokens[cut:])
+                score, count = self.step(text, i, scores, tokens)
                 scores.append(score)
                 tokens.append(count)
         else:
+            children, all_scores, all_tokens = self.children, self.scores, self.tokens
             node = 0
             for i, c in enumerate(text, 1):
                 edge = node << 21 | ord(c)
-                below = self.children.get(edge)
-                if below is None:
-                    below = self.children[edge] = len(self.scores)
-                    score, count = self.step(text[:i], scores, tokens)
-                    self.scores.append(score)
-                    self.tokens.append(count)
-                node = below
-                scores.append(self.scores[node])
-                tokens.append(self.tokens[node])
+                node = children.get(edge, 0)
+                if not node:
+                    node = children[edge] = len(all_scores)
+                    score, count = self.step(text, i, scores, tokens)
+                    all_scores.append(score)
+                    all_tokens.append(count)
+                else:
+                    score, count = all_scores[node], all_tokens[node]
+                scores.append(score)
+                tokens.append(count)
         self.terminal[word] = (tokens[-1], scores[-1])
 
     def count(self, text: bytes | None) -> tuple[int, int, float]:
