@@ -252,7 +252,7 @@ class _Join:
         return settle(reduced.withColumn("class", F.monotonically_increasing_id()), "classes")
 
     def lists(self, classes: DataFrame) -> DataFrame:
-        """(gram, class, n, m, hub): the postings of grams with two classes or more.
+        """(gram, class, place, n, m, hub): the postings of grams with two classes or more.
 
         ``hub`` is the class in whose order the gram comes first. Place and class
         share one number, so that the least of them is found in hash aggregation.
@@ -263,7 +263,10 @@ class _Join:
         ends = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("size"), F.min("key").alias("hub"))
         id_of = lambda c: F.col(c).bitwiseAND((1 << _ID_BITS) - 1)
         shared = postings.join(ends.filter("size > 1"), "gram").select(
-            "gram", id_of("key").alias("class"), id_of("hub").alias("hub")
+            "gram",
+            id_of("key").alias("class"),
+            F.shiftright("key", _ID_BITS).cast("int").alias("place"),
+            id_of("hub").alias("hub"),
         )
         return settle(shared.join(classes.select("class", "n", "m"), "class"), "lists")
 
@@ -300,12 +303,27 @@ class _Join:
         of them and enough can follow: behind the last shared gram no more than
         the shorter rest can be common. So a pair comes out once, and only if it
         has to be verified.
+
+        Lists of exactly the same classes give the same pairs, so only the first
+        gram of each such set of lists is kept. All its classes hold these grams in
+        the same order, so it is the one whose places add up to the least.
         """
-        placed = lists.select("gram", "class").join(
+        placed = lists.select("gram", "class", "place").join(
             parts.select(F.col("node").alias("class"), "root"), "class", "left"
         ).withColumn("root", F.coalesce("root", "class"))
-        open_ = placed.groupBy("gram").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("gram")
-        rows = placed.join(open_, "gram").join(classes.select("class", "n", "m", "prefix"), "class")
+        grams = placed.groupBy("gram").agg(
+            F.min("root").alias("a"),
+            F.max("root").alias("b"),
+            F.bit_xor(F.xxhash64("class")).alias("h1"),
+            F.bit_xor(F.xxhash64("class", F.lit(1))).alias("h2"),
+            F.count(F.lit(1)).alias("size"),
+            F.sum("place").alias("places"),
+            F.max("place").alias("last"),
+        )
+        # Places that were cut off say nothing about the order.
+        alone = F.when(F.col("last") >= _MAX_PLACE, F.col("gram")).alias("alone")
+        kept = grams.filter("a <> b").groupBy("h1", "h2", "size", alone).agg(F.min_by("gram", "places").alias("gram"))
+        rows = placed.drop("place").join(kept.select("gram"), "gram").join(classes.select("class", "n", "m", "prefix"), "class")
         rows = settle(rows, "open")
         other = rows.select(*(F.col(c).alias(c if c == "gram" else f"{c}_v") for c in rows.columns))
         u, v = rows.alias("u"), other.alias("v")
