@@ -82,21 +82,25 @@ def write(pages: DataFrame, path: str, **options) -> None:
     records(pages, **options).write.option("lineSep", END).text(path)
 
 
-def pieces(spark: SparkSession, path: str) -> DataFrame:
-    """(file, at, value, piece): the bytes between version lines, with their offsets.
-
-    The reader gives no offsets, but hands out every byte of a file exactly once and
-    in order within a split, so an offset is the sum of what comes before: in the
-    split, and in the splits before it.
-    """
+def _scan(spark: SparkSession, path: str) -> DataFrame:
+    """The bytes between version lines, in the order of each split (``nth``)."""
     raw = spark.read.option("lineSep", MAGIC).text(path)
-    rows = raw.select(
+    return raw.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("nth"),
         (F.octet_length("value") + len(MAGIC)).cast("long").alias("size"),
         "value",
     )
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """Add ``at``, the offset of each piece in its file.
+
+    The reader gives no offsets, but hands out every byte of a file exactly once and
+    in order within a split, so an offset is the sum of what comes before: in the
+    split, and in the splits before it.
+    """
     sums = rows.groupBy("file", "split").agg(F.sum("size").alias("all"))
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(
@@ -105,7 +109,8 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
     inside = Window.partitionBy("file", "split").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     met = placed.join(sums, (F.col("file") == F.col("file_")) & (F.col("split") == F.col("split_")))
-    return met.select("file", (F.col("base") + F.col("within")).alias("at"), "value")
+    kept = [c for c in rows.columns if c not in ("split", "nth")]
+    return met.select(*kept, (F.col("base") + F.col("within")).alias("at"))
 
 
 def _field(head: Column, name: str) -> Column:
@@ -144,7 +149,10 @@ def parsed(rows: DataFrame) -> DataFrame:
 
 
 def reachable(candidates: DataFrame) -> DataFrame:
-    """Of (file, start, next), the (file, start) that chains from offset 0 reach."""
+    """Of (file, start, next), the (file, start) that chains from offset 0 reach.
+
+    ``file`` is a hash of the name, as the rows are shuffled in every round.
+    """
     state = candidates.select("file", "start", F.col("next").alias("jump"), (F.col("start") == 0).alias("reached"))
     state, seen = settle(state, "chain"), -1
     while True:
@@ -170,20 +178,23 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     payload's length by its HTTP header (``payload_bytes``), and of what the record
     holds length and digest (``held_bytes``, ``held_digest``).
     """
-    rows = parsed(pieces(spark, path))
-    size = F.octet_length("value").cast("long")
+    # Pieces are read where they are scanned; only what was read of them is shuffled.
+    rows = _placed(parsed(_scan(spark, path)).drop("value"))
+    size = F.col("size") - len(MAGIC)
     wanted = F.col("body_from") + F.col("body_size") + len(END)
     table = settle(
         rows.select(
-            *(c for c in rows.columns if c != "value"),
+            *(c for c in rows.columns if c != "size"),
+            F.xxhash64("file").alias("file_key"),
             (F.col("at") - len(MAGIC)).alias("start"),
             F.when((F.col("body_size") >= 0) & F.col("type").isNotNull(), F.col("at") + wanted).alias("next"),
             (size == wanted).alias("whole"),
         ).filter("start >= 0"),
         "candidates",
     )
-    kept = settle(reachable(table.filter("next is not null").select("file", "start", "next")), "kept")
-    found = table.join(kept, ["file", "start"])
+    chains = table.filter("next is not null").select(F.col("file_key").alias("file"), "start", "next")
+    kept = settle(reachable(chains), "kept").withColumnRenamed("file", "file_key")
+    found = table.join(kept, ["file_key", "start"])
     fields = ["type", "id", "refers_to", "named_digest", "payload_bytes", "held_bytes", "held_digest"]
     whole = found.filter("whole").select("file", "start", *fields)
     # Records whose payload holds a version line: their pieces, in order, make them whole.
@@ -194,7 +205,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     parts = settle(marked.withColumn("o", owner).filter("o.broken").select("file", "at", F.col("o.start").alias("start")), "parts")
-    texts = parts.join(pieces(spark, path), ["file", "at"]).groupBy("file", "start").agg(
+    texts = parts.join(_placed(_scan(spark, path)), ["file", "at"]).groupBy("file", "start").agg(
         F.array_sort(F.collect_list(F.struct("at", "value"))).alias("p")
     )
     joined = parsed(texts.select("file", "start", F.array_join(F.transform("p", lambda x: x["value"]), MAGIC).alias("value")))
