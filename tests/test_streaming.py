@@ -86,3 +86,18 @@ def test_normalize_and_dedupe(spark, stream, landed):
     once = live.without_repeats(numbered, delay="40 days")
     live.append_table(once, f"{base}/u", f"{base}/ucp")
     assert sorted(r.seq for r in spark.read.parquet(f"{base}/u").collect()) == list(range(100))
+
+
+def test_view(spark, stream, landed):
+    """After every batch the view equals the batch operators over what has arrived."""
+    base = new_folder(spark, "v")
+    messages = as_messages(spark.read.parquet(landed))
+    for _ in range(2):  # the second run finds nothing new
+        live.write_view(as_messages(stream), f"{base}/view", f"{base}/cp", n=120, hours=24)
+    store = snapshot.last_messages(snapshot.since_reset(messages, hours=24), 120)
+    assert sorted_rows(live.read_view(spark, f"{base}/view", "store"), COLUMNS) == sorted_rows(store, COLUMNS)
+    kpis = live.read_view(spark, f"{base}/view", "kpis").first()
+    assert kpis == snapshot.store_kpis(snapshot.latest_snapshot(store)).first()
+    want = snapshot.stream_status(messages, n=120, hours=24, fuel="Gas")
+    got = live.view_status(spark, f"{base}/view", n=120, fuel="Gas")
+    assert got.select(*want.columns).first() == want.first()
