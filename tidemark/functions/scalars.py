@@ -99,9 +99,9 @@ def query_values(url: Column, key: str) -> Column:
     """All values of a repeated key in the query string of a URL, in order, decoded.
 
     The query string is what stands between the first ``?`` and a ``#``, so a URL
-    that is malformed elsewhere still tells its values. Without any: NULL.
+    that is malformed elsewhere still tells its values. Without one: NULL.
     """
-    query = F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1)
+    query = F.when(F.contains(url, F.lit("?")), F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1))
     found = F.regexp_extract_all(query, F.lit(f"(?:^|&){key}=([^&]*)"), F.lit(1))
     return F.transform(found, lambda v: F.coalesce(F.try_url_decode(v), v))
 
