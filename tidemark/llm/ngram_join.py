@@ -296,64 +296,56 @@ class _Join:
         near = near.join(hubs, "hub").filter(self.similar_size("n", "n_hub") & (F.col("shared") >= F.least("m", "m_hub")))
         return near.select(F.least("class", "hub").alias("u"), F.greatest("class", "hub").alias("v")).distinct()
 
-    def cross_pairs(self, lists: DataFrame, classes: DataFrame, parts: DataFrame) -> DataFrame:
+    def cross_pairs(self, lists: DataFrame, parts: DataFrame) -> DataFrame:
         """Pairs of different components that may link by what their prefixes share.
 
-        A pair is taken at the first gram its prefixes share, if they share enough
-        of them and enough can follow: behind the last shared gram no more than
-        the shorter rest can be common. So a pair comes out once, and only if it
-        has to be verified.
-
-        Lists of exactly the same classes give the same pairs, so only the first
-        gram of each such set of lists is kept. All its classes hold these grams in
-        the same order, so it is the one whose places add up to the least.
+        Lists of exactly the same classes give the same pairs, so they become one
+        list that counts as many grams. A pair is kept if its prefixes share enough
+        grams and enough can follow: behind the last shared gram no more than the
+        shorter rest can be common.
         """
-        placed = lists.select("gram", "class", "place").join(
+        placed = lists.select("gram", "class", "place", "n", "m").join(
             parts.select(F.col("node").alias("class"), "root"), "class", "left"
         ).withColumn("root", F.coalesce("root", "class"))
-        grams = placed.groupBy("gram").agg(
+        alike = ["h1", "h2", "size"]
+        open_ = placed.groupBy("gram").agg(
             F.min("root").alias("a"),
             F.max("root").alias("b"),
             F.bit_xor(F.xxhash64("class")).alias("h1"),
             F.bit_xor(F.xxhash64("class", F.lit(1))).alias("h2"),
             F.count(F.lit(1)).alias("size"),
-            F.sum("place").alias("places"),
-            F.max("place").alias("last"),
         )
-        # Places that were cut off say nothing about the order.
-        alone = F.when(F.col("last") >= _MAX_PLACE, F.col("gram")).alias("alone")
-        kept = grams.filter("a <> b").groupBy("h1", "h2", "size", alone).agg(F.min_by("gram", "places").alias("gram"))
-        rows = placed.drop("place").join(kept.select("gram"), "gram").join(classes.select("class", "n", "m", "prefix"), "class")
+        open_ = open_.filter("a <> b").select("gram", *alike)
+        rows = placed.join(open_, "gram").groupBy(*alike, "class", "root", "n", "m").agg(
+            F.count(F.lit(1)).alias("grams"), F.min("place").alias("first"), F.max("place").alias("last")
+        )
         rows = settle(rows, "open")
-        other = rows.select(*(F.col(c).alias(c if c == "gram" else f"{c}_v") for c in rows.columns))
-        u, v = rows.alias("u"), other.alias("v")
+        other = rows.select(*(F.col(c).alias(c if c in alike else f"{c}_v") for c in rows.columns))
         n, n_v = F.col("n"), F.col("n_v")
 
-        def may_link(shared):
-            last = F.get(shared, F.size(shared) - 1)
-            rest = F.least(n - F.array_position("prefix", last), n_v - F.array_position("prefix_v", last))
-            needed = (n + n_v) * self.rule.percent
-            return (
-                (F.get(shared, F.lit(0)) == F.col("u.gram"))
-                & (F.size(shared) >= F.least("m", "m_v"))
-                & ((F.size(shared) + rest) * (100 + self.rule.percent) >= needed)
-            )
+        def enough(common):
+            return common * (100 + self.rule.percent) >= (n + n_v) * self.rule.percent
 
-        met = (
-            (F.col("u.gram") == F.col("v.gram"))
-            & (F.col("class") < F.col("class_v"))
+        # Places that were cut off are too small, which only raises these bounds.
+        most = F.least("first", "first_v") + F.least(n - F.col("first"), n_v - F.col("first_v"))
+        pairs = rows.join(other, alike).filter(
+            (F.col("class") < F.col("class_v"))
             & (F.col("root") != F.col("root_v"))
             & self.similar_size("n", "n_v")
-            & may_link(F.array_intersect("prefix", "prefix_v"))
+            & enough(most)
+        )
+        counted = pairs.groupBy(F.col("class").alias("u"), F.col("class_v").alias("v"), "n", "n_v", F.least("m", "m_v").alias("m")).agg(
+            F.sum("grams").alias("shared"), F.max("last").alias("last"), F.max("last_v").alias("last_v")
         )
-        return u.join(v, met).select(F.col("class").alias("u"), F.col("class_v").alias("v"))
+        rest = F.least(n - F.col("last"), n_v - F.col("last_v")) - 1
+        return counted.filter((F.col("shared") >= F.col("m")) & enough(F.col("shared") + rest)).select("u", "v")
 
     def run(self) -> Joined:
         survey = self.survey()
         classes = self.classes(survey)
         lists = self.lists(classes)
         star = self.verify(self.star_pairs(lists, classes), classes)
-        rest = self.verify(self.cross_pairs(lists, classes, components(star)), classes)
+        rest = self.verify(self.cross_pairs(lists, components(star)), classes)
         links = star.unionByName(rest)
         parts = components(links).withColumnsRenamed({"node": "class", "root": "component"})
         placed = classes.select("class", *CLASS).join(parts, "class", "left").withColumn(
