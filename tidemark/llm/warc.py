@@ -48,9 +48,11 @@ def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     body = F.coalesce(F.col(html), F.lit(""))
     base = pages.select(F.col(page_id).alias("_id"), F.col(url).alias("_url"), body.alias("_body"))
     base = base.withColumn("_digest", digest(F.encode("_body", "UTF-8")))
-    firsts = base.groupBy(F.col("_digest").alias("_same")).agg(F.min("_id").alias("_first"))
-    met = base.join(firsts, F.col("_digest") == F.col("_same"))
-    revisit = ~F.col("_id").eqNullSafe(F.col("_first"))
+    # Only payloads that occur again matter. Written first, so that Spark knows their size when it joins.
+    firsts = base.groupBy(F.col("_digest").alias("_same")).agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    firsts = settle(firsts.filter("_n > 1").drop("_n"), "repeated")
+    met = base.join(firsts, F.col("_digest") == F.col("_same"), "left")
+    revisit = F.col("_same").isNotNull() & ~F.col("_id").eqNullSafe(F.col("_first"))
     name = lambda c: F.concat(F.lit(f"<{ID}"), F.coalesce(F.col(c).cast("string"), F.lit("null")), F.lit(">"))
     line = lambda label, value: F.concat(F.lit(f"{label}: "), value, F.lit("\r\n"))
     http = F.concat(
