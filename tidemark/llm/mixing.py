@@ -26,7 +26,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .text import count_words, row_key
+from ..session import settle
+from .text import count_words, free_name, row_key
 
 OUTPUT = ("size", "source_size", "target", "taken", "repeats")
 
@@ -168,11 +169,32 @@ def mix(
     return told.select("kept.*", *(F.col(c) for c in OUTPUT))
 
 
-def training_order(mixed: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+def training_order(mixed: DataFrame, doc_id: str = "doc_id", untaken: bool = False) -> DataFrame:
     """One row for each time a document is trained on, range-sorted by position.
 
     ``pass``, ``words`` and ``position`` are added; where ``words`` is below
-    ``size``, only that many words are to be read.
+    ``size``, only that many words are to be read. With ``untaken``, a document
+    that is never trained on has one row behind all others, NULL in these three.
     """
     kept = [c for c in mixed.columns if c.lower() not in ("repeats", "pass", "words", "position")]
-    return mixed.select(*kept, F.inline("repeats")).orderBy("position", doc_id, "pass")
+    times = F.inline_outer("repeats") if untaken else F.inline("repeats")
+    return mixed.select(*kept, times).orderBy(F.col("position").asc_nulls_last(), doc_id, "pass")
+
+
+def taken_in_order(docs: DataFrame, shares: Sequence[Share], doc_id: str = "doc_id", **how) -> DataFrame:
+    """One row per document as its training rows add up to, in the order of first training.
+
+    The training order is written to the shared folder and read back, as a sort
+    below a sum would be left out. ``taken`` is the sum of the words of a
+    document's rows and ``position`` the first of its positions, NULL for documents
+    that are never trained on, which come last. Of the other columns ``doc_id``,
+    ``size``, ``source_size`` and ``target`` remain; ``how`` as ``mix`` takes it.
+    """
+    row = free_name(docs, "_row")
+    columns = (row, doc_id, "size", "source_size", "target")
+    mixed = mix(docs.withColumn(row, F.monotonically_increasing_id()), shares, doc_id=doc_id, **how)
+    order = settle(training_order(mixed.select(*columns, "repeats"), doc_id, untaken=True), "training-order")
+    summed = order.groupBy(*columns).agg(
+        F.coalesce(F.sum("words"), F.lit(0)).alias("taken"), F.min("position").alias("position")
+    )
+    return summed.orderBy(F.col("position").asc_nulls_last(), doc_id, row).drop(row)

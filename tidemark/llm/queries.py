@@ -60,8 +60,9 @@ from placed
 
 @query("op1_mix_sources", OP1_SQL)
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows come in the order of first training; the columns are those of the SQL."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mixing.mix(docs, SHARES).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.taken_in_order(docs, SHARES).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def _runs_sql(kind: str, rank: int, pattern: str, keep: str = "true", group: int = 0) -> str:
