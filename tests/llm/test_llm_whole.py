@@ -1,8 +1,10 @@
 """That the registered queries and operators do the whole job."""
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing
+from tidemark.llm import mixing, toxicity
 from tidemark.llm.queries import QUERIES, SHARES
 
 SF = "/root/testdata/sf0.001"
@@ -35,3 +37,41 @@ def test_taken_in_order_odd(odd, empty):
     assert taken and taken == sorted(taken)
     assert got.filter((F.col("taken") == 0) != F.col("position").isNull()).count() == 0
     assert mixing.taken_in_order(empty, SHARES).count() == 0
+
+
+# -- 5 toxicity ----------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def plain():
+    """A character model that has seen nothing, so where words end is a guess."""
+    return toxicity.CharacterModel.from_counts(np.zeros(toxicity.SYMBOLS**3, dtype=np.int64))
+
+
+def features_of(text, model):
+    found = list(toxicity.features([text], toxicity.Reader(model)))
+    return set(np.concatenate([h for _, h, _ in found]).tolist())
+
+
+@pytest.mark.parametrize("before", [3, 64, 65, 500, 5000])
+def test_words_anywhere_in_a_spaced_run(plain, before):
+    """Also behind letter 64, as word endings and their beginnings."""
+    run = " ".join("xy" * before + "moronsé" + "zq" * 40)
+    found = features_of(f"so {run}, now", plain)
+    for ending in ["moronsé" + "zq" * 40, "zq" * 40, "zqzq"]:
+        assert features_of(ending, plain) <= found
+
+
+def test_ending_features_are_those_of_words(plain):
+    for word in ["abcd", "àbcdéfgh", "w" * 63, "w" * 64, "w" * 65, "abcé" * 50]:
+        want = set()
+        for i in range(len(word) - 3):
+            text = (word[i:] + " ").encode()
+            starts, whole, parts = toxicity.word_parts(text, toxicity.ALNUM, toxicity.PREFIXES)
+            if len(text) - 1 <= toxicity.LONG:
+                want |= set(toxicity.mixed(whole ^ np.uint64(1)).tolist())
+            for n, (_, part) in zip(toxicity.PREFIXES, parts):
+                want |= set(toxicity.mixed(part ^ np.uint64(n)).tolist())
+        got = set(toxicity.ending_features(word).tolist())
+        assert want <= got
+        assert len(got - want) <= max(0, len(word.encode()) - toxicity.LONG)

@@ -36,7 +36,7 @@ from ..session import settle
 from .dense import counted
 from .quality import labelled_sample
 from .text import free_name
-from .words import ALNUM, BLOCK, marked, mixed, slot_bits, word_parts
+from .words import ALNUM, BLOCK, lowered, marked, mixed, slot_bits, word_parts, word_sums
 
 # Signs that stand for letters.
 LEET = {
@@ -49,6 +49,9 @@ SYMBOLS = 64
 _OTHER = SYMBOLS - 1
 _CODE = {c: i + 1 for i, c in enumerate(LETTERS)}
 PREFIXES = (4, 5, 6)
+#: Words of more bytes are hashed by powers of one number, so that all endings of a run are hashed in one pass.
+LONG = 64
+_POWER = 0x9E3779B97F4A7C15
 
 _SEPARATORS = r"[ .\-_*·]"
 _LETTER = r"[^\W\d_]"
@@ -175,6 +178,35 @@ def stretches(text: str) -> Iterator[str]:
         yield hit.group()
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def _tails(letters: np.ndarray) -> np.ndarray:
+    """For each place the sum of the bytes from there on times rising powers."""
+    n = len(letters)
+    sums = np.cumsum((letters * _powers(_POWER, n))[::-1], dtype=np.uint64)[::-1]
+    return sums * _powers(pow(_POWER, -1, 1 << 64), n)
+
+
+def ending_features(word: str) -> np.ndarray:
+    """The features of every ending of four letters or more, as if each were a word of
+    the text. Linear in the word."""
+    raw = np.frombuffer(word.encode("utf-8", "replace"), dtype=np.uint8)
+    letters, n = lowered(raw), len(raw)
+    starts = np.flatnonzero((raw & 0xC0) != 0x80)[: max(0, len(word) - 3)]
+    far, near = starts[n - starts > LONG], starts[n - starts <= LONG]
+    out = [mixed(mixed(_tails(letters)[far]) ^ np.uint64(1))]
+    whole = np.array([word_sums(letters[None, i:])[0] for i in near], dtype=np.uint64)
+    out.append(mixed(whole ^ np.uint64(1)))
+    for k in PREFIXES:
+        cells = starts[n - starts > k][:, None] + np.arange(k)
+        out.append(mixed(word_sums(letters[cells]) ^ np.uint64(k)))
+    return np.concatenate(out)
+
+
 class Reader:
     """Readings of stretches, remembered within a task."""
 
@@ -182,7 +214,11 @@ class Reader:
         self.model, self.most, self.known = model, most, {}
 
     def words(self, text: str) -> list[str]:
-        out = []
+        return self.read(text)[0]
+
+    def read(self, text: str) -> tuple[list[str], list[np.ndarray]]:
+        """The words of all readings, and the features of the endings of spaced-out runs."""
+        out, endings = [], []
         for stretch in stretches(text):
             if not stretch:
                 continue
@@ -190,17 +226,20 @@ class Reader:
                 if len(self.known) >= self.most:
                     self.known.clear()
                 self.known[stretch] = self._read(stretch)
-            out.extend(self.known[stretch])
-        return out
+            words, features = self.known[stretch]
+            out.extend(words)
+            if features is not None:
+                endings.append(features)
+        return out, endings
 
-    def _read(self, stretch: str) -> list[str]:
+    def _read(self, stretch: str) -> tuple[list[str], np.ndarray | None]:
         read = decode(stretch, self.model)
         words = read.split()
-        if _SPACED.fullmatch(stretch):
-            # Where the word starts is unsure, so every ending of the run is a word too.
-            joined = read.replace(" ", "")
-            words += [joined[i:] for i in range(min(len(joined), 64)) if len(joined) - i >= 4]
-        return words
+        if not _SPACED.fullmatch(stretch):
+            return words, None
+        # Where the word starts is unsure, so every ending of the run is a word too.
+        joined = read.replace(" ", "")
+        return [*words, joined], ending_features(joined)
 
 
 def features(texts: Sequence[str | None], reader: Reader) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -210,17 +249,23 @@ def features(texts: Sequence[str | None], reader: Reader) -> Iterator[tuple[int,
     """
     at = 0
     while at < len(texts):
-        size, end, group = 0, at, []
+        size, end, group, owners, hashes = 0, at, [], [], []
         while end < len(texts) and (end == at or size < BLOCK):
             text = texts[end] or ""
-            group.append((text + "\n" + " ".join(reader.words(text))).encode("utf-8", "replace"))
+            words, endings = reader.read(text)
+            group.append((text + "\n" + " ".join(words)).encode("utf-8", "replace"))
+            owners += [np.full(len(e), end - at) for e in endings]
+            hashes += endings
             size += len(group[-1]) + 1
             end += 1
         data = b"\n".join(group)
         limits = np.cumsum([len(g) + 1 for g in group])
-        owners, hashes = [], []
         for offset, piece in _cut(data):
-            starts, whole, parts = word_parts(piece, ALNUM, PREFIXES)
+            starts, whole, (*parts, (long, _)) = word_parts(piece, ALNUM, (*PREFIXES, LONG))
+            if len(long):
+                raw = np.frombuffer(piece, dtype=np.uint8)
+                ends = np.flatnonzero(ALNUM[raw] & ~np.append(ALNUM[raw[1:]], False)) + 1
+                whole[long] = mixed(np.array([_tails(lowered(raw[starts[i] : ends[i]]))[0] for i in long], dtype=np.uint64))
             owner = np.searchsorted(limits, starts + offset, side="right")
             owners.append(owner)
             hashes.append(mixed(whole ^ np.uint64(1)))

@@ -46,6 +46,17 @@ def _factors(n: int) -> np.ndarray:
     return _FACTORS if n <= len(_FACTORS) else mixed(np.arange(n, dtype=np.uint64)) | np.uint64(1)
 
 
+def lowered(raw: np.ndarray) -> np.ndarray:
+    """The numbers that stand for bytes in hashes, equal for A-Z and a-z."""
+    return _LOWERED[raw]
+
+
+def word_sums(letters: np.ndarray) -> np.ndarray:
+    """The hash that ``word_parts`` gives to each row of ``lowered`` bytes."""
+    n = letters.shape[1]
+    return mixed((_factors(n)[:n] * letters).sum(axis=1, dtype=np.uint64))
+
+
 def word_parts(
     data: bytes, table: np.ndarray, prefixes: Sequence[int] = ()
 ) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
