@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tidemark.llm import mixing, toxicity
 from tidemark.llm.queries import QUERIES, SHARES
 
+from .test_llm_cases import letters  # noqa: F401
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -75,3 +77,11 @@ def test_ending_features_are_those_of_words(plain):
         got = set(toxicity.ending_features(word).tolist())
         assert want <= got
         assert len(got - want) <= max(0, len(word.encode()) - toxicity.LONG)
+
+
+@pytest.mark.parametrize(
+    "written", ["you,1d10t", "what/1d10t", "<b>1d10t</b>", "you_1d10t", "a.b/1d10t;now", "you!1d10t", "so|$tup1d", "x,stuuupid,y"]
+)
+def test_disguised_words_that_touch_others(letters, written):  # noqa: F811
+    found = toxicity.Reader(letters).words(f"oh {written} there")
+    assert "idiot" in found or "stupid" in found

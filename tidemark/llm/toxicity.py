@@ -58,6 +58,8 @@ _LETTER = r"[^\W\d_]"
 _SPACED = re.compile(rf"(?<!\w){_LETTER}(?:{_SEPARATORS}{{1,2}}(?:{_LETTER}|[0-9@$!|+])(?!\w)){{2,}}")
 _SWAPPED = re.compile(rf"[0-9@$!|+€¢£]{_LETTER}|{_LETTER}[0-9@$!|+€¢£]")
 _DRAWN = re.compile(rf"({_LETTER})\1\1")
+#: What may part words inside a stretch: signs that stand for no letter; also those that are mostly punctuation; all signs.
+_PARTS = (re.compile(r"[^\w@$!|+€¢£]+|_+"), re.compile(r"[^\w@$€¢£]+|_+"), re.compile(r"[\W_]+"))
 _EDGE = ".,;:?\"'()[]{}<>*&%#~^=/\\_-"
 
 
@@ -107,8 +109,11 @@ class CharacterModel:
 KEPT, SWAPPED, NOISE, DRAWN, SPLIT, BLANK = 0.0, -1.0, -7.0, -0.5, -0.1, -1.5
 
 
-def lattice(stretch: str) -> list[list[tuple[str, float]]]:
-    """For each place the letters it may stand for ('' for none) and their chances."""
+def lattice(stretch: str, apart: bool = False) -> list[list[tuple[str, float]]]:
+    """For each place the letters it may stand for ('' for none) and their chances.
+
+    ``apart``: separators may part words, as they always may in a spaced-out run.
+    """
     steps: list[list[tuple[str, float]]] = []
     low = stretch.lower()
     spaced = bool(_SPACED.fullmatch(stretch))
@@ -123,19 +128,19 @@ def lattice(stretch: str) -> list[list[tuple[str, float]]]:
             # In a run of three or more a letter may be drawn out.
             long_run = again and (run or (i + 1 < len(low) and low[i + 1] == c))
             steps.append([(c, KEPT), ("", DRAWN)] if long_run else [(c, KEPT)])
-        elif spaced:
+        elif spaced or apart:
             steps.append([("", SPLIT), (" ", BLANK)])
         else:
             steps.append([("", SPLIT)])
     return steps
 
 
-def decode(stretch: str, model: CharacterModel) -> str:
+def decode(stretch: str, model: CharacterModel, apart: bool = False) -> str:
     """The likeliest reading: Viterbi over the last two letters of the output."""
     log_p = model.log_p
     # State: last two symbols; value: score and a linked list of output letters.
     states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-    for options in lattice(stretch):
+    for options in lattice(stretch, apart):
         nxt: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (score, path) in states.items():
             for letter, chance in options:
@@ -236,12 +241,25 @@ class Reader:
         read = decode(stretch, self.model)
         words = read.split()
         if not _SPACED.fullmatch(stretch):
-            return words, None
+            return [*words, *self._apart(stretch)], None
         # Where the word starts is unsure, so every ending of the run is a word too.
         joined = read.replace(" ", "")
         return [*words, joined], ending_features(joined)
 
 
+    def _apart(self, stretch: str) -> list[str]:
+        """Further words if the signs inside part words instead of hiding one."""
+        words, seen = [], {stretch}
+        if _PARTS[0].search(stretch):
+            words += decode(stretch, self.model, apart=True).split()
+        for sign in _PARTS:
+            for part in sign.split(stretch):
+                if part not in seen and (_SWAPPED.search(part) or _DRAWN.search(part)):
+                    seen.add(part)
+                    words += decode(part, self.model).split()
+        return words
+
+
 def features(texts: Sequence[str | None], reader: Reader) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Blocks of (first text, feature hashes, text of each feature).
 
