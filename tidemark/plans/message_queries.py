@@ -450,6 +450,5 @@ def stream_dedupe(spark, sf_dir):
     numbered = events.select(
         F.expr("event_id div 2").alias("seq"), F.col("ts").cast("timestamp").alias("received_at")
     )
-    once = live.without_repeats(numbered, delay="1 hour")
-    live.append_table(once, f"{base}/table", f"{base}/checkpoint")
+    live.write_once(numbered, f"{base}/table", f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/table").select("seq")

@@ -226,6 +226,31 @@ def without_repeats(
     pass and only the sequence check reports them.
 
     A message that arrives more than ``delay`` behind the newest one is dropped
-    as well, also if it is its first delivery: choose ``delay`` accordingly.
+    as well, also if it is its first delivery: choose ``delay`` accordingly, or
+    use ``write_once``, which keeps it.
     """
     return stream.withWatermark(received, delay).dropDuplicatesWithinWatermark([key])
+
+
+def write_once(
+    stream: DataFrame, path: str, checkpoint: str, key: str = "seq", received: str = "received_at", live: bool = False
+) -> StreamingQuery:
+    """Write the first delivery of each key, however late it comes; one folder per batch.
+
+    A batch is joined on the keys written by the batches before it, so no watermark
+    drops a message and no state is held in memory. A batch sent again skips its
+    own folder and those behind it, and replaces its own. Of deliveries in one
+    batch the one received first stays; NULL is a key of its own.
+    """
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        rest = [received, *(c for c in batch.columns if c not in (key, received))]
+        first = batch.groupBy(key).agg(F.min(F.struct(*rest)).alias("_m"))
+        new = first.select(*(F.col(c if c == key else f"_m.{c}").alias(c) for c in batch.columns))
+        if batch_id > 0:
+            before = batch.sparkSession.read.schema(f"`{key}` {batch.schema[key].dataType.simpleString()}, {BATCH} bigint")
+            seen = before.parquet(path).filter(F.col(BATCH) < batch_id).select(F.col(key).alias("_seen"))
+            new = new.join(seen, new[key].eqNullSafe(seen["_seen"]), "left_anti")
+        new.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+
+    return _start(stream.writeStream.outputMode("append").foreachBatch(sink), checkpoint, live)
