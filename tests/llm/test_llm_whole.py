@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, toxicity
+from tidemark.llm import mixing, ngram_join, toxicity
 from tidemark.llm.queries import QUERIES, SHARES
 
 from .test_llm_cases import letters  # noqa: F401
@@ -85,3 +85,15 @@ def test_ending_features_are_those_of_words(plain):
 def test_disguised_words_that_touch_others(letters, written):  # noqa: F811
     found = toxicity.Reader(letters).words(f"oh {written} there")
     assert "idiot" in found or "stupid" in found
+
+
+# -- 9 near duplicates ---------------------------------------------------------
+
+
+def test_rows_of_one_id_are_dropped_by_text(frame):
+    copied = "one two three four five six seven eight nine ten"
+    own = "quite another text that is nowhere else in this table at all"
+    docs = frame([(1, copied, "a"), (5, copied, "a"), (5, own, "a"), (5, None, "a"), (7, own, "b")])
+    left = ngram_join.drop_near_duplicates(docs, ngram_join.Rule(k=3, percent=80))
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id, r.text or "") for r in left.collect()) == [(1, copied), (5, ""), (5, own)]

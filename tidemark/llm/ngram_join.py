@@ -133,17 +133,17 @@ def _survey(k: int):
                 s2.append(b)
             none = pa.nulls(len(sizes), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch["_doc"], pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(sizes, pa.int64()), none,
+                [batch["_doc"], batch["_row"], pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(sizes, pa.int64()), none,
                  pa.nulls(len(sizes), pa.list_(pa.int64()))],
-                ["_doc", *CLASS, "chunk", "counts"],
+                ["_doc", "_row", *CLASS, "chunk", "counts"],
             )
         _count_repeats(counts, waiting)
         if kind is not None:
             sums = count_rows(counts)
             n = len(sums[0])
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(n, kind), *(pa.nulls(n, pa.int64()) for _ in CLASS), *sums],
-                ["_doc", *CLASS, "chunk", "counts"],
+                [pa.nulls(n, kind), *(pa.nulls(n, pa.int64()) for _ in ("_row", *CLASS)), *sums],
+                ["_doc", "_row", *CLASS, "chunk", "counts"],
             )
 
     return run
@@ -234,10 +234,12 @@ class _Join:
         self.rule = rule
         self.spark = docs.sparkSession
         self.tokens = docs.select(F.col(doc_id).alias("_doc"), F.col(text).cast("binary").alias("_text"))
+        # The hash of the text tells rows of one id apart.
+        self.marked = self.tokens.withColumn("_row", F.xxhash64("_text"))
 
     def survey(self) -> DataFrame:
-        schema = StructType([self.tokens.schema["_doc"], *_fields("s1 long, s2 long, n long, chunk int, counts array<long>")])
-        return settle(self.tokens.mapInArrow(_survey(self.rule.k), schema), "survey")
+        schema = StructType([self.tokens.schema["_doc"], *_fields("_row long, s1 long, s2 long, n long, chunk int, counts array<long>")])
+        return settle(self.marked.mapInArrow(_survey(self.rule.k), schema), "survey")
 
     def classes(self, survey: DataFrame) -> DataFrame:
         """(class, s1, s2, n, m, prefix, first_doc), one row per distinct set."""
@@ -351,8 +353,8 @@ class _Join:
         placed = classes.select("class", *CLASS).join(parts, "class", "left").withColumn(
             "component", F.coalesce("component", "class")
         )
-        rows = survey.filter("chunk is null").select("_doc", *CLASS)
-        members = rows.join(placed, CLASS, "left").select("_doc", "n", "class", "component")
+        rows = survey.filter("chunk is null").select("_doc", "_row", *CLASS)
+        members = rows.join(placed, CLASS, "left").select("_doc", "_row", "n", "class", "component")
         return Joined(members, classes.select("class", "n", "first_doc"), links)
 
 
@@ -366,18 +368,20 @@ def similarity_join(docs: DataFrame, rule: Rule = Rule(), doc_id: str = "doc_id"
 
 
 def first_of_component(joined: Joined) -> DataFrame:
-    """(_doc, n, component_id): the least document id reachable by links."""
+    """(_doc, _row, n, component_id): the least document id reachable by links. ``_row`` is the hash of the text."""
     roots = joined.members.filter("component is not null").groupBy("component").agg(F.min("_doc").alias("component_id"))
     return joined.members.join(roots, "component", "left").select(
-        "_doc", "n", F.coalesce("component_id", "_doc").alias("component_id")
+        "_doc", "_row", "n", F.coalesce("component_id", "_doc").alias("component_id")
     )
 
 
 def drop_near_duplicates(docs: DataFrame, rule: Rule = Rule(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each component: the one with the least id.
 
-    Rows with a NULL id stay; of rows that share the least id all stay.
+    Rows with a NULL id stay; of rows that share the least id all stay. Rows that
+    share an id but not their text are documents of their own.
     """
     firsts = first_of_component(similarity_join(docs, rule, doc_id, text))
-    gone = firsts.filter("_doc > component_id").select("_doc").distinct()
-    return docs.join(gone, docs[doc_id] == gone["_doc"], "left_anti")
+    gone = firsts.filter("_doc > component_id").select(F.col("_doc").alias("_gone"), F.col("_row").alias("_gone_row")).distinct()
+    same = (docs[doc_id] == gone["_gone"]) & (F.xxhash64(docs[text].cast("binary")) == gone["_gone_row"])
+    return docs.join(gone, same, "left_anti")
