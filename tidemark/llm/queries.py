@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..plans.registry import Query
 from ..session import new_folder
-from . import decontaminate, line_dedup, mixing, ngram_join, quality, secret_scan, token_counts, toxicity, warc, winnowing
+from . import decontaminate, exact_dedup, line_dedup, mixing, ngram_join, quality, secret_scan, token_counts, toxicity, warc
+from . import winnowing
 from .text import table
 
 QUERIES: dict[str, Query] = {}
@@ -262,3 +263,27 @@ def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("type").alias("record_type"),
         F.when(~is_response, warc.page_key(F.col("refers_to")).try_cast("long")).alias("refers_to"),
     )
+
+
+OP12_SQL = r"""
+with normal as (select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256
+  from documents)
+select doc_id, min(doc_id) over g as keep_id, count(*) over g as group_size,
+  doc_id is not distinct from min(doc_id) over g as kept, text_sha256
+from normal window g as (partition by text_sha256)
+"""
+
+
+@query("op12_exact_dedup", OP12_SQL)
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lower half of the ids is admitted to an empty index first, then the rest."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = exact_dedup.digests(docs)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    index = exact_dedup.DigestIndex.create(spark, new_folder(spark, "digest-index"), id_type, buckets)
+    middle = rows.agg(F.percentile_approx("id", 0.5)).first()[0]
+    exact_dedup.admit_in_order(rows, index, [] if middle is None else [middle])
+    return exact_dedup.decisions(rows, index).select(
+        F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
+    )
