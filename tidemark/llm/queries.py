@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..plans.registry import Query
 from ..session import new_folder
-from . import decontaminate, exact_dedup, line_dedup, mixing, ngram_join, quality, secret_scan, token_counts, toxicity, warc
-from . import winnowing
+from . import conversation_repair, decontaminate, exact_dedup, line_dedup, mixing, ngram_join, quality, secret_scan
+from . import token_counts, toxicity, warc, winnowing
 from .text import table
 
 QUERIES: dict[str, Query] = {}
@@ -287,3 +287,8 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(rows, index).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )
+
+
+@query("op13_repair_conversations")
+def op13_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_damaged(table(spark, sf_dir, "conversations"))
