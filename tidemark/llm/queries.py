@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..plans.registry import Query
 from ..session import new_folder
 from . import conversation_repair, decontaminate, exact_dedup, line_dedup, mixing, ngram_join, quality, secret_scan
-from . import token_counts, toxicity, warc, winnowing
+from . import ranked_search, token_counts, toxicity, warc, winnowing
 from .text import table
 
 QUERIES: dict[str, Query] = {}
@@ -292,3 +292,28 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_repair_conversations")
 def op13_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+OP11_SQL = f"""
+with docs as (select row_number() over () as r, doc_id, coalesce({_OP8_WORDS.format(text="text")}, []) as ws from documents),
+items as (select row_number() over () as q, item_id, coalesce({_OP8_WORDS.format(text="text")}, []) as ws from benchmark),
+wanted as (select distinct q, item_id, w from (select q, item_id, unnest(ws) as w from items)),
+sums as (select count(*)::bigint as n_docs, sum(len(ws))::bigint as n_words from docs where len(ws) > 0),
+postings as (select r, doc_id, size, w, count(*)::bigint as tf from (
+  select r, doc_id, len(ws)::bigint as size, unnest(ws) as w from docs) where w in (select w from wanted) group by all),
+weights as (select w, floor(1000 * ln((2 * any_value(n_docs) + 2)::double / (2 * count(*) + 1)::double))::bigint as weight
+  from postings, sums group by w),
+parts as (select r, doc_id, w, (1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * size * n_docs) // n_words)) as impact
+  from postings, sums),
+scores as (select q, item_id, r, doc_id, sum(weight * impact)::bigint as score
+  from parts join weights using (w) join wanted using (w) group by all),
+ranked as (select *, row_number() over (partition by q order by score desc, doc_id nulls last, r) as rank from scores where score > 0)
+select item_id, rank::int as rank, doc_id, score from ranked where rank <= 10
+"""
+
+
+@query("op11_ranked_search", OP11_SQL)
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = ranked_search.search(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
