@@ -18,8 +18,8 @@ list together cannot reach the threshold, a document that holds none of its othe
 cannot be among the best, so these lists are not read for that query ("maxscore").
 Lists that no query reads get no blocks.
 
-Queries are taken in packs that name ``MAX_TERMS`` different terms at most (a larger
-query is a pack by itself); what is broadcast are the pack's terms and weights and
+Queries are taken in packs of ``MAX_QUERIES`` that name ``MAX_TERMS`` different terms at
+most (a larger query is a pack by itself); what is broadcast are the pack's terms and weights and
 ``PIVOTS`` vectors. Terms are compared by 64-bit hashes. Scores and bounds are sums of
 integers below 2**53, so their order is exact. Copies cost their own rows only: a group
 of equal documents is cut into blocks like any other.
@@ -46,11 +46,12 @@ from ..session import settle
 from .words import ALNUM, blocks
 
 MAX_TERMS = 4096
+MAX_QUERIES = 1024
 BLOCK = 32
 PIVOTS = 64
 #: Documents that give the first threshold, and blocks per query that give the second.
 FIRST_DOCS = 4096
-FIRST_BLOCKS = 16
+FIRST_BLOCKS = 256
 #: Cells of a table of documents by terms that a task holds at once.
 CELLS = 1 << 23
 
@@ -74,7 +75,7 @@ class Pack:
         return table
 
 
-def packs(items: DataFrame, item_id: str, text: str, k_terms: int) -> Iterator[Pack]:
+def packs(items: DataFrame, item_id: str, text: str, max_terms: int) -> Iterator[Pack]:
     rows = items.select(F.col(item_id).alias("item"), F.col(text).cast("binary").alias("_text"))
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,7 +94,7 @@ def packs(items: DataFrame, item_id: str, text: str, k_terms: int) -> Iterator[P
         return Pack(names, [np.searchsorted(hashes, np.sort(t)) for t in lists], hashes)
 
     for row in named.toLocalIterator():
-        if names and len(seen | set(row.terms)) > k_terms:
+        if names and (len(seen | set(row.terms)) > max_terms or len(names) == MAX_QUERIES):
             yield made()
             names, lists, seen = [], [], set()
         names.append(row["item"])
@@ -358,17 +359,18 @@ def posting_blocks(found: DataFrame, model: Model, summaries: dict[int, np.ndarr
 def bound_weights(
     pack: Pack, weights: np.ndarray, reads: list[np.ndarray], summaries: dict[int, np.ndarray]
 ) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Per list the queries that read it, and their weights by the coordinates of its summaries."""
-    readers: dict[int, list[int]] = {}
+    """Per list that is read its queries, and their weights by the coordinates of its summaries."""
+    readers: dict[int, list[int]] = {t: [] for t in summaries}
     for q, lists in enumerate(reads):
         for t in lists.tolist():
-            readers.setdefault(t, []).append(q)
+            readers[t].append(q)
     out = {}
     for t, axis in summaries.items():
         table = np.zeros((len(axis), len(readers[t])))
         for i, q in enumerate(readers[t]):
             table[np.searchsorted(axis, pack.terms[q]), i] = weights[pack.terms[q]]
-        out[t] = (np.array(readers[t]), table)
+        if readers[t]:
+            out[t] = (np.array(readers[t]), table)
     return out
 
 
@@ -381,7 +383,7 @@ def block_bounds(batch: pa.RecordBatch, lists: dict) -> Iterator[tuple[np.ndarra
     order = np.argsort(terms, kind="stable")
     starts = np.flatnonzero(np.diff(terms[order], prepend=-1))
     for part in np.split(order, starts[1:]):
-        if len(part):
+        if len(part) and int(terms[part[0]]) in lists:
             queries, table = lists[int(terms[part[0]])]
             yield part, queries, most[ends[part][:, None] + np.arange(len(table))] @ table
 
@@ -514,6 +516,8 @@ def search_pack(docs: DataFrame, pack: Pack, doc_id: str, text: str, k: int) ->
     bounds = spark.sparkContext.broadcast(bound_weights(pack, model.weights, reads, summaries))
     first = scored(found, best_blocks(made, bounds, k), pack, model, spark.sparkContext.broadcast(least), k)
     least = np.maximum(least, _kth(first, len(pack.terms), k))
+    # A higher threshold leaves fewer lists to read.
+    bounds = spark.sparkContext.broadcast(bound_weights(pack, model.weights, read_lists(pack, model, least), summaries))
     shared = spark.sparkContext.broadcast(least)
     best = scored(found, candidates(made, bounds, shared), pack, model, shared, k)
     rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), F.asc_nulls_last("doc")))
