@@ -151,17 +151,68 @@ def _probe_by_shuffle(names: DataFrame, texts: DataFrame, text: str, q: int, lon
     return keyed.join(pairs, "_key").drop("_key")
 
 
+# Signs that escaping makes ordinary, and what stands for them while a pattern is taken apart.
+_ESCAPED = "\\.|?*+()[]{}^$-/ \"'#&~,:;<>=!@%_"
+_HELD = "".join(chr(0xE000 + i) for i in range(len(_ESCAPED)))
+_CUT = "\uf8ff"
+#: What is not taken apart: quotations, flags and look-around, classes in classes, references and codes.
+_OPAQUE = r"\\Q|\(\?(?!:)|\[[^\]]*\[|\\[^dDwWsSbBAzZGhHvVR]"
+_STAND_INS = r"[\uE000-\uF8FF]"
+_TIMES = r"(?:[?*+]|\{[^}]*\})?[?+]?"
+SHORTEST_LITERAL = 3
+
+
+def required_literals(pattern: Column) -> Column:
+    """For each alternative of a regular expression its longest piece that every match holds.
+
+    A match holds at least one of them. NULL where an alternative has none of
+    ``SHORTEST_LITERAL`` characters, or the expression has parts that are not taken apart.
+    """
+    held = pattern
+    for sign, stand_in in zip(_ESCAPED, _HELD):
+        held = F.replace(held, F.lit("\\" + sign), F.lit(stand_in))
+    opaque = pattern.rlike(_STAND_INS) | held.rlike(_OPAQUE)
+    out = F.regexp_replace(held, r"\[\^?\]?[^\]]*\]" + _TIMES, _CUT)
+    for _ in range(4):  # groups from the inside; what is nested deeper counts as opaque
+        out = F.regexp_replace(out, r"\([^()]*\)" + _TIMES, _CUT)
+    out = F.regexp_replace(out, r"\\." + _TIMES, _CUT)
+    out = F.regexp_replace(out, r"(?s).(?:[?*]|\{[^}]*\})[?+]?", _CUT)
+    out = F.regexp_replace(out, r"\+[?+]?|[.^$]", _CUT)
+    longest = lambda one: F.array_max(
+        F.transform(F.split(one, _CUT), lambda x: F.struct(F.length(x).alias("n"), x.alias("piece")))
+    )
+    found = F.transform(F.split(out, r"\|"), lambda one: longest(one))
+    whole = F.forall(found, lambda x: x["n"] >= SHORTEST_LITERAL)
+    plain = F.transform(found, lambda x: F.translate(x["piece"], _HELD, _ESCAPED))
+    return F.when(~opaque & ~out.rlike(r"[()\[\]{}\\]") & whole, F.array_distinct(plain))
+
+
 def _matching_texts(names: DataFrame, texts: DataFrame, name: str, text: str) -> DataFrame:
     """Rows of ``texts`` with, in ``_name``, each name that matches in them as a regular expression.
 
-    A name without special characters matches where it is contained. Only the
-    others are tried one by one, text by text.
+    A name without special characters matches where it is contained. Of the others
+    most name pieces that a match must hold: these are looked up like names, and the
+    expression is tried only in the texts that hold one. Only an expression without
+    such a piece is tried in every text.
     """
-    special = F.col(name).rlike(SPECIAL)
-    plain = containing_texts(names.filter(~special), texts, name, text)
-    patterns = names.filter(special).select(F.col(name).alias("_name")).distinct()
-    tried = texts.join(patterns, F.expr(f"`{text}` rlike _name"))
-    return plain.unionByName(tried)
+    wanted = names.select(F.col(name).alias("_name")).filter(F.col("_name").isNotNull()).distinct()
+    special = F.col("_name").rlike(SPECIAL)
+    known = wanted.select(
+        "_name",
+        special.alias("_special"),
+        F.when(special, required_literals(F.col("_name"))).otherwise(F.array("_name")).alias("_pieces"),
+    )
+    looked_up = known.filter(F.col("_pieces").isNotNull())
+    each = looked_up.withColumn("_piece", F.explode("_pieces"))
+    hits = containing_texts(each, texts, "_piece", text).withColumnRenamed("_name", "_found")
+    met = hits.join(each, F.col("_found") == F.col("_piece"))
+    # A text that holds several pieces of one expression is taken at the first of them.
+    first = F.get(F.filter("_pieces", lambda x: F.contains(F.col(text), x)), F.lit(0)) == F.col("_piece")
+    found = met.filter(first & (~F.col("_special") | F.expr(f"`{text}` rlike _name"))).select(*texts.columns, "_name")
+    free = known.filter(F.col("_pieces").isNull()).select("_name")
+    if free.isEmpty():
+        return found
+    return found.unionByName(texts.join(free, F.expr(f"`{text}` rlike _name")))
 
 
 def contains_join(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,11 +56,12 @@ def latest_message(messages: DataFrame, arrival: str = "arrival_seq") -> DataFra
 
 
 def latest_snapshot(
-    messages: DataFrame, entity: str = "facility_code", arrival: str = "arrival_seq"
+    messages: DataFrame, entity: str = "facility_code", arrival: str | Sequence[str] = "arrival_seq"
 ) -> DataFrame:
-    """Last message per facility, by arrival. The rank limit is applied before the
-    shuffle, so a facility of any size sends one row per task."""
-    last = Window.partitionBy(entity).orderBy(F.col(arrival).desc())
+    """Last message per facility, by arrival (one column, or several in order). The rank
+    limit is applied before the shuffle, so a facility of any size sends one row per task."""
+    order = [arrival] if isinstance(arrival, str) else arrival
+    last = Window.partitionBy(entity).orderBy(*(F.col(c).desc() for c in order))
     named = messages.filter(F.coalesce(F.col(entity), F.lit("")) != "")
     return named.withColumn("_rank", F.row_number().over(last)).filter("_rank = 1").drop("_rank")
 

@@ -9,7 +9,8 @@ from ..functions.times import wall_micros
 from ..operators import cadence, publish, snapshot, trend
 from ..session import new_folder
 from ..sources import messages as intake
-from ..streaming import live
+from ..streaming import committed, live
+from ..streaming.versions import read_table
 from .bindings import (
     CAPTURED_SQL,
     RAW_SQL,
@@ -98,6 +99,43 @@ def latest_message(spark, sf_dir):
     return snapshot.latest_message(messages(spark, sf_dir)).select(*fields)
 
 
+PARTITIONS = 3
+#: Deliveries of three partitions, with times that repeat within and between them.
+OFFSETS_SQL = f"""select *, date_trunc('hour', received_at) as hour, arrival_seq % {PARTITIONS} as part,
+  arrival_seq // {PARTITIONS} as off from m"""
+
+
+def _partitioned(messages: DataFrame) -> DataFrame:
+    """Messages as a source of several partitions gives them: an offset orders its own partition only."""
+    return messages.select(
+        *(c for c in messages.columns if c not in ("arrival_seq", "received_at")),
+        F.col("arrival_seq").alias("message"),
+        F.date_trunc("hour", "received_at").alias("received_at"),
+        (F.col("arrival_seq") % PARTITIONS).cast("int").alias("partition"),
+        F.expr(f"arrival_seq div {PARTITIONS}").alias("offset"),
+    )
+
+
+@query(
+    "partition_order",
+    MESSAGES + f"select arrival_seq as message, row_number() over (order by hour, part, off) - 1 as arrival_seq from ({OFFSETS_SQL})",
+)
+def partition_order(spark, sf_dir):
+    return intake.number_arrivals(_partitioned(messages(spark, sf_dir))).select("message", "arrival_seq")
+
+
+@query(
+    "partition_snapshot",
+    MESSAGES
+    + f"""select arrival_seq as message, facility_code, power_value from ({OFFSETS_SQL})
+    qualify row_number() over (partition by facility_code order by hour desc, part desc, off desc) = 1""",
+)
+def partition_snapshot(spark, sf_dir):
+    """Latest per facility by time, partition and offset, without numbering first."""
+    rows = _partitioned(messages(spark, sf_dir))
+    return snapshot.latest_snapshot(rows, arrival=intake.ARRIVAL).select("message", "facility_code", "power_value")
+
+
 @query("snapshot_filter", LATEST + f"select {COLUMNS} from s where contains(fuel_list, 'Gas') and state = 'VIC'")
 def snapshot_filter(spark, sf_dir):
     return snapshot.filter_snapshot(_snapshot(spark, sf_dir), "Gas", "VIC").select(*SNAPSHOT_COLUMNS)
@@ -395,8 +433,44 @@ def stream_normalize(spark, sf_dir):
 @query("stream_snapshot", LATEST + f"select {COLUMNS} from s")
 def stream_snapshot(spark, sf_dir):
     base = new_folder(spark, "stream_snapshot")
-    live.write_changes(_message_stream(spark, sf_dir), f"{base}/changes", f"{base}/checkpoint")
-    return live.read_changes(spark, f"{base}/changes").select(*SNAPSHOT_COLUMNS)
+    committed.write_snapshot_log(_message_stream(spark, sf_dir), f"{base}/log", f"{base}/checkpoint")
+    return committed.read_snapshot_log(spark, f"{base}/log").select(*SNAPSHOT_COLUMNS)
+
+
+def _landed(spark, sf_dir, base: str, parts: int) -> DataFrame:
+    """A stream of the events that come in so many files, by event number, one micro-batch each."""
+    events = table(spark, sf_dir, "events")
+    last = events.agg(F.max("event_id")).first()[0]
+    for part in range(parts):
+        low, high = part * (last + 1) // parts, (part + 1) * (last + 1) // parts
+        chunk = events.filter((F.col("event_id") >= low) & (F.col("event_id") < high))
+        chunk.coalesce(1).write.mode("append").parquet(f"{base}/landed")
+    return intake.stream_files(spark, f"{base}/landed", events.schema, maxFilesPerTrigger="1")
+
+
+@query(
+    "stream_arrivals",
+    MESSAGES
+    + f"""select arrival_seq as message, row_number() over (order by batch, hour, part, off) - 1 as arrival_seq from (
+    select *, (select count(*) from (values (1), (2)) x(i) where arrival_seq >= i * (last + 1) // 3) as batch
+    from ({OFFSETS_SQL}), (select max(arrival_seq) as last from m))""",
+)
+def stream_arrivals(spark, sf_dir):
+    """Numbers go on from one micro-batch to the next; the second run finds nothing new."""
+    base = new_folder(spark, "stream_arrivals")
+    stream = _partitioned(as_messages(_landed(spark, sf_dir, base, 3)))
+    for _ in range(2):
+        committed.write_arrivals(stream, f"{base}/table", f"{base}/checkpoint")
+    return read_table(spark, f"{base}/table", "arrivals").select("message", "arrival_seq")
+
+
+@query("stream_quarantine", RAW + "select event_id as arrival_seq, reason from raw")
+def stream_quarantine(spark, sf_dir):
+    """Every message is in one of the two tables that one stream writes."""
+    base = new_folder(spark, "stream_quarantine")
+    committed.write_checked(as_raw(_landed(spark, sf_dir, base, 2)), f"{base}/tables", f"{base}/checkpoint")
+    good = read_table(spark, f"{base}/tables", "messages").select("arrival_seq", F.lit(None).cast("string").alias("reason"))
+    return good.unionByName(committed.read_quarantine(spark, f"{base}/tables").select("arrival_seq", "reason"))
 
 
 @query("stream_kpis", LATEST + KPI_SQL + "s")
@@ -416,13 +490,7 @@ def stream_last_n(spark, sf_dir):
 def _dashboard(spark, sf_dir) -> str:
     """The live view after the events have come in four files, one micro-batch each."""
     base = new_folder(spark, "stream_dashboard")
-    events = table(spark, sf_dir, "events")
-    last = events.agg(F.max("event_id")).first()[0]
-    for part in range(4):
-        low, high = part * (last + 1) // 4, (part + 1) * (last + 1) // 4
-        chunk = events.filter((F.col("event_id") >= low) & (F.col("event_id") < high))
-        chunk.coalesce(1).write.mode("append").parquet(f"{base}/landed")
-    stream = intake.stream_files(spark, f"{base}/landed", events.schema, maxFilesPerTrigger="1")
+    stream = _landed(spark, sf_dir, base, 4)
     live.write_view(as_messages(stream), f"{base}/view", f"{base}/checkpoint")
     return f"{base}/view"
 

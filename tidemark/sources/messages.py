@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.frames import compute_once, round_columns
 from ..functions.scalars import default_if_empty, tolerant_float
+from ..operators import ordered
 
 UNKNOWN_REGION = "Unknown Region"
 UNKNOWN_FUEL = "Unknown"
@@ -45,8 +47,9 @@ def stream_kafka(spark: SparkSession, servers: str, topic_pattern: str, per_trig
     """Unbounded source over Kafka; needs the Kafka package on the class path.
 
     The message topic travels in the record key. The broker timestamp is the
-    time of receipt. Arrival order is given per partition by the offset, so use
-    one partition where a total order matters.
+    time of receipt. The offset orders one partition only; ``number_arrivals``
+    (or ``committed.write_arrivals`` on the stream) makes a total order of
+    (received_at, partition, offset).
     """
     raw = (
         spark.readStream.format("kafka")
@@ -59,10 +62,24 @@ def stream_kafka(spark: SparkSession, servers: str, topic_pattern: str, per_trig
         F.col("key").cast("string").alias("topic"),
         F.col("value").cast("string").alias("body"),
         F.col("timestamp").alias("received_at"),
-        F.col("offset").alias("arrival_seq"),
+        "partition",
+        "offset",
     )
 
 
+ARRIVAL = ("received_at", "partition", "offset")
+
+
+def number_arrivals(raw: DataFrame, order: Sequence[str] = ARRIVAL, name: str = "arrival_seq", first: int = 0) -> DataFrame:
+    """Dense arrival numbers from ``first`` on over all partitions of a source.
+
+    Offsets are unique in a partition, so the order is total; it puts a message with
+    no time first. Rows are numbered slice by slice, not in one task.
+    """
+    numbered = ordered.number_rows(raw, order, name=name)
+    return numbered.withColumn(name, F.col(name) + (first - 1))
+
+
 def decode_messages(raw: DataFrame, body: str = "body") -> DataFrame:
     """Add the parsed ``payload`` and, where the body is no JSON object, ``decode_error``.
 
@@ -124,15 +141,10 @@ def check_messages(raw: DataFrame, body: str = "body") -> DataFrame:
     return checked.withColumn("reason", reason)
 
 
-def normalize_messages(raw: DataFrame, body: str = "body", topic: str = "topic") -> DataFrame:
-    """Checked, typed and defaulted messages; works on batch and streaming input.
-
-    Columns of the input other than the body are kept.
-    """
-    kept = [c for c in raw.columns if c not in (body, topic)]
-    good = check_messages(raw, body).filter(F.col("reason").isNull())
+def normalize_checked(checked: DataFrame, kept: Sequence[str], topic: str = "topic") -> DataFrame:
+    """The typed and defaulted form of messages from ``check_messages``, with ``kept`` columns."""
     p, code = F.col("payload"), F.col("facility_code")
-    named = good.select(
+    named = checked.select(
         *kept,
         code,
         default_if_empty(p["facility_name"], code).alias("facility_name"),
@@ -147,6 +159,15 @@ def normalize_messages(raw: DataFrame, body: str = "body", topic: str = "topic")
     return round_columns(named, schemas.METRICS)
 
 
+def normalize_messages(raw: DataFrame, body: str = "body", topic: str = "topic") -> DataFrame:
+    """Checked, typed and defaulted messages; works on batch and streaming input.
+
+    Columns of the input other than the body are kept.
+    """
+    kept = [c for c in raw.columns if c not in (body, topic)]
+    return normalize_checked(check_messages(raw, body).filter(F.col("reason").isNull()), kept, topic)
+
+
 def quarantined_messages(raw: DataFrame, body: str = "body") -> DataFrame:
     """The messages ``normalize_messages`` leaves out, with the reason."""
     checked = check_messages(raw, body).filter(F.col("reason").isNotNull())

@@ -23,6 +23,8 @@ from ..operators.snapshot import (
     snapshot_kpis,
     store_kpis,
 )
+from .seen import SeenKeys, day_of
+from .versions import Versions
 
 REFRESH = "3 seconds"
 SLOTS = 4
@@ -237,20 +239,31 @@ def write_once(
 ) -> StreamingQuery:
     """Write the first delivery of each key, however late it comes; one folder per batch.
 
-    A batch is joined on the keys written by the batches before it, so no watermark
-    drops a message and no state is held in memory. A batch sent again skips its
-    own folder and those behind it, and replaces its own. Of deliveries in one
+    No watermark drops a message and no state is held in memory: ``seen`` keeps the
+    keys beside the table, in ``_seen``, with a filter for each day, so a batch costs
+    its own rows, the filters and the days it repeats. A batch sent again sees the
+    keys of the batches before it and replaces its own folder. Of deliveries in one
     batch the one received first stays; NULL is a key of its own.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        spark, kind = batch.sparkSession, batch.schema[key].dataType.simpleString()
+        versions = Versions(spark, f"{path}/_seen")
+        if versions.committed(batch_id):
+            return
+        keys = SeenKeys(versions, kind)
+        state = versions.newest(before=batch_id) | {"number": batch_id}
         rest = [received, *(c for c in batch.columns if c not in (key, received))]
         first = batch.groupBy(key).agg(F.min(F.struct(*rest)).alias("_m"))
         new = first.select(*(F.col(c if c == key else f"_m.{c}").alias(c) for c in batch.columns))
-        if batch_id > 0:
-            before = batch.sparkSession.read.schema(f"`{key}` {batch.schema[key].dataType.simpleString()}, {BATCH} bigint")
-            seen = before.parquet(path).filter(F.col(BATCH) < batch_id).select(F.col(key).alias("_seen"))
-            new = new.join(seen, new[key].eqNullSafe(seen["_seen"]), "left_anti")
-        new.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        if state.get("days"):
+            known = keys.known(state, first.select(F.col(key).alias("key")))
+            if known is not None:
+                new = new.join(known, new[key].eqNullSafe(known["key"]), "left_anti")
+        folder = f"{path}/{BATCH}={batch_id}"
+        new.write.mode("overwrite").parquet(folder)
+        written = spark.read.schema(new.schema).parquet(folder)
+        state = keys.add(state, written.select(F.col(key).alias("key"), day_of(F.col(received)).alias("day")))
+        versions.commit(batch_id, state)
 
     return _start(stream.writeStream.outputMode("append").foreachBatch(sink), checkpoint, live)
