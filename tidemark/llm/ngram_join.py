@@ -14,8 +14,14 @@ What keeps groups of copies cheap, without leaving out a link between components
 * a gram's list is first verified as a star around its most central class (the
   one in whose order the gram comes earliest), and the links are closed to
   components; a list whose classes are all connected is done;
-* of the other lists only pairs across components whose prefixes share enough are
-  verified.
+* of the other lists, those of up to ``SMALL`` classes give their pairs across
+  components whose prefixes share enough, and these are verified;
+* the classes of a longer list are compared by how they differ from one of them, the
+  reference H. With A = H - X + Y, the sets of differences D = X + Y of two classes
+  that link share all but ``|A - B| + |B - A|`` of their grams, and more than a fixed
+  part unless both link to H and are connected already. So prefixes of the sets of
+  differences are joined, rare ones first: near copies that share a text but none of
+  their changes never meet.
 
 So every pair of classes that could link is either verified or already connected;
 pairs inside a component are never listed.
@@ -39,7 +45,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -52,9 +58,13 @@ COUNT_SLOTS = 1 << 20
 #: Grams that are looked through for repeats at once.
 COUNT_BLOCK = 1 << 22
 MOST_MATCHES = 4
+#: Lists of up to so many classes are joined with themselves.
+SMALL = 16
 #: Verifying one candidate costs about as much as reading so many postings.
 VERIFY_COST = 8.0
 CLASS = ["s1", "s2", "n"]
+#: Lists that agree in these have the same classes.
+ALIKE = ["h1", "h2", "size"]
 _ID_BITS = 51
 _MAX_PLACE = (1 << (63 - _ID_BITS)) - 1
 
@@ -70,6 +80,10 @@ class Rule:
         """Grams that a set of ``n`` shares with any set it links to."""
         return -(-self.percent * n // 100)
 
+    def most_apart(self, n):
+        """Grams (a column) that a set of ``n`` and one it links to hold without each other, at most."""
+        return F.floor((100 - self.percent) * (n + F.floor(100 * n / self.percent)) / (100 + self.percent))
+
 
 def gram_sets(texts: list[bytes | None], k: int) -> Iterator[np.ndarray]:
     """The sorted distinct gram hashes of each text."""
@@ -251,7 +265,10 @@ class _Join:
             F.min("_doc").alias("first_doc"), F.first("m").alias("m"), F.first("prefix").alias("prefix")
         )
         # The ids are fixed by being written before anything uses them.
-        return settle(reduced.withColumn("class", F.monotonically_increasing_id()), "classes")
+        found = settle(reduced.withColumn("class", F.monotonically_increasing_id()), "classes")
+        if (found.agg(F.max("class")).first()[0] or 0) >> _ID_BITS:
+            raise ValueError(f"class numbers need more than {_ID_BITS} bits: use fewer shuffle partitions")
+        return found
 
     def lists(self, classes: DataFrame) -> DataFrame:
         """(gram, class, place, n, m, hub): the postings of grams with two classes or more.
@@ -272,22 +289,29 @@ class _Join:
         )
         return settle(shared.join(classes.select("class", "n", "m"), "class"), "lists")
 
-    def verify(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-        """The pairs (u, v) that link, with the size of their intersection."""
-        pairs = settle(pairs, "pairs")
-        nodes = pairs.select(F.col("u").alias("class")).unionByName(pairs.select(F.col("v").alias("class"))).distinct()
+    def sets_of(self, nodes: DataFrame, classes: DataFrame) -> DataFrame:
+        """(class, n, grams) of the classes in ``nodes``, written once."""
         needed = settle(nodes.join(classes.select("class", *CLASS), "class"), "needed")
         bits = self.spark.sparkContext.broadcast(slot_bits(needed, "s1"))
         found = self.tokens.mapInArrow(_sets(self.rule.k, bits), "s1 long, s2 long, n long, grams array<long>")
         found = found.groupBy(*CLASS).agg(F.first("grams").alias("grams"))
-        sets = settle(found.join(needed, CLASS).select("class", "n", "grams"), "sets")
+        return settle(found.join(needed, CLASS).select("class", "n", "grams"), "sets")
+
+    def verify(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+        """The pairs (u, v) that link, with the size of their intersection."""
+        pairs = settle(pairs, "pairs")
+        nodes = pairs.select(F.col("u").alias("class")).unionByName(pairs.select(F.col("v").alias("class"))).distinct()
+        sets = self.sets_of(nodes, classes)
         left = sets.select(F.col("class").alias("u"), F.col("n").alias("n_u"), F.col("grams").alias("g_u"))
         right = sets.select(F.col("class").alias("v"), F.col("n").alias("n_v"), F.col("grams").alias("g_v"))
         met = pairs.select("u", "v").join(left, "u").join(right, "v")
         common = met.withColumn("common", F.size(F.array_intersect("g_u", "g_v")).cast("long"))
-        link = F.col("common") * 100 >= (F.col("n_u") + F.col("n_v") - F.col("common")) * self.rule.percent
+        link = self.links(F.col("common"), F.col("n_u"), F.col("n_v"))
         return settle(common.filter(link).select("u", "v", "common"), "links")
 
+    def links(self, common, n_u, n_v):
+        return common * 100 >= (n_u + n_v - common) * self.rule.percent
+
     def similar_size(self, a: str, b: str):
         low, high = F.least(a, b), F.greatest(a, b)
         return low * 100 >= high * self.rule.percent
@@ -298,31 +322,37 @@ class _Join:
         near = near.join(hubs, "hub").filter(self.similar_size("n", "n_hub") & (F.col("shared") >= F.least("m", "m_hub")))
         return near.select(F.least("class", "hub").alias("u"), F.greatest("class", "hub").alias("v")).distinct()
 
-    def cross_pairs(self, lists: DataFrame, parts: DataFrame) -> DataFrame:
-        """Pairs of different components that may link by what their prefixes share.
+    def open_lists(self, lists: DataFrame, parts: DataFrame) -> DataFrame:
+        """The lists with classes of several components, one row for each class of a list.
 
         Lists of exactly the same classes give the same pairs, so they become one
-        list that counts as many grams. A pair is kept if its prefixes share enough
-        grams and enough can follow: behind the last shared gram no more than the
-        shorter rest can be common.
+        list that counts as many grams.
         """
-        placed = lists.select("gram", "class", "place", "n", "m").join(
+        placed = lists.select("gram", "class", "place", "n", "m", "hub").join(
             parts.select(F.col("node").alias("class"), "root"), "class", "left"
         ).withColumn("root", F.coalesce("root", "class"))
-        alike = ["h1", "h2", "size"]
         open_ = placed.groupBy("gram").agg(
             F.min("root").alias("a"),
             F.max("root").alias("b"),
             F.bit_xor(F.xxhash64("class")).alias("h1"),
-            F.bit_xor(F.xxhash64("class", F.lit(1))).alias("h2"),
+            F.bit_xor(F.xxhash64(F.lit(1), "class")).alias("h2"),
             F.count(F.lit(1)).alias("size"),
         )
-        open_ = open_.filter("a <> b").select("gram", *alike)
-        rows = placed.join(open_, "gram").groupBy(*alike, "class", "root", "n", "m").agg(
-            F.count(F.lit(1)).alias("grams"), F.min("place").alias("first"), F.max("place").alias("last")
+        open_ = open_.filter("a <> b").select("gram", *ALIKE)
+        rows = placed.join(open_, "gram").groupBy(*ALIKE, "class", "root", "n", "m").agg(
+            F.count(F.lit(1)).alias("grams"), F.min("place").alias("first"), F.max("place").alias("last"), F.min("hub").alias("ref")
         )
-        rows = settle(rows, "open")
-        other = rows.select(*(F.col(c).alias(c if c in alike else f"{c}_v") for c in rows.columns))
+        return settle(rows, "open")
+
+    def cross_pairs(self, rows: DataFrame) -> DataFrame:
+        """Pairs of different components that may link by what their prefixes share.
+
+        A pair is kept if its prefixes share enough grams and enough can follow: behind
+        the last shared gram no more than the shorter rest can be common. Pairs that
+        are in a longer list as well are found there.
+        """
+        rows = rows.filter(F.col("size") <= SMALL).drop("ref")
+        other = rows.select(*(F.col(c).alias(c if c in ALIKE else f"{c}_v") for c in rows.columns))
         n, n_v = F.col("n"), F.col("n_v")
 
         def enough(common):
@@ -330,7 +360,7 @@ class _Join:
 
         # Places that were cut off are too small, which only raises these bounds.
         most = F.least("first", "first_v") + F.least(n - F.col("first"), n_v - F.col("first_v"))
-        pairs = rows.join(other, alike).filter(
+        pairs = rows.join(other, ALIKE).filter(
             (F.col("class") < F.col("class_v"))
             & (F.col("root") != F.col("root_v"))
             & self.similar_size("n", "n_v")
@@ -342,13 +372,74 @@ class _Join:
         rest = F.least(n - F.col("last"), n_v - F.col("last_v")) - 1
         return counted.filter((F.col("shared") >= F.col("m")) & enough(F.col("shared") + rest)).select("u", "v")
 
+    def differences(self, rows: DataFrame, classes: DataFrame) -> DataFrame:
+        """(ref, class, root, n, diff, common, near): how the classes of longer lists differ from
+        their reference; ``near`` if they link to it."""
+        members = settle(rows.filter(F.col("size") > SMALL).select("ref", "class", "root").distinct(), "members")
+        nodes = members.select("class").unionByName(members.select(F.col("ref").alias("class"))).distinct()
+        sets = self.sets_of(nodes, classes)
+        hubs = sets.select(F.col("class").alias("ref"), F.col("n").alias("n_ref"), F.col("grams").alias("g_ref"))
+        both = members.join(sets, "class").join(hubs, "ref")
+        own = both.withColumn("own", F.array_except("grams", "g_ref")).withColumn("common", F.col("n") - F.size("own"))
+        return settle(
+            own.select(
+                "ref", "class", "root", "n",
+                F.concat("own", F.array_except("g_ref", "grams")).alias("diff"),
+                "common",
+                self.links(F.col("common"), F.col("n"), F.col("n_ref")).alias("near"),
+            ),
+            "differences",
+        )
+
+    def difference_links(self, found: DataFrame) -> DataFrame:
+        """The links (u, v, common) between classes of one reference that are not connected through it."""
+        size = F.size("diff").cast("long")
+        # Shared by any link: all but what the two hold without each other; and, if the
+        # other does not link to the reference, more than percent / (100 + percent) of D.
+        apart = F.greatest(F.lit(1), size - self.rule.most_apart(F.col("n")))
+        part = F.floor(self.rule.percent * size / (100 + self.rule.percent)) + 1
+        sized = found.withColumns({"long": size - apart + 1, "short": size - F.greatest(apart, part) + 1})
+        each = sized.select("ref", "class", "root", "n", "near", "long", "short", size.alias("d"), F.explode("diff").alias("gram"))
+        often = each.groupBy("ref", "gram").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
+        # Grams that no other class differs in come first and meet nothing.
+        shared = each.join(often, ["ref", "gram"])
+        by = Window.partitionBy("ref", "class")
+        place = F.col("d") - F.count(F.lit(1)).over(by) + F.row_number().over(by.orderBy("often", "gram"))
+        wanted = shared.withColumn("place", place).filter(F.col("place") <= F.when(F.col("near"), F.col("short")).otherwise(F.col("long")))
+        index = settle(
+            wanted.select("ref", "gram", "class", "root", "n", "near", (F.col("place") <= F.col("short")).alias("early")), "index"
+        )
+        other = index.withColumnsRenamed({c: f"{c}_v" for c in ("class", "root", "n", "near", "early")})
+        met = (
+            (F.col("class") < F.col("class_v"))
+            & (F.col("root") != F.col("root_v"))
+            & self.similar_size("n", "n_v")
+            & ~(F.col("near") & F.col("near_v"))
+            & (F.col("early") | F.col("near_v"))
+            & (F.col("early_v") | F.col("near"))
+        )
+        pairs = index.join(other, ["ref", "gram"]).filter(met).groupBy(F.col("class").alias("u"), F.col("class_v").alias("v"))
+        pairs = settle(pairs.agg(F.min("ref").alias("ref")), "pairs")
+        left = found.select("ref", F.col("class").alias("u"), F.col("n").alias("n_u"), F.col("diff").alias("d_u"))
+        right = found.select("ref", F.col("class").alias("v"), F.col("n").alias("n_v"), F.col("diff").alias("d_v"))
+        both = pairs.join(left, ["ref", "u"]).join(right, ["ref", "v"])
+        apart = F.size("d_u") + F.size("d_v") - 2 * F.size(F.array_intersect("d_u", "d_v"))
+        linked = both.withColumn("common", F.expr("(n_u + n_v)") - apart).withColumn("common", F.expr("common div 2"))
+        linked = linked.filter(self.links(F.col("common"), F.col("n_u"), F.col("n_v"))).select("u", "v", "common")
+        to_ref = found.filter("near and class <> ref").select(
+            F.least("ref", "class").alias("u"), F.greatest("ref", "class").alias("v"), "common"
+        )
+        return linked.unionByName(to_ref)
+
     def run(self) -> Joined:
         survey = self.survey()
         classes = self.classes(survey)
         lists = self.lists(classes)
         star = self.verify(self.star_pairs(lists, classes), classes)
-        rest = self.verify(self.cross_pairs(lists, components(star)), classes)
-        links = star.unionByName(rest)
+        open_ = self.open_lists(lists, components(star))
+        rest = self.verify(self.cross_pairs(open_), classes)
+        more = self.difference_links(self.differences(open_, classes))
+        links = settle(star.unionByName(rest).unionByName(more).distinct(), "links")
         parts = components(links).withColumnsRenamed({"node": "class", "root": "component"})
         placed = classes.select("class", *CLASS).join(parts, "class", "left").withColumn(
             "component", F.coalesce("component", "class")
