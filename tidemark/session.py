@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_BASE: dict[str, str] = {}
+#: For each open ``scratch`` the folders to delete at its end.
+_SCRATCH: list[list[str]] = []
 
 
 def local_session(cores: int | str = "*", app: str = "tidemark", **conf: str) -> SparkSession:
@@ -49,12 +53,39 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_base(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, name: str = "settled") -> DataFrame:
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any store that Spark writes to."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what ``settle`` wrote inside, but for ``lasting`` tables.
+
+    No frame that still has to be computed may read one of them.
+    """
+    paths: list[str] = []
+    _SCRATCH.append(paths)
+    try:
+        yield
+    finally:
+        _SCRATCH.pop()
+        for path in paths:
+            delete_folder(spark, path)
+
+
+def settle(df: DataFrame, name: str = "settled", lasting: bool = False) -> DataFrame:
     """Write the frame to the shared folder and read it back.
 
     For the result of a long plan that the next step reads several times: the
-    plan runs once, and a lost executor costs a read of the written table.
+    plan runs once, and a lost executor costs a read of the written table. Inside
+    ``scratch`` the table goes with it, unless it is ``lasting``: then it goes with
+    the scratch around that one, if there is one.
     """
     path = new_folder(df.sparkSession, name)
+    owners = _SCRATCH[:-1] if lasting else _SCRATCH
+    if owners:
+        owners[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
