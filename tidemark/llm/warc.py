@@ -135,7 +135,9 @@ def parsed(rows: DataFrame) -> DataFrame:
         }
     ).drop("_head")
     binary = F.col("value").cast("binary")
-    block = F.substring(binary, (F.col("body_from") + 1).cast("int"), F.col("body_size").cast("int")).cast("string")
+    # A header may claim any length, so it is held against the piece before any sum.
+    held = F.least(F.col("body_size"), F.octet_length(binary).cast("long")).cast("int")
+    block = F.substring(binary, (F.col("body_from") + 1).cast("int"), held).cast("string")
     out = out.withColumn("_block", F.when(F.col("body_size") >= 0, block))
     http = F.when(F.instr("_block", END) > 0, F.substring_index("_block", END, 1))
     out = out.withColumn("_http", http)
@@ -183,14 +185,14 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     # Pieces are read where they are scanned; only what was read of them is shuffled.
     rows = _placed(parsed(_scan(spark, path)).drop("value"))
     size = F.col("size") - len(MAGIC)
-    wanted = F.col("body_from") + F.col("body_size") + len(END)
+    wanted = F.try_add(F.col("body_from") + len(END), F.col("body_size"))
     table = settle(
         rows.select(
             *(c for c in rows.columns if c != "size"),
             F.xxhash64("file").alias("file_key"),
             (F.col("at") - len(MAGIC)).alias("start"),
-            F.when((F.col("body_size") >= 0) & F.col("type").isNotNull(), F.col("at") + wanted).alias("next"),
-            (size == wanted).alias("whole"),
+            F.when((F.col("body_size") >= 0) & F.col("type").isNotNull(), F.try_add("at", wanted)).alias("next"),
+            F.coalesce(size == wanted, F.lit(False)).alias("whole"),
         ).filter("start >= 0"),
         "candidates",
     )
