@@ -134,6 +134,13 @@ def brute_lines(rows, min_docs=3, min_chars=20):
     return sorted(out, key=str)
 
 
+def test_line_keys_are_two_hashes(frame):
+    """The second hash does not follow from the first, as it would with the key hashed before the constant."""
+    rows = line_dedup.line_rows(frame([(1, "a line that is long enough to count", "a")]), "doc_id", "text", 20)
+    r = rows.select("_h1", "_h2", F.xxhash64(F.lit("a line that is long enough to count"), F.lit(1)).alias("chained")).first()
+    assert r._h2 not in (r._h1, r.chained)
+
+
 def test_lines(frame, odd, empty):
     rng = random.Random(5)
     common = [f"This line number {i} is found in many texts" for i in range(12)]

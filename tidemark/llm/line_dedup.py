@@ -48,7 +48,7 @@ def line_rows(docs: DataFrame, doc_id: str, text: str, min_chars: int) -> DataFr
     )
     keyed = lines.withColumn("_key", F.translate(F.btrim("_line", F.lit(BLANKS)), UPPER, LOWER))
     return keyed.filter(F.length("_key") >= min_chars).select(
-        F.xxhash64("_key").alias("_h1"), F.xxhash64("_key", F.lit(1)).alias("_h2"), "_doc", "_row", "_pos"
+        F.xxhash64("_key").alias("_h1"), F.xxhash64(F.lit(1), "_key").alias("_h2"), "_doc", "_row", "_pos"
     )
 
 
