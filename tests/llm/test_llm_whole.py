@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, ngram_join, toxicity
+from tidemark.llm import mixing, ngram_join, secret_scan, toxicity
 from tidemark.llm.queries import QUERIES, SHARES
 
 from .test_llm_cases import letters  # noqa: F401
@@ -41,6 +41,18 @@ def test_taken_in_order_odd(odd, empty):
     assert mixing.taken_in_order(empty, SHARES).count() == 0
 
 
+def test_texts_are_not_shuffled(spark, frame):
+    """Neither the mix nor the scan carries texts that the caller does not keep."""
+    docs = frame([(1, "some words", "a"), (2, "token=abcdefghijklmnop", "b")])
+    mixed = mixing.mix(docs, SHARES, keep=("doc_id",))
+    assert "text" not in mixed.columns and set(mixed.columns) >= {"doc_id", "taken", "repeats"}
+    found = secret_scan.scan(docs, keep=("doc_id",))
+    assert found.columns == ["doc_id", "base", "spans"] and found.count() == 2
+    for df in (mixed, found):
+        exchanges = [line for line in df._jdf.queryExecution().sparkPlan().toString().splitlines() if "struct" in line or "kept" in line]
+        assert not any("text#" in line and "kept" in line for line in exchanges)
+
+
 # -- 5 toxicity ----------------------------------------------------------------
 
 

@@ -110,6 +110,7 @@ def mix(
     text: str = "text",
     source: str = "source",
     bin_digits: int = 3,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add what the mix takes of each document.
 
@@ -123,9 +124,10 @@ def mix(
     holds the whole source, and the rest goes to the documents that come first by
     the digest of their id; one document per source is taken in part.
 
-    ``bin_digits``: a source is summed in 16 to that power bins.
+    ``bin_digits``: a source is summed in 16 to that power bins. ``keep``: the
+    columns to carry, all by default; without the text only numbers are shuffled.
     """
-    kept = [c for c in docs.columns if c.lower() not in OUTPUT]
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in OUTPUT]
     sized = docs.select(
         F.struct(*kept).alias("kept"),
         F.col(source).alias("origin"),
@@ -192,7 +194,7 @@ def taken_in_order(docs: DataFrame, shares: Sequence[Share], doc_id: str = "doc_
     """
     row = free_name(docs, "_row")
     columns = (row, doc_id, "size", "source_size", "target")
-    mixed = mix(docs.withColumn(row, F.monotonically_increasing_id()), shares, doc_id=doc_id, **how)
+    mixed = mix(docs.withColumn(row, F.monotonically_increasing_id()), shares, doc_id=doc_id, keep=(row, doc_id), **how)
     order = settle(training_order(mixed.select(*columns, "repeats"), doc_id, untaken=True), "training-order")
     summed = order.groupBy(*columns).agg(
         F.coalesce(F.sum("words"), F.lit(0)).alias("taken"), F.min("position").alias("position")

@@ -112,7 +112,7 @@ from documents d left join per_doc p on d.doc_id = p.doc_id
 @query("op10_scan_secrets", OP10_SQL)
 def op10_scan_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = secret_scan.scan(docs)
+    found = secret_scan.scan(docs, keep=("doc_id",))
     return found.select(
         "doc_id",
         secret_scan.count_of(F.col("base"), "assign").alias("n_assign"),

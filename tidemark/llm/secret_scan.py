@@ -25,6 +25,8 @@ named ``base`` or ``spans`` is replaced.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -143,16 +145,19 @@ def linked(found: DataFrame, scope: int) -> DataFrame:
     return met.filter((F.col("i") | ~needs_id) & (F.col("s") | ~needs_secret)).select(*KEY, "rank", "start", "end")
 
 
-def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", scope: int = 256) -> DataFrame:
+def scan(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", scope: int = 256, keep: Sequence[str] | None = None
+) -> DataFrame:
     """Add ``base`` (strong spans) and ``spans`` (strong and linked weak spans),
-    arrays of (start, rank, end, kind) by start, then kind as listed."""
+    arrays of (start, rank, end, kind) by start, then kind as listed. ``keep``: the
+    columns to carry, all by default; without the text no text is shuffled."""
     found = settle(parts(docs, doc_id, text), "parts")
     strong = found.filter(F.col("rank").isin(_ranks(lambda k: k.strong)))
     reported = strong.unionByName(linked(found, scope))
     names = F.array(*(F.lit(k.name) for k in KINDS))
     span = F.struct("start", "rank", "end", F.get(names, F.col("rank")).alias("kind"))
     per_doc = reported.groupBy(*KEY).agg(F.array_sort(F.collect_list(span)).alias("_all"))
-    kept = [c for c in docs.columns if c.lower() not in ("base", "spans")]
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("base", "spans")]
     keyed = docs.select(
         F.struct(*kept).alias("_kept"),
         F.col(doc_id).alias("_doc_key"),
