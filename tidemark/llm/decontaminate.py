@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from ..session import settle
+from ..session import scratch, settle
 from .words import ALNUM, blocks, marked, slot_bits
 
 KEY = ["_doc", "_row"]
@@ -228,8 +228,9 @@ def clean(
 
     Only the ids of the rejected documents meet the texts.
     """
-    found = summary(find(docs, items, doc_id, text, **options))
-    bad = found.filter("n_hit > 0").filter(limit).select(*KEY).distinct()
+    with scratch(docs.sparkSession):
+        found = summary(find(docs, items, doc_id, text, **options))
+        bad = settle(found.filter("n_hit > 0").filter(limit).select(*KEY).distinct(), "rejected", lasting=True)
     whole = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     same = docs[doc_id].eqNullSafe(bad["_doc"]) & (whole == bad["_row"])
     return docs.join(bad, same, "left_anti")

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from ..operators.ordered import assign_slices
-from ..session import settle
+from ..session import scratch, settle
 from .text import BLANKS
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -209,4 +209,6 @@ def apply(docs: DataFrame, bitmaps: DataFrame, doc_id: str = "doc_id", text: str
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    return apply(docs, keep_bitmaps(docs, doc_id, text, **options), doc_id, text)
+    with scratch(docs.sparkSession):
+        bitmaps = settle(keep_bitmaps(docs, doc_id, text, **options), "bitmaps", lasting=True)
+    return apply(docs, bitmaps, doc_id, text)

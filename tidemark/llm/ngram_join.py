@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from ..session import settle
+from ..session import scratch, settle
 from .components import components
 from .dense import count_rows, summed
 from .words import NON_BLANK, blocks, marked, mixed, slot_bits
@@ -472,7 +472,9 @@ def drop_near_duplicates(docs: DataFrame, rule: Rule = Rule(), doc_id: str = "do
     Rows with a NULL id stay; of rows that share the least id all stay. Rows that
     share an id but not their text are documents of their own.
     """
-    firsts = first_of_component(similarity_join(docs, rule, doc_id, text))
-    gone = firsts.filter("_doc > component_id").select(F.col("_doc").alias("_gone"), F.col("_row").alias("_gone_row")).distinct()
+    with scratch(docs.sparkSession):
+        firsts = first_of_component(similarity_join(docs, rule, doc_id, text))
+        gone = firsts.filter("_doc > component_id").select(F.col("_doc").alias("_gone"), F.col("_row").alias("_gone_row"))
+        gone = settle(gone.distinct(), "gone", lasting=True)
     same = (docs[doc_id] == gone["_gone"]) & (F.xxhash64(docs[text].cast("binary")) == gone["_gone_row"])
     return docs.join(gone, same, "left_anti")
