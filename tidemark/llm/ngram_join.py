@@ -398,10 +398,13 @@ class _Join:
         # other does not link to the reference, more than percent / (100 + percent) of D.
         apart = F.greatest(F.lit(1), size - self.rule.most_apart(F.col("n")))
         part = F.floor(self.rule.percent * size / (100 + self.rule.percent)) + 1
-        sized = found.withColumns({"long": size - apart + 1, "short": size - F.greatest(apart, part) + 1})
+        far = found.filter(~F.col("near")).select("ref").distinct()
+        sized = found.join(far, "ref", "left_semi").withColumns({"long": size - apart + 1, "short": size - F.greatest(apart, part) + 1})
         each = sized.select("ref", "class", "root", "n", "near", "long", "short", size.alias("d"), F.explode("diff").alias("gram"))
-        often = each.groupBy("ref", "gram").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
-        # Grams that no other class differs in come first and meet nothing.
+        # Of a pair one at least does not link to the reference. Grams that no such class
+        # differs in, or no other class, come first in the order and meet nothing.
+        often = each.groupBy("ref", "gram").agg(F.count(F.lit(1)).alias("often"), F.count_if(~F.col("near")).alias("far"))
+        often = often.filter("often > 1 and far > 0").drop("far")
         shared = each.join(often, ["ref", "gram"])
         by = Window.partitionBy("ref", "class")
         place = F.col("d") - F.count(F.lit(1)).over(by) + F.row_number().over(by.orderBy("often", "gram"))
