@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from ..session import scratch, settle
-from .words import ALNUM, blocks, marked, slot_bits
+from .words import ALNUM, blocks, few_rows, marked, slot_bits
 
 KEY = ["_doc", "_row"]
 
@@ -46,7 +46,7 @@ def item_windows(items: DataFrame, item_id: str = "item_id", text: str = "text",
     rows = items.select(F.col(item_id).alias("item"), F.col(text).cast("binary").alias("_text"))
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             for block in blocks(batch["_text"].to_pylist(), ALNUM):
                 part = batch.slice(block.first, len(block.ends))
                 words = pa.ListArray.from_arrays(
@@ -66,7 +66,7 @@ def item_windows(items: DataFrame, item_id: str = "item_id", text: str = "text",
 
 def _count(bits) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             found = [b.hashes[marked(b.hashes, bits.value)] for b in blocks(batch["_text"].to_pylist(), ALNUM)]
             if found:
                 words, counts = np.unique(np.concatenate(found), return_counts=True)
@@ -82,7 +82,7 @@ def _index(bits, n: int):
     around = np.arange(-(n - 1), n)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             for block in blocks(batch["_text"].to_pylist(), ALNUM):
                 hashes, starts = block.hashes, block.starts
                 hit = np.flatnonzero(marked(hashes, bits.value))

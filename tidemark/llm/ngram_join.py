@@ -52,7 +52,7 @@ from pyspark.sql.types import StructField, StructType
 from ..session import scratch, settle
 from .components import components
 from .dense import count_rows, summed
-from .words import NON_BLANK, blocks, marked, mixed, slot_bits
+from .words import NON_BLANK, blocks, few_rows, marked, mixed, slot_bits
 
 COUNT_SLOTS = 1 << 20
 #: Grams that are looked through for repeats at once.
@@ -134,7 +134,7 @@ def _survey(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNT_SLOTS, dtype=np.int64)
         kind, waiting = None, []
-        for batch in batches:
+        for batch in few_rows(batches):
             kind = batch["_doc"].type
             sizes, s1, s2 = [], [], []
             for grams in gram_sets(batch["_text"].to_pylist(), k):
@@ -187,7 +187,7 @@ def _prefixes(rule: Rule, counts):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = counts.value
         floor = float(np.median(known)) * 1.25
-        for batch in batches:
+        for batch in few_rows(batches):
             rows: dict[str, list] = {c: [] for c in ("_at", *CLASS, "m", "prefix")}
             for i, grams in enumerate(gram_sets(batch["_text"].to_pylist(), rule.k)):
                 if not len(grams):
@@ -212,7 +212,7 @@ def _sets(k: int, bits):
     """The gram sets of the texts whose class may be marked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             s1, s2, sizes, sets = [], [], [], []
             for grams in gram_sets(batch["_text"].to_pylist(), k):
                 if not len(grams):

@@ -16,6 +16,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,6 +84,13 @@ def word_parts(
     return starts, mixed(np.add.reduceat(parts, begin)), short
 
 
+def few_rows(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller ones, so that a task holds copies of fewer texts."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def word_hashes(data: bytes, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and hash of each word of a block."""
     return word_parts(data, table)[:2]
