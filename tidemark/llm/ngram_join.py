@@ -21,7 +21,9 @@ What keeps groups of copies cheap, without leaving out a link between components
   that link share all but ``|A - B| + |B - A|`` of their grams, and more than a fixed
   part unless both link to H and are connected already. So prefixes of the sets of
   differences are joined, rare ones first: near copies that share a text but none of
-  their changes never meet.
+  their changes never meet. A class with more in Y than it can hold without a class
+  it links to shares a part of Y with each of them, so for pairs with such a class
+  only prefixes of Y are joined: what H alone holds is left out.
 
 So every pair of classes that could link is either verified or already connected;
 pairs inside a component are never listed.
@@ -393,35 +395,45 @@ class _Join:
 
     def difference_links(self, found: DataFrame) -> DataFrame:
         """The links (u, v, common) between classes of one reference that are not connected through it."""
-        size = F.size("diff").cast("long")
+        size, own = F.size("diff").cast("long"), F.col("n") - F.col("common")
         # Shared by any link: all but what the two hold without each other; and, if the
         # other does not link to the reference, more than percent / (100 + percent) of D.
         apart = F.greatest(F.lit(1), size - self.rule.most_apart(F.col("n")))
         part = F.floor(self.rule.percent * size / (100 + self.rule.percent)) + 1
-        far = found.filter(~F.col("near")).select("ref").distinct()
-        sized = found.join(far, "ref", "left_semi").withColumns({"long": size - apart + 1, "short": size - F.greatest(apart, part) + 1})
-        each = sized.select("ref", "class", "root", "n", "near", "long", "short", size.alias("d"), F.explode("diff").alias("gram"))
-        # Of a pair one at least does not link to the reference. Grams that no such class
-        # differs in, or no other class, come first in the order and meet nothing.
-        often = each.groupBy("ref", "gram").agg(F.count(F.lit(1)).alias("often"), F.count_if(~F.col("near")).alias("far"))
-        often = often.filter("often > 1 and far > 0").drop("far")
-        shared = each.join(often, ["ref", "gram"])
-        by = Window.partitionBy("ref", "class")
-        place = F.col("d") - F.count(F.lit(1)).over(by) + F.row_number().over(by.orderBy("often", "gram"))
-        wanted = shared.withColumn("place", place).filter(F.col("place") <= F.when(F.col("near"), F.col("short")).otherwise(F.col("long")))
-        index = settle(
-            wanted.select("ref", "gram", "class", "root", "n", "near", (F.col("place") <= F.col("short")).alias("early")), "index"
+        alone = F.col("n") - F.ceil(self.rule.percent * F.col("n") / 100)
+        # A class with more grams of its own than it can hold without the other shares some of these.
+        by_own = F.struct(
+            F.lit("own").alias("by"), (own > alone).alias("strong"), (alone + 1).alias("long"), (alone + 1).alias("short"),
+            own.alias("d"), F.slice("diff", F.lit(1), own.cast("int")).alias("grams"),
+        )
+        by_all = F.struct(
+            F.lit("all").alias("by"), (~F.col("near")).alias("strong"), (size - apart + 1).alias("long"),
+            (size - F.greatest(apart, part) + 1).alias("short"), size.alias("d"), F.col("diff").alias("grams"),
         )
-        other = index.withColumnsRenamed({c: f"{c}_v" for c in ("class", "root", "n", "near", "early")})
+        ways = F.when(own > alone, F.array(by_own)).otherwise(F.array(by_own, by_all))
+        sized = found.select("ref", "class", "root", "n", F.inline(ways))
+        key = ["by", "ref", "gram"]
+        strong = sized.filter("strong").select("by", "ref").distinct()
+        each = sized.join(strong, ["by", "ref"], "left_semi").withColumn("gram", F.explode("grams")).drop("grams")
+        # Of a pair one at least is strong. Grams that no strong class differs in, or no
+        # other class, come first in the order and meet nothing.
+        often = each.groupBy(*key).agg(F.count(F.lit(1)).alias("often"), F.count_if("strong").alias("met"))
+        often = often.filter("often > 1 and met > 0").drop("met")
+        shared = each.join(often, key)
+        by = Window.partitionBy("by", "ref", "class")
+        place = F.col("d") - F.count(F.lit(1)).over(by) + F.row_number().over(by.orderBy("often", "gram"))
+        wanted = shared.withColumn("place", place).filter(F.col("place") <= F.when(F.col("strong"), F.col("long")).otherwise(F.col("short")))
+        index = settle(wanted.select(*key, "class", "root", "n", "strong", (F.col("place") <= F.col("short")).alias("early")), "index")
+        other = index.withColumnsRenamed({c: f"{c}_v" for c in ("class", "root", "n", "strong", "early")})
         met = (
             (F.col("class") < F.col("class_v"))
             & (F.col("root") != F.col("root_v"))
             & self.similar_size("n", "n_v")
-            & ~(F.col("near") & F.col("near_v"))
-            & (F.col("early") | F.col("near_v"))
-            & (F.col("early_v") | F.col("near"))
+            & (F.col("strong") | F.col("strong_v"))
+            & (F.col("early") | ~F.col("strong_v"))
+            & (F.col("early_v") | ~F.col("strong"))
         )
-        pairs = index.join(other, ["ref", "gram"]).filter(met).groupBy(F.col("class").alias("u"), F.col("class_v").alias("v"))
+        pairs = index.join(other, key).filter(met).groupBy(F.col("class").alias("u"), F.col("class_v").alias("v"))
         pairs = settle(pairs.agg(F.min("ref").alias("ref")), "pairs")
         left = found.select("ref", F.col("class").alias("u"), F.col("n").alias("n_u"), F.col("diff").alias("d_u"))
         right = found.select("ref", F.col("class").alias("v"), F.col("n").alias("n_v"), F.col("diff").alias("d_v"))
