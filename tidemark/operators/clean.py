@@ -79,6 +79,17 @@ def quality_profile(
     )
 
 
+def written_totals(clamped: Sequence[str] = FILLED, measures: Sequence[str] = FILLED, ts: str = "ts") -> dict[str, Column]:
+    """Aggregates for a sink's ``totals``: rows, time range, negatives and missing values."""
+    return {
+        "rows": F.count(F.lit(1)),
+        "first_ts": F.min(ts),
+        "last_ts": F.max(ts),
+        **{f"{c}_negative": F.count_if(F.col(c) < 0) for c in clamped},
+        **{f"{c}_missing": F.count_if(F.col(c).isNull()) for c in measures},
+    }
+
+
 def in_range(df: DataFrame, start, end, ts: str = "ts", date: str = "event_date") -> DataFrame:
     """Rows with ``start <= ts <= end``; reaches the scan as a pushed filter.
 

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.align import align_entities, enrich
-from ..operators.clean import clean_measures
+from ..operators.clean import clean_measures, written_totals
 from ..operators.publish import publish_messages, publish_sequence, replay_schedule, with_timestamp
 from ..operators.rollup import metric_table, with_market
 from ..schemas import METRIC_COLUMN
 from ..sources.landed import facility_dimension, flatten_series, split_problems, unreadable_facilities
-from ..sources.sinks import write_table
+from ..sources.sinks import write_clustered, write_table
 
 
 def bronze(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -32,8 +32,8 @@ def gold(clean: DataFrame, aligned: DataFrame, dedupe: bool = False) -> DataFram
     )
 
 
-def run(responses: DataFrame, aligned: DataFrame, target: str, market: DataFrame | None = None) -> None:
-    """Write quarantine, clean measures and publish set below ``target``.
+def run(responses: DataFrame, aligned: DataFrame, target: str, market: DataFrame | None = None) -> dict:
+    """Write quarantine, clean measures and publish set below ``target``; return the run's totals.
 
     ``market``: price and demand, one row per time, for all facilities.
 
@@ -49,14 +49,16 @@ def run(responses: DataFrame, aligned: DataFrame, target: str, market: DataFrame
     merged = metric_table(spark.read.parquet(f"{target}/points"), columns=METRIC_COLUMN)
     write_table(merged, f"{target}/measures")
     clean = clean_measures(spark.read.parquet(f"{target}/measures"))
-    write_table(clean.withColumn("event_date", day), f"{target}/clean", "event_date")
+    cleaned = write_table(clean.withColumn("event_date", day), f"{target}/clean", "event_date", totals=written_totals())
     rows = enrich(spark.read.parquet(f"{target}/clean"), aligned)
     if market is not None:
         rows = with_market(rows, market)
     write_table(rows, f"{target}/enriched")
     order = ["ts", "facility_code", "facility_name", "state", "lat", "lng"]
     numbered = publish_sequence(spark.read.parquet(f"{target}/enriched"), order)
-    write_table(numbered, f"{target}/publish", "event_date")
+    # By time and facility, so that a reader behind a cursor opens only what follows it.
+    published = write_clustered(numbered, f"{target}/publish", ["ts", "facility_code", "seq"], "event_date", totals={"rows": F.count(F.lit(1))})
+    return {"clean": cleaned, "publish": published}
 
 
 def run_all(
@@ -67,9 +69,11 @@ def run_all(
     target: str,
     market: DataFrame | None = None,
     position: str = "position",
-) -> None:
+) -> dict:
     """The whole job: from landed responses and registers to the messages to send.
 
+    Returns the totals of its tables.
+
     ``facilities``: facility responses (``body``) with their ``position``;
     ``register`` and ``planned`` as ``align_entities`` takes them.
     """
@@ -79,6 +83,7 @@ def run_all(
     write_table(dimension, f"{target}/facilities")
     aligned = align_entities(spark.read.parquet(f"{target}/facilities"), register, planned, position)
     write_table(aligned, f"{target}/aligned")
-    run(responses, spark.read.parquet(f"{target}/aligned"), target, market)
+    totals = run(responses, spark.read.parquet(f"{target}/aligned"), target, market)
     publish = with_timestamp(replay_schedule(spark.read.parquet(f"{target}/publish")))
     write_table(publish_messages(publish), f"{target}/messages")
+    return totals

@@ -268,6 +268,26 @@ def quality_profile(spark, sf_dir):
     return clean.quality_profile(readings(spark, sf_dir), "facility_code", measures=measures)
 
 
+@query(
+    "written_totals",
+    READINGS
+    + """select count(*) as rows, epoch_us(min(ts)) as first_us, epoch_us(max(ts)) as last_us,
+    count(*) filter (power_value < 0) as power_value_negative, count(*) filter (emission_value < 0) as emission_value_negative,
+    count(*) filter (power_value is null) as power_value_missing, count(*) filter (emission_value is null) as emission_value_missing
+    from readings""",
+)
+def written_totals(spark, sf_dir):
+    """Totals that come with the write of a table by day."""
+    rows = readings(spark, sf_dir).withColumn("event_date", F.to_date("ts"))
+    both = ("power_value", "emission_value")
+    totals = clean.written_totals(both, both, "_us")
+    seen = sinks.write_table(
+        rows.withColumn("_us", wall_micros(F.col("ts"))), new_folder(spark, "totals"), "event_date", totals=totals
+    )
+    names = {"first_ts": "first_us", "last_ts": "last_us"}
+    return spark.range(1).select(*(F.lit(v).cast("bigint").alias(names.get(c, c)) for c, v in seen.items()))
+
+
 RANGE = ("2024-01-08 00:00:00", "2024-01-15 12:00:00")
 
 
@@ -500,6 +520,21 @@ def cursor_increment(spark, sf_dir):
     return publish.after_cursor(_for_publish(spark, sf_dir), at, CURSOR[1]).select("event_id", "facility_code")
 
 
+@query(
+    "clustered_increment",
+    HOURLY
+    + f"""select event_id, facility_code from h where ts > timestamp '{CURSOR[0]}'
+    or (ts = timestamp '{CURSOR[0]}' and facility_code > '{CURSOR[1]}')""",
+)
+def clustered_increment(spark, sf_dir):
+    """The same from a publish table that is clustered by time and facility on write."""
+    path = new_folder(spark, "clustered")
+    rows = _for_publish(spark, sf_dir).withColumn("event_date", F.to_date("ts"))
+    sinks.write_clustered(rows, path, PUBLISH_ORDER, "event_date")
+    at = F.lit(CURSOR[0]).cast("timestamp_ntz")
+    return publish.after_cursor(spark.read.parquet(path), at, CURSOR[1]).select("event_id", "facility_code")
+
+
 @query(
     "publish_payload",
     NUMBERED
