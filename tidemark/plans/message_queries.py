@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import wall_micros
-from ..operators import cadence, publish, snapshot, trend
+from ..operators import cadence, histogram, publish, snapshot, trend
 from ..session import new_folder
 from ..sources import messages as intake
 from ..streaming import committed, live
@@ -322,10 +322,8 @@ DELTAS = CAPTURED.rstrip() + (
 _STATS = ("mean_s", "min_s", "max_s", "p50_s", "p90_s", "p95_s", "p99_s", "within_pct")
 
 
-@query(
-    "cadence_report",
-    DELTAS
-    + "select scope, topic, count(*) as n, "
+_REPORT_SQL = (
+    "select scope, topic, count(*) as n, "
     + ", ".join(
         f"round_even({expr}, 6) as {name}"
         for name, expr in zip(
@@ -340,13 +338,34 @@ _STATS = ("mean_s", "min_s", "max_s", "p50_s", "p90_s", "p95_s", "p99_s", "withi
             ),
         )
     )
-    + " from k group by scope, topic",
+    + " from k group by scope, topic"
 )
+
+
+@query("cadence_report", DELTAS + _REPORT_SQL)
 def cadence_report(spark, sf_dir):
     out = cadence.cadence_report(captured(spark, sf_dir), EXPECTED_S, TOLERANCE_S)
     return out.withColumns({c: F.bround(c, 6) for c in _STATS})
 
 
+SAMPLE_S = 10 * 24 * 3600
+
+
+@query(
+    "cadence_sample",
+    DELTAS.replace(
+        CAPTURED.rstrip(),
+        CAPTURED.replace("with c as", "with c0 as").rstrip()
+        + f", c as (select * from c0 where arrival_ns < (select min(arrival_ns) from c0) + {SAMPLE_S * 1_000_000_000})",
+    )
+    + _REPORT_SQL,
+)
+def cadence_sample(spark, sf_dir):
+    """The report over the start of the capture, as long as a live check runs; here ten days."""
+    out = cadence.cadence_report(captured(spark, sf_dir), EXPECTED_S, TOLERANCE_S, seconds=SAMPLE_S)
+    return out.withColumns({c: F.bround(c, 6) for c in _STATS})
+
+
 @query(
     "cadence_verdict",
     DELTAS
@@ -358,6 +377,35 @@ def cadence_verdict(spark, sf_dir):
     return cadence.cadence_verdict(captured(spark, sf_dir), EXPECTED_S, TOLERANCE_S)
 
 
+_LENGTH = "greatest(length(bin(abs({x}))) - 8, 0)"
+_LOW = "((abs({x}) >> {l}) << {l}) * (case when {x} < 0 then -1 else 1 end)"
+_HALF = "((1::bigint << {l}) // 2) * (case when {x} < 0 then -1 else 1 end)"
+
+
+@query(
+    "cadence_by_day",
+    CAPTURED.rstrip()
+    + f""", g as (select topic, arrival_ns - lag(arrival_ns) over (partition by topic
+      order by make_timestamp(arrival_ns // 1000)::date, arrival_seq) as x from c),
+    b as (select topic, {_LOW.format(x="x", l=_LENGTH.format(x="x"))} as bucket, count(*) as n from g where x is not null group by all),
+    r as (select *, sum(n) over (partition by topic order by bucket) as fin, sum(n) over (partition by topic) as total from b),
+    p as (select topic, sum(n)::bigint as n, """
+    + ", ".join(f"min(bucket) filter (fin > floor((total - 1) * {q}::double)) as {name}" for name, q in cadence.QUANTILES.items())
+    + " from r group by topic) select topic, n, "
+    + ", ".join(f"({c} + {_HALF.format(x=c, l=_LENGTH.format(x=c))})::bigint as {c}" for c in cadence.QUANTILES)
+    + " from p",
+)
+def cadence_by_day(spark, sf_dir):
+    """Gaps per topic from summaries by day; the last day comes later, as a day of its own."""
+    path = new_folder(spark, "cadence_by_day")
+    day = F.to_date(F.timestamp_micros(F.expr("arrival_ns div 1000")))
+    rows = captured(spark, sf_dir).withColumn(histogram.DAY, day)
+    last = rows.agg(F.max(histogram.DAY)).scalar()
+    for part in (rows.filter(F.col(histogram.DAY) < last), rows.filter(F.col(histogram.DAY) == last)):
+        histogram.write_days(part, path)
+    return histogram.quantiles(histogram.read_counts(spark, path), cadence.QUANTILES, ["topic"])
+
+
 @query(
     "captured_messages",
     RAW
