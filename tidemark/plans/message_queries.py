@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.times import wall_micros
 from ..operators import cadence, histogram, publish, snapshot, trend
+from ..schemas import METRIC_UNIT
 from ..session import new_folder
 from ..sources import messages as intake
 from ..streaming import committed, live
@@ -457,6 +458,34 @@ def publish_roundtrip(spark, sf_dir):
     return read.join(clocks, "arrival_seq").drop("arrival_seq")
 
 
+_SENT = ("facility_code", "facility_name", "state", "fuel_list", "power_value", "emission_value", "price_per_mwh", "demand_mw", "lat", "lng")
+
+
+@query(
+    "publish_fields",
+    MESSAGES
+    + f"""select arrival_seq as seq, concat('measurements/', facility_code) as topic, {", ".join(_SENT)},
+    strftime(date_trunc('second', received_at) + interval 11 hour, '%Y-%m-%dT%H:%M:%S') || '+11:00' as "timestamp",
+    {", ".join(f"'{u}' as {c}_unit" for c, u in METRIC_UNIT.items())},
+    5000000000 + arrival_seq * 100000000 as slot_mono_ns, 5000000007 + arrival_seq * 100000000 as sent_mono_ns,
+    '{",".join(publish.FIELDS)}' as fields from m""",
+)
+def publish_fields(spark, sf_dir):
+    """Every field of a message, read back from its body, and the order of the fields in it."""
+    second = F.expr("received_us - received_us % 1000000")
+    rows = messages(spark, sf_dir).select(F.col("arrival_seq").alias("seq"), *_SENT, F.timestamp_micros(second).alias("ts"))
+    due = publish.replay_schedule(publish.with_timestamp(rows), start_ns=5_000_000_000)
+    sent = publish.publish_messages(due.withColumn("sent_mono_ns", F.col("slot_mono_ns") + 7))
+    kinds = {c: "double" for c in _SENT[4:]} | {c: "bigint" for c in ("seq", "sent_mono_ns", "slot_mono_ns")} | {"unit": "map<string,string>"}
+    read = sent.withColumn("p", F.from_json("body", ", ".join(f"{c} {kinds.get(c, 'string')}" for c in publish.FIELDS)))
+    return read.select(
+        "topic",
+        *(f"p.{c}" for c in publish.FIELDS if c != "unit"),
+        *(F.col("p.unit")[c].alias(f"{c}_unit") for c in METRIC_UNIT),
+        F.array_join(F.json_object_keys("body"), ",").alias("fields"),
+    )
+
+
 # -- streams ---------------------------------------------------------------------
 
 
