@@ -1,6 +1,7 @@
 """Queries against their SQL, or against brute force where SQL cannot express them."""
 
 import hashlib
+import itertools
 import re
 
 import pytest
@@ -45,6 +46,22 @@ def test_winnowing(spark, docs):
     for d, text in docs:
         by_text.setdefault(text, set()).add(got[d].fingerprint)
     assert all(len(f) == 1 for f in by_text.values())
+    # From the query's own columns: texts that share a run of the guaranteed length share an entry inside it.
+    long, shared, planted = 12 + 16 - 1, {}, 0
+    entries = {}
+    for d, text in docs:
+        hashes, places = got[d].hashes.split(","), list(itertools.accumulate(map(int, got[d].positions.split(","))))
+        assert hashlib.sha256(got[d].hashes.encode()).hexdigest() == got[d].fingerprint
+        assert len(hashes) == len(places) and places == sorted(set(places))
+        entries[d] = dict(zip(places, hashes))
+        for i in range(0, len(text) - long + 1):
+            shared.setdefault(text[i : i + long], []).append((d, i))
+    for run, where in shared.items():
+        if len(where) > 1:
+            planted += 1
+            found = [frozenset((p - i, entries[d][p]) for p in range(i, i + 16) if p in entries[d]) for d, i in where[:20]]
+            assert frozenset.intersection(*found)
+    assert planted > 1000
     mean = lambda c: sum(getattr(r, c) for r in got.values()) / len(got)
     assert mean("near_edited") > 0.45 and mean("near_next") < 0.1
 

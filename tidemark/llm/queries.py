@@ -125,6 +125,7 @@ def op10_scan_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_winnow_fingerprints")
 def op7_winnow_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entries come along: ``hashes`` in text order, and ``positions`` as steps from one to the next."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return winnowing.compare_edits(docs).select(
         "doc_id",
@@ -134,6 +135,8 @@ def op7_winnow_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         winnowing.digest(F.col("edited_entries")).alias("edited_fingerprint"),
         "near_edited",
         "near_next",
+        winnowing.hashes_text(F.col("entries")).alias("hashes"),
+        winnowing.positions_text(F.col("entries")).alias("positions"),
     )
 
 

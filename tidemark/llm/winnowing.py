@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.ordered import assign_slices
+from ..operators.ordered import assign_slices, default_slices
 from .text import let
 
 BLOCK = 8192
@@ -96,9 +96,20 @@ def likeness(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))
 
 
+def hashes_text(entries: Column) -> Column:
+    """The hashes in text order, hexadecimal and comma-joined."""
+    return F.array_join(F.transform(entries, lambda e: F.hex(e["hash"])), ",")
+
+
+def positions_text(entries: Column) -> Column:
+    """The positions, each but the first less the one before, comma-joined."""
+    steps = let(entries, lambda a: F.transform(a, lambda e, i: e["position"] - F.coalesce(F.get(a, i - 1)["position"], F.lit(0))))
+    return F.array_join(steps.cast("array<string>"), ",")
+
+
 def digest(entries: Column) -> Column:
     """The fingerprint as one string: a digest of its hashes in text order."""
-    return F.sha2(F.array_join(F.transform(entries, lambda e: F.hex(e["hash"])), ","), 256)
+    return F.sha2(hashes_text(entries), 256)
 
 
 def fingerprints(docs: DataFrame, text: str = "text", how: Winnow = Winnow(), name: str = "entries") -> DataFrame:
@@ -145,6 +156,8 @@ def compare_edits(
     its own next one.
     """
     seated, order = _seated(docs, doc_id, text, slices)
+    # A given number of partitions is not coalesced: seats are small in bytes and heavy in work.
+    seated = seated.repartition(slices or default_slices(docs), "seat")
     paired = seated.withColumn("_next", F.coalesce(F.lead("_text").over(order), F.lit("")))
     n = F.length("_text")
     keep = n - F.floor(n / 4).cast("int")
