@@ -587,6 +587,55 @@ def stream_dashboard_status(spark, sf_dir):
     return live.view_status(spark, _dashboard(spark, sf_dir), fuel="Gas")
 
 
+#: Refreshes, and hours between resets, of the view that counts from its last reset.
+REFRESHES, REFRESH_HOURS = 7, 200.0
+DUE = f"now - reset_us >= {int(REFRESH_HOURS * 3_600_000_000)}"
+REFRESHED = MESSAGES.replace("with", "with recursive", 1).rstrip() + f"""
+, p as (select *, (select count(*) from range(1, {REFRESHES}) x(i) where arrival_seq >= i * (last + 1) // {REFRESHES}) as batch
+  from m, (select max(arrival_seq) as last from m)),
+ends as (select batch, max(max(received_us)) over (order by batch) as now from p group by batch),
+clock as (select -1 as batch, min(received_us) as reset_us, -1 as cleared, 0 as resets from p where batch = 0
+  union all select e.batch, case when {DUE} then now else reset_us end, case when {DUE} then e.batch else cleared end,
+    resets + case when {DUE} then 1 else 0 end
+  from clock c join ends e on e.batch = c.batch + 1),
+final as (select * from clock order by batch desc limit 1),
+since as (select p.* from p, final where p.batch > final.cleared),
+store as (select * from since order by arrival_seq desc limit 1000),
+shown as (select * from store qualify row_number() over (partition by facility_code order by arrival_seq desc) = 1)
+"""
+
+
+def _refreshed(spark, sf_dir) -> str:
+    """A view whose resets count from the last one; it is refreshed after each of seven files."""
+    base = new_folder(spark, "stream_refresh")
+    stream = as_messages(_landed(spark, sf_dir, base, REFRESHES))
+    committed.write_refreshes(stream, f"{base}/view", f"{base}/checkpoint", hours=REFRESH_HOURS)
+    return f"{base}/view"
+
+
+@query("stream_refresh_store", REFRESHED + f"select {COLUMNS} from store")
+def stream_refresh_store(spark, sf_dir):
+    return read_table(spark, _refreshed(spark, sf_dir), "store").select(*SNAPSHOT_COLUMNS)
+
+
+@query("stream_refresh_kpis", REFRESHED + KPI_SQL + "shown")
+def stream_refresh_kpis(spark, sf_dir):
+    return committed.refresh_kpis(spark, _refreshed(spark, sf_dir))
+
+
+@query(
+    "stream_refresh_status",
+    REFRESHED
+    + """select (select count(*) from m) as total_messages, (select count(*) from since) as messages_since_reset,
+    resets::bigint as resets, (select max(received_us) from m) as last_update_us, reset_us as last_reset_us,
+    ((select max(received_us) from m) - reset_us) / 1e6 as seconds_since_reset,
+    (select count(*) from shown) as facilities,
+    (select count(*) from shown where contains(fuel_list::varchar, 'Gas')) as facilities_shown from final""",
+)
+def stream_refresh_status(spark, sf_dir):
+    return committed.refresh_status(spark, _refreshed(spark, sf_dir), fuel="Gas")
+
+
 @query("stream_dedupe", "select distinct event_id // 2 as seq from events")
 def stream_dedupe(spark, sf_dir):
     """Each sequence number arrives twice here."""

@@ -1,4 +1,4 @@
-"""Streams into versioned tables: a snapshot log, arrival numbers, checked messages.
+"""Streams into versioned tables: a snapshot log, arrival numbers, checked messages, a live view.
 
 Each batch is written to folders of its own and then committed as one version
 (``versions``), whatever number of tables it concerns. ``versions.read_table`` reads
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.snapshot import latest_snapshot
+from ..operators.snapshot import ALL, RESET_HOURS, STORE_SIZE, filter_snapshot, last_messages, latest_snapshot, store_kpis
 from ..sources import messages as intake
 from .live import _start, latest_per_entity
 from .versions import Versions, read_table
@@ -132,3 +132,83 @@ def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     """The messages set aside, as they came, with the reason."""
     body = Versions(spark, path).newest()["body"]
     return read_table(spark, path, "quarantine").withColumnRenamed("_body", body)
+
+
+# -- live view with resets since the last reset ------------------------------------
+
+
+def add_refresh(
+    batch: DataFrame, batch_id: int, path: str, n: int = STORE_SIZE, hours: float = RESET_HOURS, received: str = "received_us"
+) -> None:
+    """Take a batch into the store of the newest ``n`` messages, then refresh.
+
+    A refresh tests whether ``hours`` have gone by since the last reset, by the newest
+    time of receipt so far; if so, all that is held is cleared, this batch too, and
+    the clock starts from there (never if 0). It starts with the first time received.
+    So a reset comes with the first refresh after the interval, wherever that falls.
+
+    The batch is read once: its count and times come with the write of the store,
+    and nothing else is written but the manifest. A message without a time counts
+    and is stored, but moves no clock.
+    """
+    if n < 1:
+        raise ValueError("the store must hold a message")
+    versions = Versions(batch.sparkSession, path)
+    if versions.committed(batch_id):
+        return
+    state = versions.newest(before=batch_id)
+    seen = Observation()
+    counted = batch.observe(seen, F.count(F.lit(1)).alias("n"), F.min(received).alias("low"), F.max(received).alias("high"))
+    store = last_messages(counted, n)
+    held = state["folders"].get("store", [])
+    if held:
+        store = last_messages(versions.read([f for f, _ in held], batch.schema).unionByName(store), n)
+    folders = [[versions.write(store, "store", batch_id), 0]]
+    got = seen.get
+    last = max((t for t in (state.get("last_us"), got["high"]) if t is not None), default=None)
+    begun = state.get("last_reset_us")
+    begun = got["low"] if begun is None else begun
+    since, resets = state.get("since", 0) + got["n"], state.get("resets", 0)
+    if hours > 0 and last is not None and last - begun >= int(hours * 3600 * 1_000_000):
+        folders, begun, since, resets = [], last, 0, resets + 1
+    versions.commit(
+        batch_id,
+        {
+            "folders": {"store": folders},
+            "schemas": {"store": batch.schema.jsonValue()},
+            "total": state.get("total", 0) + got["n"],
+            "since": since,
+            "resets": resets,
+            "last_us": last,
+            "last_reset_us": begun,
+        },
+    )
+
+
+def write_refreshes(
+    stream: DataFrame, path: str, checkpoint: str, n: int = STORE_SIZE, hours: float = RESET_HOURS, received: str = "received_us", live: bool = False
+) -> StreamingQuery:
+    """The live view of a stream, refreshed after each batch; the table is ``store``."""
+    return _each(stream, "append", checkpoint, live, lambda b, i: add_refresh(b, i, path, n, hours, received))
+
+
+def refresh_kpis(spark: SparkSession, path: str) -> DataFrame:
+    """KPIs over the store, which has ``n`` rows at most."""
+    return store_kpis(latest_snapshot(read_table(spark, path, "store")))
+
+
+def refresh_status(spark: SparkSession, path: str, fuel: str = ALL, region: str = ALL) -> DataFrame:
+    """One row: totals, resets, times, and facilities in the store."""
+    state = Versions(spark, path).newest()
+    shown = latest_snapshot(read_table(spark, path, "store"))
+    number = lambda name: F.lit(state.get(name)).cast("bigint")
+    return spark.range(1).select(
+        number("total").alias("total_messages"),
+        number("since").alias("messages_since_reset"),
+        number("resets").alias("resets"),
+        number("last_us").alias("last_update_us"),
+        number("last_reset_us").alias("last_reset_us"),
+        ((number("last_us") - number("last_reset_us")) / 1e6).alias("seconds_since_reset"),
+        shown.agg(F.count(F.lit(1))).scalar().alias("facilities"),
+        filter_snapshot(shown, fuel, region).agg(F.count(F.lit(1))).scalar().alias("facilities_shown"),
+    )
