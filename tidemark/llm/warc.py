@@ -13,7 +13,9 @@ records reaches: every round doubles the reach and the length of all jumps. So a
 version line inside a payload is never taken for a record, and a payload that holds
 one is put together again from its pieces.
 
-All of it is built-in functions; files of any size are read in splits.
+Built-in functions do all but the running offset of a piece in its split, which is
+summed where the piece is read (Arrow), so that texts are not shuffled for it. Files
+of any size are read in splits; pieces are given to their records in bins of a file.
 
 Defined results: a NULL payload is empty; blanks and control characters of a URL
 are removed, a NULL URL is left out; a NULL id is written as ``null``, is above all
@@ -24,14 +26,21 @@ writes archives without records.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import settle
 
 MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
 ID = "urn:tidemark:page:"
+#: Bytes of a file whose pieces are given to their records in one group.
+BIN = 1 << 22
 
 
 def digest(payload: Column) -> Column:
@@ -85,33 +94,53 @@ def write(pages: DataFrame, path: str, **options) -> None:
 
 
 def _scan(spark: SparkSession, path: str) -> DataFrame:
-    """The bytes between version lines, in the order of each split (``nth``)."""
+    """The bytes between version lines, in the order of each split."""
     raw = spark.read.option("lineSep", MAGIC).text(path)
     return raw.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("nth"),
         (F.octet_length("value") + len(MAGIC)).cast("long").alias("size"),
         "value",
     )
 
 
-def _placed(rows: DataFrame) -> DataFrame:
+def _bases(spark: SparkSession, path: str) -> DataFrame:
+    """(file_, split_, base): where the first piece of each split begins; a row per split."""
+    sums = _scan(spark, path).groupBy("file", "split").agg(F.sum("size").alias("all"))
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    base = F.coalesce(F.sum("all").over(before), F.lit(0))
+    return settle(sums.select(F.col("file").alias("file_"), F.col("split").alias("split_"), base.alias("base")), "splits")
+
+
+def _run_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Append the size of what comes before each piece in its split."""
+    last, total, begun = None, 0, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        names, splits = batch["file"].dictionary_encode(), batch["split"].to_numpy()
+        codes, sizes = names.indices.to_numpy(), batch["size"].to_numpy()
+        new = np.ones(len(sizes), dtype=bool)
+        new[1:] = (codes[1:] != codes[:-1]) | (splits[1:] != splits[:-1])
+        new[0] = last != (names[0].as_py(), splits[0])
+        before = total + np.cumsum(sizes) - sizes
+        starts = np.maximum.accumulate(np.where(new, before, begun))
+        last, total, begun = (names[-1].as_py(), splits[-1]), before[-1] + sizes[-1], starts[-1]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(before - starts, pa.int64())], [*batch.schema.names, "within"]
+        )
+
+
+def _placed(rows: DataFrame, bases: DataFrame) -> DataFrame:
     """Add ``at``, the offset of each piece in its file.
 
     The reader gives no offsets, but hands out every byte of a file exactly once and
     in order within a split, so an offset is the sum of what comes before: in the
     split, and in the splits before it.
     """
-    sums = rows.groupBy("file", "split").agg(F.sum("size").alias("all"))
-    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(
-        F.col("file").alias("file_"), F.col("split").alias("split_"), F.coalesce(F.sum("all").over(before), F.lit(0)).alias("base")
-    )
-    inside = Window.partitionBy("file", "split").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    met = placed.join(sums, (F.col("file") == F.col("file_")) & (F.col("split") == F.col("split_")))
-    kept = [c for c in rows.columns if c not in ("split", "nth")]
+    summed = rows.mapInArrow(_run_sums, StructType([*rows.schema, StructField("within", LongType())]))
+    met = summed.join(bases, (F.col("file") == F.col("file_")) & (F.col("split") == F.col("split_")))
+    kept = [c for c in rows.columns if c != "split"]
     return met.select(*kept, (F.col("base") + F.col("within")).alias("at"))
 
 
@@ -175,6 +204,36 @@ def reachable(candidates: DataFrame) -> DataFrame:
         seen = count
 
 
+def _pieces_of(records: DataFrame, table: DataFrame) -> DataFrame:
+    """(file_key, at, start): the pieces of each record (file_key, start, next), with the record's start.
+
+    Records do not overlap. Each leaves a mark in every bin of the file that it
+    reaches, so that the last mark before a piece is found inside its bin. A record
+    that claims more than the file ends with the file.
+    """
+    ends = table.groupBy("file_key").agg(F.max(F.col("at") + F.col("size")).alias("end"))
+    held = records.join(ends, "file_key").select("file_key", "start", F.least("next", "end").alias("next"))
+    of = lambda place: F.floor(place / BIN).cast("long")
+    marks = held.select("*", F.explode(F.sequence(of(F.col("start")), of(F.col("next") - 1))).alias("bin")).select(
+        "file_key",
+        "bin",
+        F.greatest(F.col("start"), F.col("bin") * BIN).alias("place"),
+        F.lit(None).cast("long").alias("at"),
+        F.struct("start", "next").alias("mark"),
+    )
+    pieces = table.select(
+        "file_key",
+        of(F.col("start")).alias("bin"),
+        F.col("start").alias("place"),
+        "at",
+        F.lit(None).cast("struct<start:bigint,next:bigint>").alias("mark"),
+    )
+    order = Window.partitionBy("file_key", "bin").orderBy("place", F.col("at").asc_nulls_first())
+    owner = F.last("mark", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    owned = marks.unionByName(pieces).withColumn("owner", owner)
+    return owned.filter("at is not null and place < owner.next").select("file_key", "at", F.col("owner.start").alias("start"))
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The records of all archives below a path.
 
@@ -182,13 +241,14 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     payload's length by its HTTP header (``payload_bytes``), and of what the record
     holds length and digest (``held_bytes``, ``held_digest``).
     """
-    # Pieces are read where they are scanned; only what was read of them is shuffled.
-    rows = _placed(parsed(_scan(spark, path)).drop("value"))
+    bases = _bases(spark, path)
+    # Pieces are read where they are scanned; only what was read of them goes on.
+    rows = _placed(parsed(_scan(spark, path)).drop("value"), bases)
     size = F.col("size") - len(MAGIC)
     wanted = F.try_add(F.col("body_from") + len(END), F.col("body_size"))
     table = settle(
         rows.select(
-            *(c for c in rows.columns if c != "size"),
+            *rows.columns,
             F.xxhash64("file").alias("file_key"),
             (F.col("at") - len(MAGIC)).alias("start"),
             F.when((F.col("body_size") >= 0) & F.col("type").isNotNull(), F.try_add("at", wanted)).alias("next"),
@@ -202,16 +262,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     fields = ["type", "id", "refers_to", "named_digest", "payload_bytes", "held_bytes", "held_digest"]
     whole = found.filter("whole").select("file", "start", *fields)
     # Records whose payload holds a version line: their pieces, in order, make them whole.
-    marked = table.select("file", "at", "start").join(
-        found.select("file", "start", (~F.col("whole")).alias("broken")), ["file", "start"], "left"
-    )
-    owner = F.last(F.when(F.col("broken").isNotNull(), F.struct("start", "broken")), ignorenulls=True).over(
-        Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    parts = settle(marked.withColumn("o", owner).filter("o.broken").select("file", "at", F.col("o.start").alias("start")), "parts")
-    texts = parts.join(_placed(_scan(spark, path)), ["file", "at"]).groupBy("file", "start").agg(
-        F.array_sort(F.collect_list(F.struct("at", "value"))).alias("p")
-    )
+    parts = settle(_pieces_of(found.filter("not whole").select("file_key", "start", "next"), table), "parts")
+    texts = _placed(_scan(spark, path), bases).withColumn("file_key", F.xxhash64("file")).join(parts, ["file_key", "at"])
+    texts = texts.groupBy("file", "start").agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("p"))
     joined = parsed(texts.select("file", "start", F.array_join(F.transform("p", lambda x: x["value"]), MAGIC).alias("value")))
     return whole.unionByName(joined.select("file", "start", *fields))
 
