@@ -127,6 +127,24 @@ def test_quarantine_in_one_pass(spark):
     assert Versions(spark, path).newest()["rows"] == {"messages": good.count(), "quarantine": bad.count()}
 
 
+def test_landed_parts_are_spread(spark):
+    """A part is one batch, and no file of it holds most of its rows."""
+    from tidemark.plans import message_queries
+
+    base = new_folder(spark, "landed")
+    sizes, seen = [], 0
+    for stream in message_queries._landed(spark, SF, base, 2):
+        sizes.append([])
+        count = lambda df, _: sizes[-1].append(df.count())
+        stream.writeStream.foreachBatch(count).option("checkpointLocation", f"{base}/c").trigger(availableNow=True).start().awaitTermination()
+        files = spark.read.parquet(f"{base}/landed").groupBy(F.input_file_name()).count().collect()
+        seen += sum(sizes[-1])
+        assert sum(r["count"] for r in files) == seen
+        assert max(r["count"] for r in files) <= 0.5 * sizes[-1][0]
+    assert [len(s) for s in sizes] == [1, 1]
+    assert seen == table(spark, SF, "events").count()
+
+
 ROWS = "seq long, received_at timestamp"
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -514,15 +516,18 @@ def stream_snapshot(spark, sf_dir):
     return committed.read_snapshot_log(spark, f"{base}/log").select(*SNAPSHOT_COLUMNS)
 
 
-def _landed(spark, sf_dir, base: str, parts: int) -> DataFrame:
-    """A stream of the events that come in so many files, by event number, one micro-batch each."""
+def _landed(spark, sf_dir, base: str, parts: int) -> Iterator[DataFrame]:
+    """The events land in so many parts, by event number; after each the stream, to be run as one micro-batch.
+
+    A part has many files, so that neither its write nor its batch is one task's work.
+    """
     events = table(spark, sf_dir, "events")
     last = events.agg(F.max("event_id")).first()[0]
     for part in range(parts):
         low, high = part * (last + 1) // parts, (part + 1) * (last + 1) // parts
         chunk = events.filter((F.col("event_id") >= low) & (F.col("event_id") < high))
-        chunk.coalesce(1).write.mode("append").parquet(f"{base}/landed")
-    return intake.stream_files(spark, f"{base}/landed", events.schema, maxFilesPerTrigger="1")
+        chunk.repartition("event_id").write.mode("append").parquet(f"{base}/landed")
+        yield intake.stream_files(spark, f"{base}/landed", events.schema)
 
 
 @query(
@@ -533,11 +538,11 @@ def _landed(spark, sf_dir, base: str, parts: int) -> DataFrame:
     from ({OFFSETS_SQL}), (select max(arrival_seq) as last from m))""",
 )
 def stream_arrivals(spark, sf_dir):
-    """Numbers go on from one micro-batch to the next; the second run finds nothing new."""
+    """Numbers go on from one micro-batch to the next; the second run of each finds nothing new."""
     base = new_folder(spark, "stream_arrivals")
-    stream = _partitioned(as_messages(_landed(spark, sf_dir, base, 3)))
-    for _ in range(2):
-        committed.write_arrivals(stream, f"{base}/table", f"{base}/checkpoint")
+    for stream in _landed(spark, sf_dir, base, 3):
+        for _ in range(2):
+            committed.write_arrivals(_partitioned(as_messages(stream)), f"{base}/table", f"{base}/checkpoint")
     return read_table(spark, f"{base}/table", "arrivals").select("message", "arrival_seq")
 
 
@@ -545,7 +550,8 @@ def stream_arrivals(spark, sf_dir):
 def stream_quarantine(spark, sf_dir):
     """Every message is in one of the two tables that one stream writes."""
     base = new_folder(spark, "stream_quarantine")
-    committed.write_checked(as_raw(_landed(spark, sf_dir, base, 2)), f"{base}/tables", f"{base}/checkpoint")
+    for stream in _landed(spark, sf_dir, base, 2):
+        committed.write_checked(as_raw(stream), f"{base}/tables", f"{base}/checkpoint")
     good = read_table(spark, f"{base}/tables", "messages").select("arrival_seq", F.lit(None).cast("string").alias("reason"))
     return good.unionByName(committed.read_quarantine(spark, f"{base}/tables").select("arrival_seq", "reason"))
 
@@ -565,10 +571,10 @@ def stream_last_n(spark, sf_dir):
 
 
 def _dashboard(spark, sf_dir) -> str:
-    """The live view after the events have come in four files, one micro-batch each."""
+    """The live view after the events have come in four parts, one micro-batch each."""
     base = new_folder(spark, "stream_dashboard")
-    stream = _landed(spark, sf_dir, base, 4)
-    live.write_view(as_messages(stream), f"{base}/view", f"{base}/checkpoint")
+    for stream in _landed(spark, sf_dir, base, 4):
+        live.write_view(as_messages(stream), f"{base}/view", f"{base}/checkpoint")
     return f"{base}/view"
 
 
@@ -606,10 +612,10 @@ shown as (select * from store qualify row_number() over (partition by facility_c
 
 
 def _refreshed(spark, sf_dir) -> str:
-    """A view whose resets count from the last one; it is refreshed after each of seven files."""
+    """A view whose resets count from the last one; it is refreshed after each of seven parts."""
     base = new_folder(spark, "stream_refresh")
-    stream = as_messages(_landed(spark, sf_dir, base, REFRESHES))
-    committed.write_refreshes(stream, f"{base}/view", f"{base}/checkpoint", hours=REFRESH_HOURS)
+    for stream in _landed(spark, sf_dir, base, REFRESHES):
+        committed.write_refreshes(as_messages(stream), f"{base}/view", f"{base}/checkpoint", hours=REFRESH_HOURS)
     return f"{base}/view"
 
 
