@@ -132,6 +132,9 @@ def test_landed_parts_are_spread(spark):
     from tidemark.plans import message_queries
 
     base = new_folder(spark, "landed")
+    spark = spark.newSession()
+    # A table as small as this one would be put into one file.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1b")
     sizes, seen = [], 0
     for stream in message_queries._landed(spark, SF, base, 2):
         sizes.append([])
