@@ -69,3 +69,51 @@ def test_unlinked_copies_do_not_meet(frame, monkeypatch):
     # A star over each list costs a few pairs a class; all pairs would be 80,000.
     assert sum(n for name, n in compared if name == "pairs") < 8_000
     assert joined.members.select("component").distinct().count() == 401
+
+
+def test_unlike_texts_of_a_long_list(frame, monkeypatch):
+    """Texts that share a passage and nothing else: a part of each is looked at, and nothing of one without a partner."""
+    rng = random.Random(9)
+    passage = [f"p{i}" for i in range(40)]
+    texts = [[f"x{rng.randrange(10**9)}" for _ in range(12)] + passage for _ in range(40)]
+    texts += [[f"y{rng.randrange(10**9)}" for _ in range(3)] + passage + [f"z{n}w{i}" for i in range(30 * n * n)] for n in (5, 8, 12)]
+    rows = [(i, " ".join(t), "a") for i, t in enumerate(texts)]
+    looked = []
+    index = ngram_join._Join.difference_index
+
+    def counting(join, parts):
+        looked.extend(parts.select("n", "d", "strong").collect())
+        return index(join, parts)
+
+    monkeypatch.setattr(ngram_join._Join, "difference_index", counting)
+    # All grams of a text are in its prefix, so that the passage makes lists of all texts.
+    monkeypatch.setattr(ngram_join, "choose_prefix", lambda seen, n, rule, floor: (1, n))
+    joined = ngram_join.similarity_join(frame(rows), ngram_join.Rule(3, 90))
+    got = {r["_doc"]: (r.n, r.component_id) for r in ngram_join.first_of_component(joined).collect()}
+    assert got == brute_components([r[:2] for r in rows], 3, 90)
+    assert looked and all(r.n < 100 for r in looked)
+    assert all(r.d <= 1.5 * 0.1 * r.n + 1 for r in looked if r.strong)
+
+
+def test_grams_of_the_same_texts_are_joined_as_one(frame, monkeypatch):
+    """Texts of shared sentences: one row for a sentence and text, not one for each of its grams."""
+    rng = random.Random(10)
+    sentences = [[f"s{k}w{i}" for i in range(24)] for k in range(14)]
+    texts = [sum(rng.sample(sentences, 7), []) for _ in range(150)]
+    rows = [(i, " ".join(t), "a") for i, t in enumerate(texts)]
+    counts = []
+    settle = ngram_join.settle
+
+    def counting(df, name="settled"):
+        out = settle(df, name)
+        if name == "index":
+            counts.append((out.count(), out.select("ref", "class").distinct().count()))
+        return out
+
+    monkeypatch.setattr(ngram_join, "settle", counting)
+    monkeypatch.setattr(ngram_join, "choose_prefix", lambda seen, n, rule, floor: (1, n))
+    joined = ngram_join.similarity_join(frame(rows), ngram_join.Rule(3, 90))
+    got = {r["_doc"]: (r.n, r.component_id) for r in ngram_join.first_of_component(joined).collect()}
+    assert got == brute_components([r[:2] for r in rows], 3, 90)
+    [(rows_, sets)] = counts
+    assert sets and rows_ < 8 * sets

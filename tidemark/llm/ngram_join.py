@@ -17,13 +17,16 @@ What keeps groups of copies cheap, without leaving out a link between components
 * of the other lists, those of up to ``SMALL`` classes give their pairs across
   components whose prefixes share enough, and these are verified;
 * the classes of a longer list are compared by how they differ from one of them, the
-  reference H. With A = H - X + Y, the sets of differences D = X + Y of two classes
+  reference H (the one most central in most lists). With A = H - X + Y, the sets of differences D = X + Y of two classes
   that link share all but ``|A - B| + |B - A|`` of their grams, and more than a fixed
   part unless both link to H and are connected already. So prefixes of the sets of
   differences are joined, rare ones first: near copies that share a text but none of
   their changes never meet. A class with more in Y than it can hold without a class
   it links to shares a part of Y with each of them, so for pairs with such a class
-  only prefixes of Y are joined: what H alone holds is left out.
+  only prefixes of Y are joined: what H alone holds is left out. Of a long Y, no more is
+  looked at than the part that comes first in the order of all grams and shares
+  ``1 + alone`` grams with any it links to, ``alone`` being what it can hold without
+  that one. Grams that the same classes hold are joined as one.
 
 So every pair of classes that could link is either verified or already connected;
 pairs inside a component are never listed.
@@ -42,6 +45,7 @@ results.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -51,7 +55,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from ..session import scratch, settle
+from ..session import outlast, scratch, settle
 from .components import components
 from .dense import count_rows, summed
 from .words import NON_BLANK, blocks, few_rows, marked, mixed, slot_bits
@@ -185,17 +189,27 @@ def choose_prefix(order_counts: np.ndarray, n: int, rule: Rule, floor: float) ->
     return best[1], best[2]
 
 
+def _ordinary(known: np.ndarray) -> float:
+    """What an ordinary slot holds."""
+    return float(np.median(known)) * 1.25
+
+
+def _rare_first(grams: np.ndarray, seen: np.ndarray, floor: float) -> np.ndarray:
+    """The order common to all sets."""
+    return np.lexsort((grams, np.where(seen <= floor, 0, seen)))
+
+
 def _prefixes(rule: Rule, counts):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = counts.value
-        floor = float(np.median(known)) * 1.25
+        floor = _ordinary(known)
         for batch in few_rows(batches):
             rows: dict[str, list] = {c: [] for c in ("_at", *CLASS, "m", "prefix")}
             for i, grams in enumerate(gram_sets(batch["_text"].to_pylist(), rule.k)):
                 if not len(grams):
                     continue
                 seen = known[_slot(grams)]
-                order = np.lexsort((grams, np.where(seen <= floor, 0, seen)))
+                order = _rare_first(grams, seen, floor)
                 m, length = choose_prefix(seen[order], len(grams), rule, floor)
                 a, b = _class_hash(grams)
                 for name, value in zip(rows, (i, a, b, len(grams), m, grams[order[:length]].view(np.int64))):
@@ -210,10 +224,12 @@ def _prefixes(rule: Rule, counts):
     return run
 
 
-def _sets(k: int, bits):
-    """The gram sets of the texts whose class may be marked."""
+def _sets(k: int, bits, counts):
+    """The gram sets, rare grams first, of the texts whose class may be marked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = counts.value
+        floor = _ordinary(known)
         for batch in few_rows(batches):
             s1, s2, sizes, sets = [], [], [], []
             for grams in gram_sets(batch["_text"].to_pylist(), k):
@@ -224,7 +240,7 @@ def _sets(k: int, bits):
                     s1.append(a)
                     s2.append(b)
                     sizes.append(len(grams))
-                    sets.append(grams.view(np.int64))
+                    sets.append(grams[_rare_first(grams, known[_slot(grams)], floor)].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(sizes, pa.int64()),
                  pa.array(sets, pa.list_(pa.int64()))],
@@ -259,9 +275,9 @@ class _Join:
 
     def classes(self, survey: DataFrame) -> DataFrame:
         """(class, s1, s2, n, m, prefix, first_doc), one row per distinct set."""
-        counts = self.spark.sparkContext.broadcast(gram_counts(survey))
+        self.counts = self.spark.sparkContext.broadcast(gram_counts(survey))
         schema = StructType([self.tokens.schema["_doc"], *_fields("s1 long, s2 long, n long, m int, prefix array<long>")])
-        found = self.tokens.mapInArrow(_prefixes(self.rule, counts), schema)
+        found = self.tokens.mapInArrow(_prefixes(self.rule, self.counts), schema)
         # Equal sets have equal prefixes, so any of them will do.
         reduced = found.groupBy(*CLASS).agg(
             F.min("_doc").alias("first_doc"), F.first("m").alias("m"), F.first("prefix").alias("prefix")
@@ -295,21 +311,24 @@ class _Join:
         """(class, n, grams) of the classes in ``nodes``, written once."""
         needed = settle(nodes.join(classes.select("class", *CLASS), "class"), "needed")
         bits = self.spark.sparkContext.broadcast(slot_bits(needed, "s1"))
-        found = self.tokens.mapInArrow(_sets(self.rule.k, bits), "s1 long, s2 long, n long, grams array<long>")
+        found = self.tokens.mapInArrow(_sets(self.rule.k, bits, self.counts), "s1 long, s2 long, n long, grams array<long>")
         found = found.groupBy(*CLASS).agg(F.first("grams").alias("grams"))
         return settle(found.join(needed, CLASS).select("class", "n", "grams"), "sets")
 
     def verify(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
         """The pairs (u, v) that link, with the size of their intersection."""
-        pairs = settle(pairs, "pairs")
-        nodes = pairs.select(F.col("u").alias("class")).unionByName(pairs.select(F.col("v").alias("class"))).distinct()
-        sets = self.sets_of(nodes, classes)
-        left = sets.select(F.col("class").alias("u"), F.col("n").alias("n_u"), F.col("grams").alias("g_u"))
-        right = sets.select(F.col("class").alias("v"), F.col("n").alias("n_v"), F.col("grams").alias("g_v"))
-        met = pairs.select("u", "v").join(left, "u").join(right, "v")
-        common = met.withColumn("common", F.size(F.array_intersect("g_u", "g_v")).cast("long"))
-        link = self.links(F.col("common"), F.col("n_u"), F.col("n_v"))
-        return settle(common.filter(link).select("u", "v", "common"), "links")
+        with scratch(self.spark):
+            pairs = settle(pairs, "pairs")
+            nodes = pairs.select(F.col("u").alias("class")).unionByName(pairs.select(F.col("v").alias("class"))).distinct()
+            sets = self.sets_of(nodes, classes)
+            left = sets.select(F.col("class").alias("u"), F.col("n").alias("n_u"), F.col("grams").alias("g_u"))
+            right = sets.select(F.col("class").alias("v"), F.col("n").alias("n_v"), F.col("grams").alias("g_v"))
+            met = pairs.select("u", "v").join(left, "u").join(right, "v")
+            common = met.withColumn("common", F.size(F.array_intersect("g_u", "g_v")).cast("long"))
+            link = self.links(F.col("common"), F.col("n_u"), F.col("n_v"))
+            found = settle(common.filter(link).select("u", "v", "common"), "links")
+            outlast()
+            return found
 
     def links(self, common, n_u, n_v):
         return common * 100 >= (n_u + n_v - common) * self.rule.percent
@@ -342,7 +361,7 @@ class _Join:
         )
         open_ = open_.filter("a <> b").select("gram", *ALIKE)
         rows = placed.join(open_, "gram").groupBy(*ALIKE, "class", "root", "n", "m").agg(
-            F.count(F.lit(1)).alias("grams"), F.min("place").alias("first"), F.max("place").alias("last"), F.min("hub").alias("ref")
+            F.count(F.lit(1)).alias("grams"), F.min("place").alias("first"), F.max("place").alias("last"), F.min("hub").alias("hub")
         )
         return settle(rows, "open")
 
@@ -353,7 +372,7 @@ class _Join:
         the last shared gram no more than the shorter rest can be common. Pairs that
         are in a longer list as well are found there.
         """
-        rows = rows.filter(F.col("size") <= SMALL).drop("ref")
+        rows = rows.filter(F.col("size") <= SMALL).drop("hub")
         other = rows.select(*(F.col(c).alias(c if c in ALIKE else f"{c}_v") for c in rows.columns))
         n, n_v = F.col("n"), F.col("n_v")
 
@@ -377,7 +396,11 @@ class _Join:
     def differences(self, rows: DataFrame, classes: DataFrame) -> DataFrame:
         """(ref, class, root, n, diff, common, near): how the classes of longer lists differ from
         their reference; ``near`` if they link to it."""
-        members = settle(rows.filter(F.col("size") > SMALL).select("ref", "class", "root").distinct(), "members")
+        rows = rows.filter(F.col("size") > SMALL).select(*ALIKE, "class", "root", "hub")
+        # One class for as many lists as can be, so that classes of several lists differ from few.
+        central = rows.select(*ALIKE, "hub").distinct().groupBy(F.col("hub").alias("class")).agg(F.count(F.lit(1)).alias("lists"))
+        refs = rows.join(central, "class").groupBy(*ALIKE).agg(F.max(F.struct("lists", "class"))["class"].alias("ref"))
+        members = settle(rows.join(refs, ALIKE).select("ref", "class", "root").distinct(), "members")
         nodes = members.select("class").unionByName(members.select(F.col("ref").alias("class"))).distinct()
         sets = self.sets_of(nodes, classes)
         hubs = sets.select(F.col("class").alias("ref"), F.col("n").alias("n_ref"), F.col("grams").alias("g_ref"))
@@ -393,42 +416,73 @@ class _Join:
             "differences",
         )
 
-    def difference_links(self, found: DataFrame) -> DataFrame:
-        """The links (u, v, common) between classes of one reference that are not connected through it."""
+    def difference_parts(self, found: DataFrame) -> DataFrame:
+        """(ref, class, root, n, common, by, strong, long, short, d, grams): what of the differences
+        is joined. Sets of ``d`` grams; prefixes of ``long`` and ``short`` of them."""
         size, own = F.size("diff").cast("long"), F.col("n") - F.col("common")
         # Shared by any link: all but what the two hold without each other; and, if the
         # other does not link to the reference, more than percent / (100 + percent) of D.
         apart = F.greatest(F.lit(1), size - self.rule.most_apart(F.col("n")))
         part = F.floor(self.rule.percent * size / (100 + self.rule.percent)) + 1
         alone = F.col("n") - F.ceil(self.rule.percent * F.col("n") / 100)
-        # A class with more grams of its own than it can hold without the other shares some of these.
+        # A class with more grams of its own than it can hold without the other shares some
+        # of these. In the order of all grams, the first alone + m of them and as many of the
+        # other share m (or all they share at all), for any m: here half of alone, and 1.
+        first = F.least(own, alone + F.floor(alone / 2) + 1)
         by_own = F.struct(
             F.lit("own").alias("by"), (own > alone).alias("strong"), (alone + 1).alias("long"), (alone + 1).alias("short"),
-            own.alias("d"), F.slice("diff", F.lit(1), own.cast("int")).alias("grams"),
+            first.alias("d"), F.slice("diff", F.lit(1), first.cast("int")).alias("grams"),
         )
         by_all = F.struct(
             F.lit("all").alias("by"), (~F.col("near")).alias("strong"), (size - apart + 1).alias("long"),
             (size - F.greatest(apart, part) + 1).alias("short"), size.alias("d"), F.col("diff").alias("grams"),
         )
         ways = F.when(own > alone, F.array(by_own)).otherwise(F.array(by_own, by_all))
-        sized = found.select("ref", "class", "root", "n", F.inline(ways))
-        key = ["by", "ref", "gram"]
-        strong = sized.filter("strong").select("by", "ref").distinct()
-        each = sized.join(strong, ["by", "ref"], "left_semi").withColumn("gram", F.explode("grams")).drop("grams")
-        # Of a pair one at least is strong. Grams that no strong class differs in, or no
-        # other class, come first in the order and meet nothing.
-        often = each.groupBy(*key).agg(F.count(F.lit(1)).alias("often"), F.count_if("strong").alias("met"))
-        often = often.filter("often > 1 and met > 0").drop("met")
-        shared = each.join(often, key)
+        sized = found.select("ref", "class", "root", "n", "common", F.inline(ways))
+        # Of a pair one at least is strong, and sizes of a pair are at most one level apart.
+        sized = sized.withColumn("level", F.floor(F.log("n") / math.log(101 / self.rule.percent)))
+        around = F.explode(F.sequence(F.col("level") - 1, F.col("level") + 1)).alias("level")
+        counts = sized.groupBy("by", "ref", "level").agg(F.count(F.lit(1)).alias("sets"), F.count_if("strong").alias("met"))
+        counts = counts.select("by", "ref", around, "sets", "met").groupBy("by", "ref", "level")
+        paired = counts.agg(F.sum("sets").alias("sets"), F.sum("met").alias("met")).filter("sets > 1 and met > 0")
+        return sized.join(paired, ["by", "ref", "level"], "left_semi").drop("level")
+
+    def difference_index(self, parts: DataFrame) -> DataFrame:
+        """The prefixes of the differences, one row for each class and group of grams that the same classes hold."""
+        key, alike = ["by", "ref", "gram"], ["by", "ref", *ALIKE]
+        each = parts.withColumn("gram", F.explode("grams")).drop("grams")
+        # Grams that no strong class differs in, or no other class, come first in the order
+        # and meet nothing.
+        who = each.groupBy(*key).agg(
+            F.bit_xor(F.xxhash64("class")).alias("h1"),
+            F.bit_xor(F.xxhash64(F.lit(1), "class")).alias("h2"),
+            F.count(F.lit(1)).alias("size"),
+            F.count_if("strong").alias("met"),
+        )
+        who = who.filter("size > 1 and met > 0").drop("met")
+        rest = [c for c in each.columns if c not in (*key, *alike)]
+        groups = each.join(who, key).groupBy(*alike, *rest).agg(F.count(F.lit(1)).alias("grams"))
+        # The place of a group is that of its first gram: a group is taken whole.
         by = Window.partitionBy("by", "ref", "class")
-        place = F.col("d") - F.count(F.lit(1)).over(by) + F.row_number().over(by.orderBy("often", "gram"))
-        wanted = shared.withColumn("place", place).filter(F.col("place") <= F.when(F.col("strong"), F.col("long")).otherwise(F.col("short")))
-        index = settle(wanted.select(*key, "class", "root", "n", "strong", (F.col("place") <= F.col("short")).alias("early")), "index")
-        other = index.withColumnsRenamed({c: f"{c}_v" for c in ("class", "root", "n", "strong", "early")})
+        behind = by.orderBy(F.desc("size"), F.desc("h1"), F.desc("h2")).rowsBetween(Window.unboundedPreceding, 0)
+        placed = groups.withColumn("place", F.col("d") - F.sum("grams").over(behind) + 1)
+        wanted = placed.filter(F.col("place") <= F.when(F.col("strong"), F.col("long")).otherwise(F.col("short")))
+        early = (F.col("place") <= F.col("short")).alias("early")
+        return settle(wanted.select(*alike, "class", "root", "n", "common", "strong", early), "index")
+
+    def difference_links(self, found: DataFrame) -> DataFrame:
+        """The links (u, v, common) between classes of one reference that are not connected through it."""
+        index = self.difference_index(self.difference_parts(found))
+        key = ["by", "ref", *ALIKE]
+        other = index.withColumnsRenamed({c: f"{c}_v" for c in index.columns if c not in key})
+        n, n_v, common, common_v = (F.col(c) for c in ("n", "n_v", "common", "common_v"))
+        # What two share is of the reference or of neither's part in it.
+        most = F.least(common, common_v) + F.least(n - common, n_v - common_v)
         met = (
             (F.col("class") < F.col("class_v"))
             & (F.col("root") != F.col("root_v"))
             & self.similar_size("n", "n_v")
+            & self.links(most, n, n_v)
             & (F.col("strong") | F.col("strong_v"))
             & (F.col("early") | ~F.col("strong_v"))
             & (F.col("early_v") | ~F.col("strong"))
@@ -453,7 +507,9 @@ class _Join:
         star = self.verify(self.star_pairs(lists, classes), classes)
         open_ = self.open_lists(lists, components(star))
         rest = self.verify(self.cross_pairs(open_), classes)
-        more = self.difference_links(self.differences(open_, classes))
+        with scratch(self.spark):
+            more = settle(self.difference_links(self.differences(open_, classes)), "links")
+            outlast()
         links = settle(star.unionByName(rest).unionByName(more).distinct(), "links")
         parts = components(links).withColumnsRenamed({"node": "class", "root": "component"})
         placed = classes.select("class", *CLASS).join(parts, "class", "left").withColumn(

@@ -75,6 +75,13 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             delete_folder(spark, path)
 
 
+def outlast() -> None:
+    """Hand the table that ``settle`` wrote last to the scratch around the innermost one, if there is one."""
+    path = _SCRATCH[-1].pop()
+    if len(_SCRATCH) > 1:
+        _SCRATCH[-2].append(path)
+
+
 def settle(df: DataFrame, name: str = "settled", lasting: bool = False) -> DataFrame:
     """Write the frame to the shared folder and read it back.
 
