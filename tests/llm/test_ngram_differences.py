@@ -117,3 +117,30 @@ def test_grams_of_the_same_texts_are_joined_as_one(frame, monkeypatch):
     assert got == brute_components([r[:2] for r in rows], 3, 90)
     [(rows_, sets)] = counts
     assert sets and rows_ < 8 * sets
+
+
+def test_each_text_of_long_lists_is_listed_once(frame, monkeypatch):
+    """Texts in many long lists, each with other texts: of each no more is looked at than a part of its grams, once."""
+    rng = random.Random(11)
+    passages = [[f"p{k}w{i}" for i in range(8)] for k in range(12)]
+    texts = []
+    for i in range(160):
+        own = [f"x{rng.randrange(10**9)}" for _ in range(20)]
+        texts.append(sum(rng.sample(passages, 4), []) + own)
+        if i % 20 == 0:  # one that links to it
+            texts.append(texts[-1] + [f"y{i}"])
+    rows = [(i, " ".join(t), "a") for i, t in enumerate(texts)]
+    looked = []
+    index = ngram_join._Join.difference_index
+
+    def counting(join, parts):
+        looked.extend(parts.selectExpr("class", "n", "size(grams) as looked").collect())
+        return index(join, parts)
+
+    monkeypatch.setattr(ngram_join._Join, "difference_index", counting)
+    monkeypatch.setattr(ngram_join, "choose_prefix", lambda seen, n, rule, floor: (1, n))
+    joined = ngram_join.similarity_join(frame(rows), ngram_join.Rule(3, 90))
+    got = {r["_doc"]: (r.n, r.component_id) for r in ngram_join.first_of_component(joined).collect()}
+    assert got == brute_components([r[:2] for r in rows], 3, 90)
+    assert looked and len(looked) == len({r["class"] for r in looked})
+    assert all(r.looked <= 1.5 * 0.1 * r.n + 1 for r in looked)

@@ -16,7 +16,11 @@ What keeps groups of copies cheap, without leaving out a link between components
   components; a list whose classes are all connected is done;
 * of the other lists, those of up to ``SMALL`` classes give their pairs across
   components whose prefixes share enough, and these are verified;
-* the classes of a longer list are compared by how they differ from one of them, the
+* in the order of all grams, those of longer lists are put behind all others, for the
+  classes of these lists. A class with more other grams than it can hold without a class it
+  links to (a free one) shares some of these with each of them: pairs with a free
+  class are joined on these, and each class is listed once, however many long lists it is in;
+* the other classes of a longer list are compared by how they differ from one of the list, the
   reference H (the one most central in most lists). With A = H - X + Y, the sets of differences D = X + Y of two classes
   that link share all but ``|A - B| + |B - A|`` of their grams, and more than a fixed
   part unless both link to H and are connected already. So prefixes of the sets of
@@ -224,14 +228,15 @@ def _prefixes(rule: Rule, counts):
     return run
 
 
-def _sets(k: int, bits, counts):
-    """The gram sets, rare grams first, of the texts whose class may be marked."""
+def _sets(k: int, bits, counts, late=None):
+    """The gram sets, rare grams first, of the texts whose class may be marked. Grams that ``late``
+    may mark come last; ``free`` others are before them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = counts.value
         floor = _ordinary(known)
         for batch in few_rows(batches):
-            s1, s2, sizes, sets = [], [], [], []
+            s1, s2, sizes, sets, free = [], [], [], [], []
             for grams in gram_sets(batch["_text"].to_pylist(), k):
                 if not len(grams):
                     continue
@@ -240,11 +245,13 @@ def _sets(k: int, bits, counts):
                     s1.append(a)
                     s2.append(b)
                     sizes.append(len(grams))
-                    sets.append(grams[_rare_first(grams, known[_slot(grams)], floor)].view(np.int64))
+                    grams = grams[_rare_first(grams, known[_slot(grams)], floor)]
+                    last = np.zeros(len(grams), dtype=bool) if late is None else marked(grams, late.value)
+                    sets.append(np.concatenate([grams[~last], grams[last]]).view(np.int64))
+                    free.append(len(grams) - int(last.sum()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(sizes, pa.int64()),
-                 pa.array(sets, pa.list_(pa.int64()))],
-                [*CLASS, "grams"],
+                [*(pa.array(c, pa.int64()) for c in (s1, s2, sizes, free)), pa.array(sets, pa.list_(pa.int64()))],
+                [*CLASS, "free", "grams"],
             )
 
     return run
@@ -307,13 +314,14 @@ class _Join:
         )
         return settle(shared.join(classes.select("class", "n", "m"), "class"), "lists")
 
-    def sets_of(self, nodes: DataFrame, classes: DataFrame) -> DataFrame:
-        """(class, n, grams) of the classes in ``nodes``, written once."""
+    def sets_of(self, nodes: DataFrame, classes: DataFrame, late=None) -> DataFrame:
+        """(class, n, free, grams) of the classes in ``nodes``, written once."""
         needed = settle(nodes.join(classes.select("class", *CLASS), "class"), "needed")
         bits = self.spark.sparkContext.broadcast(slot_bits(needed, "s1"))
-        found = self.tokens.mapInArrow(_sets(self.rule.k, bits, self.counts), "s1 long, s2 long, n long, grams array<long>")
-        found = found.groupBy(*CLASS).agg(F.first("grams").alias("grams"))
-        return settle(found.join(needed, CLASS).select("class", "n", "grams"), "sets")
+        schema = "s1 long, s2 long, n long, free long, grams array<long>"
+        found = self.tokens.mapInArrow(_sets(self.rule.k, bits, self.counts, late), schema)
+        found = found.groupBy(*CLASS).agg(F.first("free").alias("free"), F.first("grams").alias("grams"))
+        return settle(found.join(needed, CLASS).select("class", "n", "free", "grams"), "sets")
 
     def verify(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
         """The pairs (u, v) that link, with the size of their intersection."""
@@ -321,15 +329,17 @@ class _Join:
             pairs = settle(pairs, "pairs")
             nodes = pairs.select(F.col("u").alias("class")).unionByName(pairs.select(F.col("v").alias("class"))).distinct()
             sets = self.sets_of(nodes, classes)
-            left = sets.select(F.col("class").alias("u"), F.col("n").alias("n_u"), F.col("grams").alias("g_u"))
-            right = sets.select(F.col("class").alias("v"), F.col("n").alias("n_v"), F.col("grams").alias("g_v"))
-            met = pairs.select("u", "v").join(left, "u").join(right, "v")
-            common = met.withColumn("common", F.size(F.array_intersect("g_u", "g_v")).cast("long"))
-            link = self.links(F.col("common"), F.col("n_u"), F.col("n_v"))
-            found = settle(common.filter(link).select("u", "v", "common"), "links")
+            found = settle(self.linked(pairs, sets), "links")
             outlast()
             return found
 
+    def linked(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        left = sets.select(F.col("class").alias("u"), F.col("n").alias("n_u"), F.col("grams").alias("g_u"))
+        right = sets.select(F.col("class").alias("v"), F.col("n").alias("n_v"), F.col("grams").alias("g_v"))
+        met = pairs.select("u", "v").join(left, "u").join(right, "v")
+        common = met.withColumn("common", F.size(F.array_intersect("g_u", "g_v")).cast("long"))
+        return common.filter(self.links(F.col("common"), F.col("n_u"), F.col("n_v"))).select("u", "v", "common")
+
     def links(self, common, n_u, n_v):
         return common * 100 >= (n_u + n_v - common) * self.rule.percent
 
@@ -343,8 +353,9 @@ class _Join:
         near = near.join(hubs, "hub").filter(self.similar_size("n", "n_hub") & (F.col("shared") >= F.least("m", "m_hub")))
         return near.select(F.least("class", "hub").alias("u"), F.greatest("class", "hub").alias("v")).distinct()
 
-    def open_lists(self, lists: DataFrame, parts: DataFrame) -> DataFrame:
-        """The lists with classes of several components, one row for each class of a list.
+    def open_lists(self, lists: DataFrame, parts: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The lists with classes of several components, one row for each class of a list; and the
+        grams of the longer ones.
 
         Lists of exactly the same classes give the same pairs, so they become one
         list that counts as many grams.
@@ -359,11 +370,11 @@ class _Join:
             F.bit_xor(F.xxhash64(F.lit(1), "class")).alias("h2"),
             F.count(F.lit(1)).alias("size"),
         )
-        open_ = open_.filter("a <> b").select("gram", *ALIKE)
+        open_ = settle(open_.filter("a <> b").select("gram", *ALIKE), "open-grams")
         rows = placed.join(open_, "gram").groupBy(*ALIKE, "class", "root", "n", "m").agg(
             F.count(F.lit(1)).alias("grams"), F.min("place").alias("first"), F.max("place").alias("last"), F.min("hub").alias("hub")
         )
-        return settle(rows, "open")
+        return settle(rows, "open"), open_.filter(F.col("size") > SMALL).select("gram")
 
     def cross_pairs(self, rows: DataFrame) -> DataFrame:
         """Pairs of different components that may link by what their prefixes share.
@@ -393,16 +404,60 @@ class _Join:
         rest = F.least(n - F.col("last"), n_v - F.col("last_v")) - 1
         return counted.filter((F.col("shared") >= F.col("m")) & enough(F.col("shared") + rest)).select("u", "v")
 
-    def differences(self, rows: DataFrame, classes: DataFrame) -> DataFrame:
-        """(ref, class, root, n, diff, common, near): how the classes of longer lists differ from
-        their reference; ``near`` if they link to it."""
-        rows = rows.filter(F.col("size") > SMALL).select(*ALIKE, "class", "root", "hub")
+    def alone(self, n):
+        """Grams (a column) that a set of ``n`` can hold without one that it links to."""
+        return n - F.ceil(self.rule.percent * n / 100)
+
+    def long_lists(self, rows: DataFrame, late: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The classes of longer lists, (h1, h2, size, hub, class, root, n, strong), and their sets, (class, root,
+        n, free, grams, strong); ``strong`` if the grams outside of ``late`` are enough for all its links."""
+        rows = rows.filter(F.col("size") > SMALL).select(*ALIKE, "hub", "class", "root")
+        nodes = settle(rows.select("class", "root").distinct(), "nodes")
+        bits = self.spark.sparkContext.broadcast(slot_bits(late, "gram"))
+        sets = self.sets_of(nodes.select("class"), classes, bits).join(nodes, "class")
+        sets = sets.withColumn("strong", F.col("free") > self.alone(F.col("n")))
+        return rows.join(sets.select("class", "n", "strong"), "class"), sets
+
+    def with_partner(self, rows: DataFrame, key: list[str]) -> DataFrame:
+        """The rows beside one of similar size and another component, one of them strong."""
+        # Sizes of a pair are at most one level apart.
+        sized = rows.withColumn("level", F.floor(F.log("n") / math.log(101 / self.rule.percent)))
+        around = F.explode(F.sequence(F.col("level") - 1, F.col("level") + 1)).alias("level")
+        counts = sized.groupBy(*key, "level").agg(
+            F.min("root").alias("a"), F.max("root").alias("b"), F.count_if("strong").alias("met")
+        )
+        counts = counts.select(*key, around, "a", "b", "met").groupBy(*key, "level")
+        paired = counts.agg(F.min("a").alias("a"), F.max("b").alias("b"), F.sum("met").alias("met"))
+        return sized.join(paired.filter("a <> b and met > 0"), [*key, "level"], "left_semi").drop("level")
+
+    def first_grams(self, size, n):
+        """(d, prefix): of ``size`` grams in a common order that is more than ``alone``, as many as share ``m`` with
+        those of any link, where ``m`` goes by the smaller of the two; and the prefix of these, in
+        any other common order, that shares one."""
+        alone = self.alone(n)
+        least = self.alone(F.ceil(self.rule.percent * n / 100))
+        d = F.least(size, alone + F.floor(alone / 2) + 1)
+        return d, F.greatest(alone + 1, d - F.floor(least / 2))
+
+    def free_parts(self, listed: DataFrame, sets: DataFrame) -> DataFrame:
+        """What is joined of the grams that are in no longer list, in the columns of ``difference_parts``."""
+        d, prefix = self.first_grams(F.col("free"), F.col("n"))
+        return sets.join(listed, "class", "left_semi").select(
+            F.lit(-1).cast("long").alias("ref"), "class", "root", "n", F.lit(0).cast("long").alias("common"), F.lit("free").alias("by"),
+            "strong", prefix.alias("long"), prefix.alias("short"), d.alias("d"), F.slice("grams", F.lit(1), d.cast("int")).alias("grams"),
+        )
+
+    def differences(self, rows: DataFrame, sets: DataFrame) -> DataFrame:
+        """(ref, class, root, n, diff, common, near): how the classes of longer lists that are not strong differ
+        from their reference; ``near`` if they link to it."""
+        rows = self.with_partner(rows.filter("not strong").withColumn("strong", F.lit(True)), ALIKE).drop("n", "strong")
         # One class for as many lists as can be, so that classes of several lists differ from few.
         central = rows.select(*ALIKE, "hub").distinct().groupBy(F.col("hub").alias("class")).agg(F.count(F.lit(1)).alias("lists"))
-        refs = rows.join(central, "class").groupBy(*ALIKE).agg(F.max(F.struct("lists", "class"))["class"].alias("ref"))
+        # The hub is a class of the list, but may be a strong one.
+        hubs = rows.select(*ALIKE, "hub", "class").unionByName(rows.select(*ALIKE, "hub", F.col("hub").alias("class"))).distinct()
+        refs = hubs.join(central, "class").groupBy(*ALIKE).agg(F.max(F.struct("lists", "class"))["class"].alias("ref"))
         members = settle(rows.join(refs, ALIKE).select("ref", "class", "root").distinct(), "members")
-        nodes = members.select("class").unionByName(members.select(F.col("ref").alias("class"))).distinct()
-        sets = self.sets_of(nodes, classes)
+        sets = sets.select("class", "n", "grams")
         hubs = sets.select(F.col("class").alias("ref"), F.col("n").alias("n_ref"), F.col("grams").alias("g_ref"))
         both = members.join(sets, "class").join(hubs, "ref")
         own = both.withColumn("own", F.array_except("grams", "g_ref")).withColumn("common", F.col("n") - F.size("own"))
@@ -424,13 +479,13 @@ class _Join:
         # other does not link to the reference, more than percent / (100 + percent) of D.
         apart = F.greatest(F.lit(1), size - self.rule.most_apart(F.col("n")))
         part = F.floor(self.rule.percent * size / (100 + self.rule.percent)) + 1
-        alone = F.col("n") - F.ceil(self.rule.percent * F.col("n") / 100)
+        alone = self.alone(F.col("n"))
         # A class with more grams of its own than it can hold without the other shares some
         # of these. In the order of all grams, the first alone + m of them and as many of the
         # other share m (or all they share at all), for any m: here half of alone, and 1.
-        first = F.least(own, alone + F.floor(alone / 2) + 1)
+        first, prefix = self.first_grams(own, F.col("n"))
         by_own = F.struct(
-            F.lit("own").alias("by"), (own > alone).alias("strong"), (alone + 1).alias("long"), (alone + 1).alias("short"),
+            F.lit("own").alias("by"), (own > alone).alias("strong"), prefix.alias("long"), prefix.alias("short"),
             first.alias("d"), F.slice("diff", F.lit(1), first.cast("int")).alias("grams"),
         )
         by_all = F.struct(
@@ -439,13 +494,7 @@ class _Join:
         )
         ways = F.when(own > alone, F.array(by_own)).otherwise(F.array(by_own, by_all))
         sized = found.select("ref", "class", "root", "n", "common", F.inline(ways))
-        # Of a pair one at least is strong, and sizes of a pair are at most one level apart.
-        sized = sized.withColumn("level", F.floor(F.log("n") / math.log(101 / self.rule.percent)))
-        around = F.explode(F.sequence(F.col("level") - 1, F.col("level") + 1)).alias("level")
-        counts = sized.groupBy("by", "ref", "level").agg(F.count(F.lit(1)).alias("sets"), F.count_if("strong").alias("met"))
-        counts = counts.select("by", "ref", around, "sets", "met").groupBy("by", "ref", "level")
-        paired = counts.agg(F.sum("sets").alias("sets"), F.sum("met").alias("met")).filter("sets > 1 and met > 0")
-        return sized.join(paired, ["by", "ref", "level"], "left_semi").drop("level")
+        return self.with_partner(sized, ["by", "ref"])
 
     def difference_index(self, parts: DataFrame) -> DataFrame:
         """The prefixes of the differences, one row for each class and group of grams that the same classes hold."""
@@ -470,9 +519,15 @@ class _Join:
         early = (F.col("place") <= F.col("short")).alias("early")
         return settle(wanted.select(*alike, "class", "root", "n", "common", "strong", early), "index")
 
-    def difference_links(self, found: DataFrame) -> DataFrame:
-        """The links (u, v, common) between classes of one reference that are not connected through it."""
-        index = self.difference_index(self.difference_parts(found))
+    def long_links(self, rows: DataFrame, late: DataFrame, classes: DataFrame) -> DataFrame:
+        """The links (u, v, common) between classes of a longer list that are not connected by now,
+        or through their reference."""
+        rows, sets = self.long_lists(rows, late, classes)
+        found = self.differences(rows, sets)
+        listed = self.with_partner(rows, ALIKE).groupBy("class").agg(F.collect_set("h1").alias("lists"))
+        listed = settle(listed, "listed")
+        index = self.difference_index(self.free_parts(listed, sets).unionByName(self.difference_parts(found)))
+        index = index.join(listed, "class", "left")
         key = ["by", "ref", *ALIKE]
         other = index.withColumnsRenamed({c: f"{c}_v" for c in index.columns if c not in key})
         n, n_v, common, common_v = (F.col(c) for c in ("n", "n_v", "common", "common_v"))
@@ -486,15 +541,11 @@ class _Join:
             & (F.col("strong") | F.col("strong_v"))
             & (F.col("early") | ~F.col("strong_v"))
             & (F.col("early_v") | ~F.col("strong"))
+            # Only pairs of a longer list are open.
+            & ((F.col("by") != "free") | F.arrays_overlap("lists", "lists_v"))
         )
-        pairs = index.join(other, key).filter(met).groupBy(F.col("class").alias("u"), F.col("class_v").alias("v"))
-        pairs = settle(pairs.agg(F.min("ref").alias("ref")), "pairs")
-        left = found.select("ref", F.col("class").alias("u"), F.col("n").alias("n_u"), F.col("diff").alias("d_u"))
-        right = found.select("ref", F.col("class").alias("v"), F.col("n").alias("n_v"), F.col("diff").alias("d_v"))
-        both = pairs.join(left, ["ref", "u"]).join(right, ["ref", "v"])
-        apart = F.size("d_u") + F.size("d_v") - 2 * F.size(F.array_intersect("d_u", "d_v"))
-        linked = both.withColumn("common", F.expr("(n_u + n_v)") - apart).withColumn("common", F.expr("common div 2"))
-        linked = linked.filter(self.links(F.col("common"), F.col("n_u"), F.col("n_v"))).select("u", "v", "common")
+        pairs = settle(index.join(other, key).filter(met).select(F.col("class").alias("u"), F.col("class_v").alias("v")).distinct(), "pairs")
+        linked = self.linked(pairs, sets)
         to_ref = found.filter("near and class <> ref").select(
             F.least("ref", "class").alias("u"), F.greatest("ref", "class").alias("v"), "common"
         )
@@ -505,10 +556,10 @@ class _Join:
         classes = self.classes(survey)
         lists = self.lists(classes)
         star = self.verify(self.star_pairs(lists, classes), classes)
-        open_ = self.open_lists(lists, components(star))
+        open_, late = self.open_lists(lists, components(star))
         rest = self.verify(self.cross_pairs(open_), classes)
         with scratch(self.spark):
-            more = settle(self.difference_links(self.differences(open_, classes)), "links")
+            more = settle(self.long_links(open_, late, classes), "links")
             outlast()
         links = settle(star.unionByName(rest).unionByName(more).distinct(), "links")
         parts = components(links).withColumnsRenamed({"node": "class", "root": "component"})
