@@ -144,3 +144,30 @@ def test_each_text_of_long_lists_is_listed_once(frame, monkeypatch):
     assert got == brute_components([r[:2] for r in rows], 3, 90)
     assert looked and len(looked) == len({r["class"] for r in looked})
     assert all(r.looked <= 1.5 * 0.1 * r.n + 1 for r in looked)
+
+
+def test_shared_text_of_near_copies_is_not_joined(frame, monkeypatch):
+    """Near copies around the threshold, of which prefixes show only a part of what they share: no list of shared grams is paired."""
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(300):
+        own = list(base)
+        for at in rng.sample(range(150), rng.randrange(1, 6)):
+            own[at] = f"own{rng.randrange(10**9)}"
+        rows.append((i, " ".join(own), "a"))
+    joins = []
+    settle = ngram_join.settle
+
+    def counting(df, name="settled"):
+        out = settle(df, name)
+        if name == "index":
+            joins.extend(out.select("by", "size").distinct().collect())
+        return out
+
+    monkeypatch.setattr(ngram_join, "settle", counting)
+    joined = ngram_join.similarity_join(frame(rows).repartition(4), ngram_join.Rule(3, 90))
+    got = {r["_doc"]: (r.n, r.component_id) for r in ngram_join.first_of_component(joined).collect()}
+    assert got == brute_components([r[:2] for r in rows], 3, 90)
+    assert joins
+    assert all(r.size <= ngram_join.SMALL for r in joins if r.by == "free")

@@ -16,10 +16,11 @@ What keeps groups of copies cheap, without leaving out a link between components
   components; a list whose classes are all connected is done;
 * of the other lists, those of up to ``SMALL`` classes give their pairs across
   components whose prefixes share enough, and these are verified;
-* in the order of all grams, those of longer lists are put behind all others, for the
-  classes of these lists. A class with more other grams than it can hold without a class it
-  links to (a free one) shares some of these with each of them: pairs with a free
-  class are joined on these, and each class is listed once, however many long lists it is in;
+* of the classes of longer lists all grams are counted, and those that more than ``SMALL`` of
+  them hold are put behind all others in the order. A class with more other grams than it can
+  hold without a class it links to (a free one) shares some of these with each of them: pairs
+  with a free class are joined on these, in lists of ``SMALL`` classes at most, and each class
+  is listed once, however many long lists it is in;
 * the other classes of a longer list are compared by how they differ from one of the list, the
   reference H (the one most central in most lists). With A = H - X + Y, the sets of differences D = X + Y of two classes
   that link share all but ``|A - B| + |B - A|`` of their grams, and more than a fixed
@@ -228,15 +229,14 @@ def _prefixes(rule: Rule, counts):
     return run
 
 
-def _sets(k: int, bits, counts, late=None):
-    """The gram sets, rare grams first, of the texts whose class may be marked. Grams that ``late``
-    may mark come last; ``free`` others are before them."""
+def _sets(k: int, bits, counts):
+    """The gram sets, rare grams first, of the texts whose class may be marked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = counts.value
         floor = _ordinary(known)
         for batch in few_rows(batches):
-            s1, s2, sizes, sets, free = [], [], [], [], []
+            s1, s2, sizes, sets = [], [], [], []
             for grams in gram_sets(batch["_text"].to_pylist(), k):
                 if not len(grams):
                     continue
@@ -245,13 +245,29 @@ def _sets(k: int, bits, counts, late=None):
                     s1.append(a)
                     s2.append(b)
                     sizes.append(len(grams))
-                    grams = grams[_rare_first(grams, known[_slot(grams)], floor)]
-                    last = np.zeros(len(grams), dtype=bool) if late is None else marked(grams, late.value)
-                    sets.append(np.concatenate([grams[~last], grams[last]]).view(np.int64))
-                    free.append(len(grams) - int(last.sum()))
+                    sets.append(grams[_rare_first(grams, known[_slot(grams)], floor)].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(c, pa.int64()) for c in (s1, s2, sizes, free)), pa.array(sets, pa.list_(pa.int64()))],
-                [*CLASS, "free", "grams"],
+                [*(pa.array(c, pa.int64()) for c in (s1, s2, sizes)), pa.array(sets, pa.list_(pa.int64()))],
+                [*CLASS, "grams"],
+            )
+
+    return run
+
+
+def _set_back(late):
+    """The sets with the grams that ``late`` may mark at the end; ``free`` others are before them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in few_rows(batches):
+            sets, free = [], []
+            for grams in batch["grams"]:
+                grams = grams.values.to_numpy(zero_copy_only=False)
+                last = marked(grams.view(np.uint64), late.value)
+                sets.append(np.concatenate([grams[~last], grams[last]]))
+                free.append(len(grams) - int(last.sum()))
+            yield pa.RecordBatch.from_arrays(
+                [batch["class"], batch["n"], pa.array(free, pa.int64()), pa.array(sets, pa.list_(pa.int64()))],
+                ["class", "n", "free", "grams"],
             )
 
     return run
@@ -314,14 +330,14 @@ class _Join:
         )
         return settle(shared.join(classes.select("class", "n", "m"), "class"), "lists")
 
-    def sets_of(self, nodes: DataFrame, classes: DataFrame, late=None) -> DataFrame:
-        """(class, n, free, grams) of the classes in ``nodes``, written once."""
+    def sets_of(self, nodes: DataFrame, classes: DataFrame) -> DataFrame:
+        """(class, n, grams) of the classes in ``nodes``, written once."""
         needed = settle(nodes.join(classes.select("class", *CLASS), "class"), "needed")
         bits = self.spark.sparkContext.broadcast(slot_bits(needed, "s1"))
-        schema = "s1 long, s2 long, n long, free long, grams array<long>"
-        found = self.tokens.mapInArrow(_sets(self.rule.k, bits, self.counts, late), schema)
-        found = found.groupBy(*CLASS).agg(F.first("free").alias("free"), F.first("grams").alias("grams"))
-        return settle(found.join(needed, CLASS).select("class", "n", "free", "grams"), "sets")
+        schema = "s1 long, s2 long, n long, grams array<long>"
+        found = self.tokens.mapInArrow(_sets(self.rule.k, bits, self.counts), schema)
+        found = found.groupBy(*CLASS).agg(F.first("grams").alias("grams"))
+        return settle(found.join(needed, CLASS).select("class", "n", "grams"), "sets")
 
     def verify(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
         """The pairs (u, v) that link, with the size of their intersection."""
@@ -353,9 +369,8 @@ class _Join:
         near = near.join(hubs, "hub").filter(self.similar_size("n", "n_hub") & (F.col("shared") >= F.least("m", "m_hub")))
         return near.select(F.least("class", "hub").alias("u"), F.greatest("class", "hub").alias("v")).distinct()
 
-    def open_lists(self, lists: DataFrame, parts: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The lists with classes of several components, one row for each class of a list; and the
-        grams of the longer ones.
+    def open_lists(self, lists: DataFrame, parts: DataFrame) -> DataFrame:
+        """The lists with classes of several components, one row for each class of a list.
 
         Lists of exactly the same classes give the same pairs, so they become one
         list that counts as many grams.
@@ -374,7 +389,7 @@ class _Join:
         rows = placed.join(open_, "gram").groupBy(*ALIKE, "class", "root", "n", "m").agg(
             F.count(F.lit(1)).alias("grams"), F.min("place").alias("first"), F.max("place").alias("last"), F.min("hub").alias("hub")
         )
-        return settle(rows, "open"), open_.filter(F.col("size") > SMALL).select("gram")
+        return settle(rows, "open")
 
     def cross_pairs(self, rows: DataFrame) -> DataFrame:
         """Pairs of different components that may link by what their prefixes share.
@@ -408,14 +423,17 @@ class _Join:
         """Grams (a column) that a set of ``n`` can hold without one that it links to."""
         return n - F.ceil(self.rule.percent * n / 100)
 
-    def long_lists(self, rows: DataFrame, late: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def long_lists(self, rows: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
         """The classes of longer lists, (h1, h2, size, hub, class, root, n, strong), and their sets, (class, root,
-        n, free, grams, strong); ``strong`` if the grams outside of ``late`` are enough for all its links."""
+        n, free, grams, strong); ``strong`` if the grams that few of them hold are enough for all its links."""
         rows = rows.filter(F.col("size") > SMALL).select(*ALIKE, "hub", "class", "root")
         nodes = settle(rows.select("class", "root").distinct(), "nodes")
-        bits = self.spark.sparkContext.broadcast(slot_bits(late, "gram"))
-        sets = self.sets_of(nodes.select("class"), classes, bits).join(nodes, "class")
-        sets = sets.withColumn("strong", F.col("free") > self.alone(F.col("n")))
+        sets = self.sets_of(nodes.select("class"), classes)
+        # Prefixes show only the first of the grams that many hold: those behind them are as frequent.
+        held = sets.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("size"))
+        late = self.spark.sparkContext.broadcast(slot_bits(held.filter(F.col("size") > SMALL), "gram"))
+        sets = settle(sets.mapInArrow(_set_back(late), "class long, n long, free long, grams array<long>"), "ordered")
+        sets = sets.join(nodes, "class").withColumn("strong", F.col("free") > self.alone(F.col("n")))
         return rows.join(sets.select("class", "n", "strong"), "class"), sets
 
     def with_partner(self, rows: DataFrame, key: list[str]) -> DataFrame:
@@ -440,7 +458,7 @@ class _Join:
         return d, F.greatest(alone + 1, d - F.floor(least / 2))
 
     def free_parts(self, listed: DataFrame, sets: DataFrame) -> DataFrame:
-        """What is joined of the grams that are in no longer list, in the columns of ``difference_parts``."""
+        """What is joined of the grams that few classes hold, in the columns of ``difference_parts``."""
         d, prefix = self.first_grams(F.col("free"), F.col("n"))
         return sets.join(listed, "class", "left_semi").select(
             F.lit(-1).cast("long").alias("ref"), "class", "root", "n", F.lit(0).cast("long").alias("common"), F.lit("free").alias("by"),
@@ -519,10 +537,10 @@ class _Join:
         early = (F.col("place") <= F.col("short")).alias("early")
         return settle(wanted.select(*alike, "class", "root", "n", "common", "strong", early), "index")
 
-    def long_links(self, rows: DataFrame, late: DataFrame, classes: DataFrame) -> DataFrame:
+    def long_links(self, rows: DataFrame, classes: DataFrame) -> DataFrame:
         """The links (u, v, common) between classes of a longer list that are not connected by now,
         or through their reference."""
-        rows, sets = self.long_lists(rows, late, classes)
+        rows, sets = self.long_lists(rows, classes)
         found = self.differences(rows, sets)
         listed = self.with_partner(rows, ALIKE).groupBy("class").agg(F.collect_set("h1").alias("lists"))
         listed = settle(listed, "listed")
@@ -556,10 +574,10 @@ class _Join:
         classes = self.classes(survey)
         lists = self.lists(classes)
         star = self.verify(self.star_pairs(lists, classes), classes)
-        open_, late = self.open_lists(lists, components(star))
+        open_ = self.open_lists(lists, components(star))
         rest = self.verify(self.cross_pairs(open_), classes)
         with scratch(self.spark):
-            more = settle(self.long_links(open_, late, classes), "links")
+            more = settle(self.long_links(open_, classes), "links")
             outlast()
         links = settle(star.unionByName(rest).unionByName(more).distinct(), "links")
         parts = components(links).withColumnsRenamed({"node": "class", "root": "component"})
